@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from shelfmark.sources.files import open_filesystem
@@ -30,31 +31,56 @@ class FileTreeSink(DataSource):
         return "file_tree"
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return _FileTreeWriter(self.options["directory"])
+        return _FileTreeWriter(self.options["directory"], overwrite)
 
 
 class _FileTreeWriter(DataSourceArrowWriter):
-    def __init__(self, directory: str):
+    def __init__(self, directory: str, overwrite: bool):
         self.directory = directory
+        self.overwrite = overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         filesystem, root = open_filesystem(self.directory)
         filesystem.create_dir(root, recursive=True)
-        written, stream, temporary = 0, None, None
+        written, target = 0, None
         try:
             for batch in iterator:
                 columns = [batch.column(c) for c in ("name", "content", "last")]
                 for name, content, last in zip(*columns):
-                    if stream is None:
-                        temporary = f"{root}/.{uuid.uuid4().hex}.tmp"
-                        stream = filesystem.open_output_stream(temporary)
-                    stream.write(content.as_buffer())
+                    if target is None:
+                        target = _Target(filesystem, f"{root}/{name.as_py()}", self.overwrite)
+                    target.add(content.as_buffer())
                     if last.as_py():
-                        stream.close()
-                        filesystem.move(temporary, f"{root}/{name.as_py()}")
-                        stream, written = None, written + 1
+                        written += target.finish()
+                        target = None
         finally:
-            if stream is not None:
-                stream.close()
-                filesystem.delete_file(temporary)
+            if target is not None:
+                target.discard()
         return _Written(written)
+
+
+class _Target:
+    """One file being written; a file that exists is passed over."""
+
+    def __init__(self, filesystem: fs.FileSystem, path: str, overwrite: bool):
+        self.filesystem, self.path = filesystem, path
+        folder = path.rpartition("/")[0]
+        self.temporary = f"{folder}/.{uuid.uuid4().hex}.tmp"
+        there = not overwrite and filesystem.get_file_info(path).type != fs.FileType.NotFound
+        self.stream = None if there else filesystem.open_output_stream(self.temporary)
+
+    def add(self, content: pa.Buffer) -> None:
+        if self.stream is not None:
+            self.stream.write(content)
+
+    def finish(self) -> int:
+        if self.stream is None:
+            return 0
+        self.stream.close()
+        self.filesystem.move(self.temporary, self.path)
+        return 1
+
+    def discard(self) -> None:
+        if self.stream is not None:
+            self.stream.close()
+            self.filesystem.delete_file(self.temporary)

@@ -7,7 +7,6 @@ catalog, and reading those touches no content.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +15,7 @@ from shelfmark.functions.paths import join_path, normalize_path
 from shelfmark.operators.integrity import checksum_summary, verify_checksums
 from shelfmark.operators.transfer import first_wins, plan_actions, skip_existing, transfer_ordinals
 from shelfmark.sources.file_writer import FileTreeSink
-from shelfmark.sources.files import CHUNK_BYTES, describe, list_local_files, read_chunks, spread_by_bytes
+from shelfmark.sources.files import CHUNK_BYTES, list_local_files, read_chunks, spread_by_bytes
 
 STORE_SCHEMA = (
     "path string, label string, parent string, size bigint, part bigint, content binary, md5 string"
@@ -90,7 +89,9 @@ def plan_export(
 def export_rows(rows: DataFrame, directory: str, overwrite: bool = False) -> None:
     """Write ``name, part, content, last`` rows as files in ``directory``.
 
-    The chunks of a file must be in one partition and in order.
+    The chunks of a file must be in one partition and in order.  A name that is
+    already there is skipped unless ``overwrite``; the tasks look that up
+    themselves, so content is never shuffled to be joined with a listing.
     """
     rows.sparkSession.dataSource.register(FileTreeSink)
     mode = "overwrite" if overwrite else "append"
@@ -123,10 +124,6 @@ def export_directory(
             raise ValueError(f"checksums of {from_path} do not match the manifest")
     if rules is not None:
         content = content.filter(rules.predicate(F.col("path"), F.col("label")))
-    if not overwrite:
-        there = existing_names(session, directory)
-        if there is not None:
-            content = skip_existing(content, there)
     last = F.col("md5").isNotNull()
     rows = content.select(F.col("label").alias("name"), "part", "content", last.alias("last"))
     # Nearly all files are one chunk and are written where they are read.
@@ -134,12 +131,3 @@ def export_directory(
     chunked = rows.filter((F.col("part") > 0) | ~F.col("last"))
     export_rows(single, directory, overwrite)
     export_rows(chunked.repartition("name").sortWithinPartitions("name", "part"), directory, overwrite)
-
-
-def existing_names(spark: SparkSession, directory: str) -> DataFrame | None:
-    """Labels of the files in a directory; None when it does not exist yet."""
-    try:
-        found = spark.read.format("binaryFile").load(directory).select("path", "length")
-    except AnalysisException:
-        return None
-    return describe(found).select("label")
