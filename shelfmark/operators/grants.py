@@ -28,9 +28,14 @@ def share(current: DataFrame, changes: DataFrame, home: str, order: str = "seq")
     Invalid changes are left out; ``check_grants`` shows which those are.
     """
     valid = changes.filter(under_home(F.col("path"), home) & valid_permission(F.col("permission")))
-    latest = valid.groupBy(*GRANT_KEY).agg(F.max_by("permission", order).alias("permission"))
-    kept = current.join(latest.select(*GRANT_KEY), GRANT_KEY, "left_anti")
-    return kept.select(*GRANT_KEY, "permission").unionByName(latest)
+    before = F.lit(None).cast(changes.schema[order].dataType)
+    # Stacked and folded rather than joined: one shuffle, combined before it.
+    # Nulls order first, so any change comes after what was there.
+    stacked = current.select(*GRANT_KEY, "permission", before.alias("_seq")).unionByName(
+        valid.select(*GRANT_KEY, "permission", F.col(order).alias("_seq"))
+    )
+    last = F.max_by("permission", F.struct(F.col("_seq").isNotNull(), "_seq"))
+    return stacked.groupBy(*GRANT_KEY).agg(last.alias("permission"))
 
 
 def check_share_requests(requests: DataFrame, home: str) -> DataFrame:

@@ -65,31 +65,21 @@ def _match_by_grams(paths: DataFrame, wanted: DataFrame, path: str) -> DataFrame
     sizes = sorted(row[0] for row in wanted.select(size).distinct().collect())  # at most GRAM + 1 rows
     if sizes and sizes[0] == 0:
         return paths  # the empty pattern is in every path
-    lowered = paths.select(F.lower(F.col(path)).alias("_path")).distinct()
-    pieces = lowered.select(
+    pieces = paths.select(F.lower(F.col(path)).alias("_path")).select(
         "_path", F.explode(F.concat(*[_grams(F.col("_path"), n) for n in sizes])).alias("_gram")
     )
     # Each pattern is looked up through the rarest of its pieces: common ones,
     # such as those of a shared path prefix, would pair it with most paths.
-    common = pieces.groupBy("_gram").agg(F.count(F.lit(1)).alias("_paths"))
-    options = wanted.select(
-        "_pattern",
-        F.explode(
-            F.when(F.length("_pattern") < GRAM, F.array("_pattern")).otherwise(
-                _grams(F.col("_pattern"), GRAM)
-            )
-        ).alias("_gram"),
+    frequency = pieces.groupBy("_gram").agg(F.count(F.lit(1)).alias("_paths"))
+    own = F.when(F.length("_pattern") < GRAM, F.array("_pattern")).otherwise(
+        _grams(F.col("_pattern"), GRAM)
     )
-    # A pattern with a piece no path has cannot match, hence the plain inner
-    # join and the count of pieces found against pieces needed.
-    needed = options.groupBy("_pattern").agg(F.count(F.lit(1)).alias("_needed"))
+    rarest = F.min_by("_gram", F.struct(F.coalesce("_paths", F.lit(0)), "_gram"))
     anchors = (
-        options.join(common, "_gram")
+        wanted.select("_pattern", F.explode(own).alias("_gram"))
+        .join(frequency, "_gram", "left")
         .groupBy("_pattern")
-        .agg(F.min_by("_gram", F.struct("_paths", "_gram")).alias("_gram"), F.count(F.lit(1)).alias("_found"))
-        .join(needed, "_pattern")
-        .filter(F.col("_found") == F.col("_needed"))
-        .select("_gram", "_pattern")
+        .agg(rarest.alias("_gram"))
     )
     same = (pieces["_gram"] == anchors["_gram"]) & F.contains(pieces["_path"], anchors["_pattern"])
     hits = pieces.join(anchors, same, "left_semi").select("_path").distinct()

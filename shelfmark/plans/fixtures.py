@@ -44,13 +44,11 @@ def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.md5(F.col("text").cast("binary")).alias("md5"),
         F.octet_length("text").cast("long").alias("size"),
     )
-    bare = [F.lit("dir"), _null("string"), _null("string"), _null("long")]
-    langs = docs.select("source", "lang").distinct()
-    inner = langs.select(_doc_dir(), F.col("lang"), _home(F.col("source")), *bare)
-    outer = docs.select("source").distinct().select(
-        _home(F.col("source")), F.col("source"), F.lit(HOME), *bare
-    )
-    return files.union(inner).union(outer)
+    # Two levels of directories from one pass over the distinct pairs.
+    inner = F.struct(_doc_dir().alias("path"), F.col("lang").alias("label"), _home(F.col("source")).alias("parent"))
+    outer = F.struct(_home(F.col("source")).alias("path"), F.col("source").alias("label"), F.lit(HOME).alias("parent"))
+    dirs = docs.select("source", "lang").distinct().select(F.inline(F.array(inner, outer))).distinct()
+    return files.union(dirs.select("*", F.lit("dir"), _null("string"), _null("string"), _null("long")))
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
