@@ -191,13 +191,7 @@ def select_local_files(spark, sf_dir):
 
 @query(f"select parse_filename(filename) as label, size, md5(content) as md5 from read_blob({_TREE})")
 def read_file_bytes(spark, sf_dir):
-    return tree.file_digests(spark, sf_dir).select("label", "size", "md5")
-
-
-# The same digests with every file above 50 kB streamed in chunks.
-@query(f"select parse_filename(filename) as label, size, md5(content) as md5 from read_blob({_TREE})")
-def stream_file_bytes(spark, sf_dir):
-    return tree.file_digests(spark, sf_dir, whole_file_bytes=50_000).select("label", "size", "md5")
+    return tree.file_digests(tree.list_local_files(spark, sf_dir)).select("label", "size", "md5")
 
 
 @query(
@@ -243,7 +237,7 @@ def export_file(spark, sf_dir):
         F.lit(True).alias("last"),
     )
     content.export_rows(docs, directory)
-    return tree.file_digests(spark, directory).select("label", "size", "md5")
+    return tree.file_digests(tree.list_local_files(spark, directory)).select("label", "size", "md5")
 
 
 @query(f"select parse_filename(filename) as label, size, md5(content) as md5 from read_blob({_TREE})")
@@ -251,4 +245,4 @@ def copy_round_trip(spark, sf_dir):
     store, directory = scratch_path(spark, "store"), scratch_path(spark, "export")
     content.ingest_directory(spark, sf_dir, store, "/store/home/raw")
     content.export_directory(spark, store, "/store/home/raw", directory)
-    return tree.file_digests(spark, directory).select("label", "size", "md5")
+    return tree.file_digests(tree.list_local_files(spark, directory)).select("label", "size", "md5")

@@ -1,8 +1,14 @@
-"""Local or remote directories as DataFrames of files."""
+"""Directories of files as DataFrames, listed and read by tasks.
+
+The built-in ``binaryFile`` source is not used for batch reads: it leaves out
+empty files and names that start with a dot or an underscore, lists on the
+driver, and loads every file whole, also those a later join would skip.
+"""
 
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,64 +16,72 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions.patterns import FileRules
 from shelfmark.functions.paths import label_of
+from shelfmark.functions.patterns import FileRules
 
-# Files up to this size are digested from one row's content; larger ones are
-# streamed, as a row cannot hold more than 2 GB.
-WHOLE_FILE_BYTES = 256 << 20
 CHUNK_BYTES = 4 << 20
 # File bytes one read task should handle.
 TASK_BYTES = 1 << 30
 
-
-def plain_path(uri):
-    """A column of file URIs without scheme and host, as patterns expect them."""
-    return F.regexp_replace(uri, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+LISTING_SCHEMA = "uri string, path string, label string, size bigint"
+_LISTING_ROWS = 10_000
 
 
-def describe(files: DataFrame) -> DataFrame:
-    """``uri, path, label, size`` of rows that come from a ``binaryFile`` scan."""
-    path = plain_path(F.col("path"))
-    return files.select(
-        F.col("path").alias("uri"),
-        path.alias("path"),
-        label_of(path).alias("label"),
-        F.col("length").cast("long").alias("size"),
-    )
+def list_local_files(spark: SparkSession, source: str, rules: FileRules | None = None) -> DataFrame:
+    """``uri, path, label, size`` of the files directly in ``source`` that pass the rules.
 
+    ``source`` may also be one file.  No file is opened.
+    """
+    filesystem, path = open_filesystem(source)
+    kind = filesystem.get_file_info(path).type
+    if kind == arrow_fs.FileType.NotFound:
+        raise FileNotFoundError(source)
+    single = kind == arrow_fs.FileType.File
 
-def list_local_files(spark: SparkSession, directory: str, rules: FileRules | None = None) -> DataFrame:
-    """Files directly in ``directory`` that pass the rules; no file is opened.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for where in batch.column(0).to_pylist():
+                yield from _listing(where, single)
 
-    Spark leaves out names that start with a dot or an underscore.
-    """
-    found = describe(spark.read.format("binaryFile").load(directory).select("path", "length"))
+    found = spark.createDataFrame([(source,)], "source string").mapInArrow(run, LISTING_SCHEMA)
     if rules is None:
         return found
     return found.filter(rules.predicate(F.col("path"), F.col("label")))
 
 
-def file_digests(
-    spark: SparkSession, directory: str, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """``path, label, size, md5`` of each file directly in ``directory``.
-
-    The size limit is pushed into the scan, so a large file is never loaded as a
-    row; those are read in chunks instead.
-    """
-    files = spark.read.format("binaryFile").load(directory)
-    small = files.filter(F.col("length") <= whole_file_bytes)
-    path = plain_path(F.col("path"))
-    whole = small.select(
-        path.alias("path"),
-        label_of(path).alias("label"),
-        F.col("length").cast("long").alias("size"),
-        F.md5("content").alias("md5"),
-    )
-    large = describe(files.filter(F.col("length") > whole_file_bytes).select("path", "length"))
-    streamed = read_chunks(large).filter(F.col("md5").isNotNull())
-    return whole.unionByName(streamed.select("path", "label", "size", "md5"))
+def _listing(source: str, single: bool) -> Iterator[pa.RecordBatch]:
+    filesystem, path = open_filesystem(source)
+    prefix = source.rstrip("/")[: -len(path.rstrip("/"))]
+    names, sizes = [], []
+    for name, size in _entries(filesystem, path, single):
+        names.append(name)
+        sizes.append(size)
+        if len(names) == _LISTING_ROWS:
+            yield _listed(prefix, names, sizes)
+            names, sizes = [], []
+    if names:
+        yield _listed(prefix, names, sizes)
+
+
+def _listed(prefix: str, paths: list[str], sizes: list[int]) -> pa.RecordBatch:
+    labels = [path.rpartition("/")[2] for path in paths]
+    uris = [prefix + path for path in paths]
+    columns = [pa.array(values, pa.string()) for values in (uris, paths, labels)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64())], names=["uri", "path", "label", "size"])
+
+
+def _entries(filesystem, path: str, single: bool) -> Iterator[tuple[str, int]]:
+    if single:
+        yield path, filesystem.get_file_info(path).size
+    elif isinstance(filesystem, arrow_fs.LocalFileSystem):
+        with os.scandir(path) as entries:
+            for entry in entries:
+                if entry.is_file():
+                    yield f"{path.rstrip('/')}/{entry.name}", entry.stat().st_size
+    else:
+        for info in filesystem.get_file_info(arrow_fs.FileSelector(path)):
+            if info.type == arrow_fs.FileType.File:
+                yield info.path, info.size
 
 
 def open_filesystem(uri: str):
@@ -79,18 +93,41 @@ def open_filesystem(uri: str):
     return arrow_fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
+def describe(files: DataFrame) -> DataFrame:
+    """Listing rows of a ``binaryFile`` scan's ``path, length``."""
+    plain = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return files.select(
+        F.col("path").alias("uri"),
+        plain.alias("path"),
+        label_of(plain).alias("label"),
+        F.col("length").cast("long").alias("size"),
+    )
+
+
 def spread_by_bytes(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Rows of ``files`` over enough tasks that each reads about ``task_bytes``.
 
     The listing itself is tiny, so without this AQE would put it in one task.
     """
     total, count = files.agg(F.sum("size"), F.count(F.lit(1))).first()
-    tasks = max(1, min(count, -(-(total or 0) // task_bytes)), min(count, _parallelism(files)))
-    return files.repartition(tasks)
+    wanted = max(-(-(total or 0) // task_bytes), files.sparkSession.sparkContext.defaultParallelism)
+    return files.repartition(max(1, min(count, wanted)))
+
 
+def file_digests(files: DataFrame) -> DataFrame:
+    """``path, label, size, md5`` of the listed files; content stays in the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = []
+            for uri in batch.column("uri").to_pylist():
+                for _, _, md5 in _chunks(uri, CHUNK_BYTES):
+                    pass
+                digests.append(md5)
+            kept = [batch.column(name) for name in ("path", "label", "size")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(digests, pa.string())], names=["path", "label", "size", "md5"])
 
-def _parallelism(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
+    return spread_by_bytes(files).mapInArrow(run, "path string, label string, size bigint, md5 string")
 
 
 def read_chunks(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -100,9 +137,8 @@ def read_chunks(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     the whole file on its last chunk and null before.  Only listed files are
     opened, and a task holds about a chunk at a time.
     """
-    columns = files.columns
-    uri_at = columns.index("uri")
-    names = [*columns, "part", "content", "md5"]
+    uri_at = files.columns.index("uri")
+    names = [*files.columns, "part", "content", "md5"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

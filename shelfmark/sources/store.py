@@ -22,9 +22,6 @@ STORE_SCHEMA = (
 )
 STORE_COLUMNS = ["path", "label", "parent", "size", "part", "content", "md5"]
 
-# Rows of up to CHUNK_BYTES each that may sit in one Arrow batch.
-_BATCH_ROWS = 16
-
 
 def open_store(spark: SparkSession, store: str) -> DataFrame:
     """The content table at ``store``, created empty if there is none."""
@@ -64,10 +61,7 @@ def append_new(listing: DataFrame, store: str, dest: str, chunk_bytes: int = CHU
 def ingest_directory(
     spark: SparkSession, source: str, store: str, dest: str, rules: FileRules | None = None
 ) -> None:
-    """Copy a file, or the files of a directory that pass the rules, into ``dest``.
-
-    A path that does not exist fails in analysis.
-    """
+    """Copy a file, or the files of a directory that pass the rules, into ``dest``."""
     append_new(list_local_files(spark, source, rules), store, dest)
 
 
@@ -93,7 +87,8 @@ def export_rows(rows: DataFrame, directory: str, overwrite: bool = False) -> Non
     already there is skipped unless ``overwrite``; the tasks look that up
     themselves, so content is never shuffled to be joined with a listing.
     """
-    rows.sparkSession.dataSource.register(FileTreeSink)
+    for session in {rows.sparkSession, SparkSession.active()}:  # Spark looks it up in the active one
+        session.dataSource.register(FileTreeSink)
     mode = "overwrite" if overwrite else "append"
     rows.select("name", "part", "content", "last").write.format(FileTreeSink.name()).mode(mode).option(
         "directory", directory
@@ -113,14 +108,10 @@ def export_directory(
 
     A manifest is checked against the directory before anything is written.
     """
-    session = spark.newSession()  # own batch size, so that chunks cannot pile up in memory
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", _BATCH_ROWS)
-    content = open_store(session, store).filter(F.col("parent") == normalize_path(F.lit(from_path)))
+    content = open_store(spark, store).filter(F.col("parent") == normalize_path(F.lit(from_path)))
     if manifest is not None:
-        mine = stored_files(open_store(spark, store)).filter(
-            F.col("parent") == normalize_path(F.lit(from_path))
-        )
-        if not checksum_summary(verify_checksums(mine, manifest)).first()["passed"]:
+        checked = verify_checksums(stored_files(content), manifest)
+        if not checksum_summary(checked).first()["passed"]:
             raise ValueError(f"checksums of {from_path} do not match the manifest")
     if rules is not None:
         content = content.filter(rules.predicate(F.col("path"), F.col("label")))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.functions.paths import parent_of
 from shelfmark.functions.patterns import FileRules
-from shelfmark.sources.files import describe
+from shelfmark.sources.files import describe, list_local_files, open_filesystem
 from shelfmark.sources.store import append_new, open_store
 
 _BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -20,14 +21,18 @@ def incremental_copy(
     checkpoint: str,
     rules: FileRules | None = None,
 ) -> None:
-    """Copy what arrived in ``source`` since the last run, then stop.
+    """Copy what arrived directly in ``source`` since the last run, then stop.
 
     The stream carries names and sizes only; content is read after the skip.
-    A batch that is replayed after a failure finds its files in the store.
+    A batch that is replayed after a failure finds its files in the store.  The
+    file stream never shows empty files or names with a leading dot or
+    underscore, so those are looked up once at the end.
     """
     open_store(spark, store)
-    files = spark.readStream.format("binaryFile").schema(_BINARY_FILE).load(source)
-    listing = describe(files.select("path", "length"))
+    # Without the recursive option, key=value folders would be taken for partitions.
+    reader = spark.readStream.format("binaryFile").schema(_BINARY_FILE)
+    files = reader.option("recursiveFileLookup", "true").load(source).select("path", "length")
+    listing = describe(files).filter(parent_of(F.col("path")) == open_filesystem(source)[1].rstrip("/"))
     if rules is not None:
         listing = listing.filter(rules.predicate(F.col("path"), F.col("label")))
 
@@ -41,3 +46,5 @@ def incremental_copy(
         .start()
     )
     query.awaitTermination()
+    unseen = (F.col("size") == 0) | F.substring("label", 1, 1).isin(".", "_")
+    append_new(list_local_files(spark, source, rules).filter(unseen), store, dest)
