@@ -108,18 +108,23 @@ def share_payloads(
     grants: DataFrame, page_size: int = 1000, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """The JSON body that shares a user's grants, ``page_size`` paths to a body."""
-    paged = page_within(
-        grants.select(*GRANT_KEY, "permission"),
-        ["usr"],
-        ["path", "permission"],
-        page_size,
-        into="part",
-        max_group_rows=max_group_rows,
-    )
-    body = paged.groupBy("usr", "part").agg(
-        F.sort_array(F.collect_list(F.struct("path", "permission"))).alias("paths")
-    )
+    pair = F.struct("path", "permission")
+    columns = [*GRANT_KEY, "permission"]
+    return _payloads(grants.select(*columns), columns[1:], pair, "sharing", page_size, max_group_rows)
+
+
+def unshare_payloads(
+    revoked: DataFrame, page_size: int = 1000, max_group_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
+    """The JSON body that revokes a user's paths, ``page_size`` paths to a body."""
+    pairs = revoked.select(*GRANT_KEY).distinct()
+    return _payloads(pairs, ["path"], F.col("path"), "unshare", page_size, max_group_rows)
+
+
+def _payloads(
+    rows: DataFrame, order: list[str], item: Column, key: str, page_size: int, max_group_rows: int
+) -> DataFrame:
+    paged = page_within(rows, ["usr"], order, page_size, into="part", max_group_rows=max_group_rows)
+    body = paged.groupBy("usr", "part").agg(F.sort_array(F.collect_list(item)).alias("paths"))
     entry = F.struct(F.col("usr").cast("string").alias("user"), "paths")
-    return body.select(
-        "usr", "part", F.to_json(F.struct(F.array(entry).alias("sharing"))).alias("payload")
-    )
+    return body.select("usr", "part", F.to_json(F.struct(F.array(entry).alias(key))).alias("payload"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from shelfmark.session import durable
 
 # A task sorts this many narrow rows without trouble.
-MAX_GROUP_ROWS = 5_000_000
+MAX_GROUP_ROWS = 1_000_000
 
 
 def number_within(

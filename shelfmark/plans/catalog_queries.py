@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfmark.functions.paths import join_path, label_of, normalize_path, parent_of, under_home
 from shelfmark.functions.patterns import FileRules, labelled_in, matches_any, named_in
 from shelfmark.operators import listing, lookup, selection
 from shelfmark.operators.grants import check_grants
+from shelfmark.operators.numbering import page_within
 from shelfmark.plans import fixtures as fx
 from shelfmark.plans.registry import query
+from shelfmark.sources import responses
 
 SRC1 = "/store/home/src1"
 
@@ -380,3 +383,47 @@ def validate_home_prefix(spark, sf_dir):
 def validate_permission(spark, sf_dir):
     checked = check_grants(fx.clicks(spark, sf_dir), fx.HOME)
     return checked.select("seq", "permission", "permission_ok")
+
+
+def _info(*names) -> Column:
+    """A JSON object of the named columns, nulls left out, as the store sends it."""
+    return F.struct(*[F.col(n) for n in names])
+
+
+@query("select parent, path, label, type, id, md5 from objects", views=("objects",))
+def read_listings(spark, sf_dir):
+    entry = _info("id", "path", "label", "md5")
+    paged = page_within(fx.objects(spark, sf_dir), ["parent"], ["label", "type"], 25)
+    bodies = paged.groupBy(F.col("parent").alias("rid"), "page").agg(
+        F.to_json(
+            F.struct(
+                F.collect_list(F.when(F.col("type") == "file", entry)).alias("files"),
+                F.collect_list(F.when(F.col("type") == "dir", entry)).alias("folders"),
+            )
+        ).alias("body")
+    )
+    rows = responses.listing_rows(bodies)
+    return rows.select(F.col("rid").alias("parent"), "path", "label", "type", "id", "md5")
+
+
+@query("select path, label, parent, type, id, md5 from objects", views=("objects",))
+def read_stats(spark, sf_dir):
+    info = F.create_map("path", _info("id", "type", "md5"))
+    log = fx.objects(spark, sf_dir).select(
+        F.col("path").alias("rid"), F.to_json(F.struct(info.alias("paths"))).alias("body")
+    )
+    return responses.stat_rows(log).select("path", "label", "parent", "type", "id", "md5")
+
+
+@query(_exists_sql("o.path is not null"), views=("objects", "asked"))
+def read_existence(spark, sf_dir):
+    found = lookup.paths_exist(fx.requests(spark, sf_dir), fx.objects(spark, sf_dir))
+    body = F.to_json(F.struct(F.create_map("path", "exists").alias("paths")))
+    return responses.existence_rows(found.select("rid", body.alias("body")))
+
+
+@query("select c_name as username, c_mktsegment as segment from customer")
+def read_users(spark, sf_dir):
+    info = F.create_map("c_name", F.struct(F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation")))
+    log = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("rid"), F.to_json(info).alias("body"))
+    return responses.user_rows(log).select("username", F.col("info")["segment"].alias("segment"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators import grants
 from shelfmark.plans import fixtures as fx
 from shelfmark.plans.registry import query
+from shelfmark.sources import responses
 
 
 def _in_force(spark, sf_dir):
@@ -110,3 +111,31 @@ def unshare_users(spark, sf_dir):
 )
 def share_payload(spark, sf_dir):
     return grants.share_payloads(_in_force(spark, sf_dir), page_size=15)
+
+
+@query(
+    """
+    select usr, part, '{"unshare":[{"user":"' || usr || '","paths":['
+           || string_agg('"' || path || '"', ',' order by path) || ']}]}' as payload
+    from (select *, (row_number() over (partition by usr order by path) - 1) // 15 as part
+          from (select distinct usr, path from views_seen))
+    group by usr, part
+    """,
+    views=("views_seen",),
+)
+def unshare_payload(spark, sf_dir):
+    return grants.unshare_payloads(fx.views_seen(spark, sf_dir), page_size=15)
+
+
+@query("select cast(usr as varchar) as usr, path, permission from in_force", views=("in_force",))
+def read_share_payloads(spark, sf_dir):
+    posted = grants.share_payloads(_in_force(spark, sf_dir), page_size=15)
+    log = posted.select(F.col("part").alias("rid"), F.col("payload").alias("body"))
+    return responses.share_rows(log).select("usr", "path", "permission")
+
+
+@query("select distinct cast(usr as varchar) as usr, path from views_seen", views=("views_seen",))
+def read_unshare_payloads(spark, sf_dir):
+    posted = grants.unshare_payloads(fx.views_seen(spark, sf_dir), page_size=15)
+    log = posted.select(F.col("part").alias("rid"), F.col("payload").alias("body"))
+    return responses.unshare_rows(log).select("usr", "path")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators import tags
 from shelfmark.plans import fixtures as fx
 from shelfmark.plans.registry import query
+from shelfmark.sources import responses
 
 
 def _tags(spark, sf_dir):
@@ -83,3 +84,10 @@ def tag_payload(spark, sf_dir):
 )
 def has_tag(spark, sf_dir):
     return tags.has_tag(_tags(spark, sf_dir), "brand", "Brand#2")
+
+
+@query("select * from tags", views=("tags",))
+def read_tag_payloads(spark, sf_dir):
+    posted = tags.tag_payloads(_tags(spark, sf_dir), page_size=2)
+    log = posted.select(F.col("id").alias("rid"), F.col("payload").alias("body"))
+    return responses.tag_rows(log).select(F.col("rid").alias("id"), "ns", "attr", "value", "unit")
