@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,8 +34,11 @@ def response_outcome(endpoint: Column, status: Column, body: Column) -> Column:
     return outcome.when(status >= 400, F.lit("http_error")).otherwise(F.lit("ok"))
 
 
-def has_keys(body: Column, keys: Sequence[str]) -> Column:
-    """All ``keys`` are present at the top level, whatever their values."""
+def has_keys(body: Column, keys: Sequence[str], nulls_count: bool = True) -> Column:
+    """All ``keys`` are present at the top level; ``nulls_count`` says whether null will do."""
+    if not nulls_count:
+        found = [F.get_json_object(body, f"$['{key}']").isNotNull() for key in keys]
+        return reduce(and_, found, F.lit(True))
     present = F.json_object_keys(body)
     wanted = F.array(*[F.lit(k) for k in keys])
     return F.coalesce(F.size(F.array_except(wanted, present)) == 0, F.lit(False))

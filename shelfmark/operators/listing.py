@@ -15,8 +15,6 @@ from shelfmark.operators.numbering import MAX_GROUP_ROWS, page_within
 
 PAGE_SIZE = 1000
 
-CATALOG_COLUMNS = ("path", "label", "parent", "type", "id", "md5", "size")
-
 
 def with_path_parts(df: DataFrame, path: str = "path") -> DataFrame:
     """Add ``label`` and ``parent``, taken from the normalised path."""

@@ -43,9 +43,9 @@ def classify_responses(log: DataFrame) -> DataFrame:
     return log.withColumn("outcome", outcome)
 
 
-def require_keys(log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``complete``: the body has all the keys, null values included."""
-    return log.withColumn("complete", has_keys(F.col("body"), keys))
+def require_keys(log: DataFrame, keys: Sequence[str], nulls_count: bool = True) -> DataFrame:
+    """Add ``complete``: the body has all the keys, by default also with null values."""
+    return log.withColumn("complete", has_keys(F.col("body"), keys, nulls_count))
 
 
 def extract_entry(log: DataFrame, path: str = "path") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,9 @@ from shelfmark.functions.patterns import FileRules
 # Up to this many patterns are compared with every path directly.
 MAX_BROADCAST_PATTERNS = 256
 
-# Length of the text pieces that larger pattern tables are matched through.
-GRAM = 3
+# Lengths of the text pieces that larger pattern tables are matched through: a
+# pattern uses the longest that fits it, as long pieces are rare ones.
+PIECES = (6, 3, 2, 1)
 
 
 def select_files(objects: DataFrame, rules: FileRules) -> DataFrame:
@@ -40,7 +43,7 @@ def match_pattern_table(
     """Rows of ``paths`` that contain any of the patterns, ignoring case.
 
     A counted, small pattern table is broadcast and scanned per path.  A larger
-    one is matched by equality on text pieces, so no path meets every pattern.
+    one is matched by equality on pieces of text, so no path meets every pattern.
     """
     wanted = (
         patterns.select(F.lower(F.col(pattern)).alias("_pattern"))
@@ -50,37 +53,36 @@ def match_pattern_table(
     if wanted.limit(max_broadcast + 1).count() <= max_broadcast:
         hit = F.contains(F.lower(F.col(path)), F.col("_pattern"))
         return paths.join(F.broadcast(wanted), hit, "left_semi")
-    return _match_by_grams(paths, wanted, path)
+    return _match_by_pieces(paths, wanted, path)
 
 
-def _grams(text: Column, size: int) -> Column:
+def _pieces(text: Column, size: int) -> Column:
     """Distinct substrings of ``size`` characters; none when the text is shorter."""
     starts = F.sequence(F.lit(1), F.length(text) - size + 1)
-    pieces = F.array_distinct(F.transform(starts, lambda at: F.substring(text, at, F.lit(size))))
-    return F.when(F.length(text) >= size, pieces).otherwise(F.array().cast("array<string>"))
+    cut = F.array_distinct(F.transform(starts, lambda at: F.substring(text, at, F.lit(size))))
+    return F.when(F.length(text) >= size, cut).otherwise(F.array().cast("array<string>"))
 
 
-def _match_by_grams(paths: DataFrame, wanted: DataFrame, path: str) -> DataFrame:
-    size = F.least(F.length("_pattern"), F.lit(GRAM))
-    sizes = sorted(row[0] for row in wanted.select(size).distinct().collect())  # at most GRAM + 1 rows
-    if sizes and sizes[0] == 0:
+def _match_by_pieces(paths: DataFrame, wanted: DataFrame, path: str) -> DataFrame:
+    size = reduce(lambda case, n: case.when(F.length("_pattern") >= n, n), PIECES, F).otherwise(0)
+    sized = wanted.withColumn("_size", size)
+    used = [row[0] for row in sized.select("_size").distinct().collect()]  # at most one per length
+    if 0 in used:
         return paths  # the empty pattern is in every path
-    pieces = paths.select(F.lower(F.col(path)).alias("_path")).select(
-        "_path", F.explode(F.concat(*[_grams(F.col("_path"), n) for n in sizes])).alias("_gram")
+    offered = paths.select(F.lower(F.col(path)).alias("_path")).select(
+        "_path", F.explode(F.concat(*[_pieces(F.col("_path"), n) for n in used])).alias("_piece")
     )
+    own = reduce(lambda case, n: case.when(F.col("_size") == n, _pieces(F.col("_pattern"), n)), used, F)
     # Each pattern is looked up through the rarest of its pieces: common ones,
     # such as those of a shared path prefix, would pair it with most paths.
-    frequency = pieces.groupBy("_gram").agg(F.count(F.lit(1)).alias("_paths"))
-    own = F.when(F.length("_pattern") < GRAM, F.array("_pattern")).otherwise(
-        _grams(F.col("_pattern"), GRAM)
-    )
-    rarest = F.min_by("_gram", F.struct(F.coalesce("_paths", F.lit(0)), "_gram"))
+    frequency = offered.groupBy("_piece").agg(F.count(F.lit(1)).alias("_paths"))
+    rarest = F.min_by("_piece", F.struct(F.coalesce("_paths", F.lit(0)), "_piece"))
     anchors = (
-        wanted.select("_pattern", F.explode(own).alias("_gram"))
-        .join(frequency, "_gram", "left")
+        sized.select("_pattern", F.explode(own).alias("_piece"))
+        .join(frequency, "_piece", "left")
         .groupBy("_pattern")
-        .agg(rarest.alias("_gram"))
+        .agg(rarest.alias("_piece"))
     )
-    same = (pieces["_gram"] == anchors["_gram"]) & F.contains(pieces["_path"], anchors["_pattern"])
-    hits = pieces.join(anchors, same, "left_semi").select("_path").distinct()
+    same = (offered["_piece"] == anchors["_piece"]) & F.contains(offered["_path"], anchors["_pattern"])
+    hits = offered.join(anchors, same, "left_semi").select("_path").distinct()
     return paths.join(hits, F.lower(paths[path]) == hits["_path"], "left_semi")

@@ -12,7 +12,9 @@ from shelfmark.operators.grants import check_grants
 from shelfmark.operators.numbering import page_within
 from shelfmark.plans import fixtures as fx
 from shelfmark.plans.registry import query
+from shelfmark.session import scratch_path
 from shelfmark.sources import responses
+from shelfmark.sources.catalog import read_catalog, write_catalog
 
 SRC1 = "/store/home/src1"
 
@@ -37,6 +39,17 @@ def list_directory(spark, sf_dir):
     return found.filter("status = 'ok'").select("path", "label", "type")
 
 
+@query(
+    "select path, label, type from objects where parent = '/store/home/src1/en' order by label limit 1000",
+    views=("objects",),
+)
+def list_stored_directory(spark, sf_dir):
+    location = scratch_path(spark, "catalog")
+    write_catalog(fx.objects(spark, sf_dir), location)
+    found = listing.list_directory(read_catalog(spark, location), SRC1 + "/en")
+    return found.filter("status = 'ok'").select("path", "label", "type")
+
+
 @query(
     "select path, label, md5, size from objects where parent = '/store/home/src1/en' and type = 'file'",
     views=("objects",),

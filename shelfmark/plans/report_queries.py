@@ -27,14 +27,15 @@ def _readable_sql(n: str, symbols: str) -> str:
 
 @query(
     f"""
-    select parent, count(*) as n_files, cast(sum(size) as decimal(38,0)) as n_bytes,
+    select parent, count(*) as n_files, cast(sum(size) as bigint) as n_bytes,
            {_readable_sql('sum(size)', 'customary')} as readable
     from objects where type = 'file' group by parent
     """,
     views=("objects",),
 )
 def storage_usage(spark, sf_dir):
-    return reports.storage_usage(fx.objects(spark, sf_dir))
+    usage = reports.storage_usage(fx.objects(spark, sf_dir))
+    return usage.withColumn("n_bytes", F.col("n_bytes").cast("long"))
 
 
 @query(
@@ -88,6 +89,15 @@ def require_keys(spark, sf_dir):
     return reports.require_keys(fx.resplog(spark, sf_dir), ["paths"]).select("rid", "complete")
 
 
+@query(
+    "select rid, coalesce(json_type(body, '$.paths') <> 'NULL', false) as complete from resplog",
+    views=("resplog",),
+)
+def require_non_null_keys(spark, sf_dir):
+    checked = reports.require_keys(fx.resplog(spark, sf_dir), ["paths"], nulls_count=False)
+    return checked.select("rid", "complete")
+
+
 @query(
     """
     select rid, path, coalesce(cast(json_extract(body, '$.paths."' || path || '"') as boolean), false) as "exists"

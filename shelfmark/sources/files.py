@@ -30,7 +30,7 @@ _LISTING_ROWS = 10_000
 def list_local_files(spark: SparkSession, source: str, rules: FileRules | None = None) -> DataFrame:
     """``uri, path, label, size`` of the files directly in ``source`` that pass the rules.
 
-    ``source`` may also be one file.  No file is opened.
+    ``source`` may also be one file, to which no rules apply.  No file is opened.
     """
     filesystem, path = open_filesystem(source)
     kind = filesystem.get_file_info(path).type
@@ -44,7 +44,7 @@ def list_local_files(spark: SparkSession, source: str, rules: FileRules | None =
                 yield from _listing(where, single)
 
     found = spark.createDataFrame([(source,)], "source string").mapInArrow(run, LISTING_SCHEMA)
-    if rules is None:
+    if rules is None or single:
         return found
     return found.filter(rules.predicate(F.col("path"), F.col("label")))
 

@@ -106,15 +106,21 @@ def export_directory(
 ) -> None:
     """Copy the stored files directly under ``from_path`` that pass the rules.
 
-    A manifest is checked against the directory before anything is written.
+    ``from_path`` may also be one file, to which no rules apply.  A manifest is
+    checked against the directory before anything is written, and it is an error
+    if there is nothing to copy.
     """
-    content = open_store(spark, store).filter(F.col("parent") == normalize_path(F.lit(from_path)))
+    source = normalize_path(F.lit(from_path))
+    below, itself = F.col("parent") == source, F.col("path") == source
+    content = open_store(spark, store).filter(below | itself)
     if manifest is not None:
         checked = verify_checksums(stored_files(content), manifest)
         if not checksum_summary(checked).first()["passed"]:
             raise ValueError(f"checksums of {from_path} do not match the manifest")
     if rules is not None:
-        content = content.filter(rules.predicate(F.col("path"), F.col("label")))
+        content = content.filter(itself | rules.predicate(F.col("path"), F.col("label")))
+    if stored_files(content).isEmpty():
+        raise ValueError(f"no files to copy at {from_path}")
     last = F.col("md5").isNotNull()
     rows = content.select(F.col("label").alias("name"), "part", "content", last.alias("last"))
     # Nearly all files are one chunk and are written where they are read.

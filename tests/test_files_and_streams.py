@@ -5,9 +5,11 @@ from types import SimpleNamespace
 import pytest
 
 from shelfmark.functions.patterns import FileRules
+from shelfmark.operators import listing
 from shelfmark.operators.grants import current_grants
 from shelfmark.plans import fixtures as fx
 from shelfmark.session import scratch_path
+from shelfmark.sources import catalog
 from shelfmark.sources import files as tree
 from shelfmark.sources import store as content
 from shelfmark.streaming.copying import incremental_copy
@@ -132,6 +134,25 @@ def test_nothing_is_copied_when_the_manifest_differs(spark, folder, tmp_path, fr
     assert contents(out) == contents(folder)
 
 
+def test_export_of_one_file_and_of_nothing(spark, folder, tmp_path):
+    store, out = str(tmp_path / "store"), str(tmp_path / "out")
+    content.ingest_directory(spark, folder, store, "/h")
+    content.export_directory(spark, store, "/h/f1.txt/", out, FileRules(["no such pattern"]))
+    assert contents(out) == {"f1.txt": b"Hello, 1!"}
+    for path, rules in (("/nope", None), ("/h", FileRules(["no such pattern"]))):
+        with pytest.raises(ValueError, match="no files to copy"):
+            content.export_directory(spark, store, path, out, rules)
+
+
+def test_a_stored_catalog_prunes_by_directory(spark, tmp_path):
+    location = str(tmp_path / "catalog")
+    objects = fx.objects(spark, SF)
+    catalog.write_catalog(objects, location)
+    stored = catalog.read_catalog(spark, location)
+    assert rows(stored) == rows(objects)
+    assert "EqualTo(parent,/store/home/src1)" in plan_of(listing.list_directory(stored, "/store/home/src1/"))
+
+
 def test_incremental_copy_moves_only_what_is_new(spark, folder, tmp_path):
     store, checkpoint = str(tmp_path / "store"), str(tmp_path / "checkpoint")
 

@@ -99,10 +99,10 @@ def test_exclude_names_ignore_full_paths(spark):
 
 
 PATHS = [f"/store/home/{u}/{d}/file_{i}.txt" for u in ("Ann", "bob") for d in ("raw", "x") for i in range(12)] + ["", "é/Ñ"]
-PATTERNS = ["ANN", "file_1.", "/x/", "nothing here", "é", "_11.t", "o", "bo", "RAW/file_3", "zzzz"]
+PATTERNS = ["ANN", "store/home/bob/x/file_7", "/store/home/ann/zzz", "STORE", "file_1.", "/x/", "nothing here", "é", "_11.t", "o", "bo", "RAW/file_3", "zzzz"]
 
 
-@pytest.mark.parametrize("patterns", [PATTERNS, ["zz", "zzzz"], ["o"], ["", "zz"], [], [None, "ann"], ["b/r"], ["É/ñ"]])
+@pytest.mark.parametrize("patterns", [PATTERNS, ["zz", "zzzz"], ["o"], ["", "zz"], [], [None, "ann"], ["b/r"], ["É/ñ"], ["home/bob/raw/file_11.txt", "b"]])
 @pytest.mark.parametrize("max_broadcast", [256, 0])
 def test_pattern_table_equals_brute_force(frame, patterns, max_broadcast):
     paths = frame("path string", *[(p,) for p in PATHS + PATHS[:3]])

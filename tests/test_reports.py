@@ -129,6 +129,8 @@ def test_keys_and_entries(frame):
     )
     assert [r.complete for r in reports.require_keys(log, ["paths"]).collect()] == [True, True, True, False, False, False, False]
     assert [r.complete for r in reports.require_keys(log, ["paths", "x"]).collect()] == [True] + [False] * 6
+    strict = reports.require_keys(log, ["paths"], nulls_count=False)
+    assert [r.complete for r in strict.collect()] == [True, True] + [False] * 5
     assert [r.exists for r in reports.extract_entry(log).collect()] == [True] + [False] * 6
 
 
