@@ -130,13 +130,14 @@ def file_digests(files: DataFrame) -> DataFrame:
     return spread_by_bytes(files).mapInArrow(run, "path string, label string, size bigint, md5 string")
 
 
-def read_chunks(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The bytes of the listed files, one row per chunk.
+def read_chunks(files: DataFrame, chunk_bytes: int | None = CHUNK_BYTES) -> DataFrame:
+    """The bytes of the listed files, one row per chunk; null means whole files.
 
     Adds ``part`` from 0 up, ``content``, and ``md5``, which is the digest of
     the whole file on its last chunk and null before.  Only listed files are
     opened, and a task holds about a chunk at a time.
     """
+    batch_bytes = chunk_bytes or CHUNK_BYTES
     uri_at = files.columns.index("uri")
     names = [*files.columns, "part", "content", "md5"]
 
@@ -148,7 +149,7 @@ def read_chunks(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
                     rows.append(row)
                     chunks.append(chunk)
                     held += len(chunk[1])
-                    if held >= chunk_bytes:
+                    if held >= batch_bytes:
                         yield _with_chunks(batch, rows, chunks, names)
                         rows, chunks, held = [], [], 0
             if rows:
@@ -164,7 +165,7 @@ def _with_chunks(batch: pa.RecordBatch, rows: list, chunks: list, names: list) -
     return pa.RecordBatch.from_arrays([*batch.take(pa.array(rows)).columns, *added], names=names)
 
 
-def _chunks(uri: str, chunk_bytes: int) -> Iterator[tuple[int, bytes, str | None]]:
+def _chunks(uri: str, chunk_bytes: int | None) -> Iterator[tuple[int, bytes, str | None]]:
     filesystem, path = open_filesystem(uri)
     digest = hashlib.md5(usedforsecurity=False)
     with filesystem.open_input_stream(path) as stream:

@@ -2,7 +2,9 @@
 
 One row per chunk: ``path, label, parent, size, part, content, md5``.  ``md5``
 is set on the last chunk of a file only, so the rows that have it are the
-catalog, and reading those touches no content.
+catalog, and reading those touches no content.  Files of one chunk and of
+several lie in separate partitions, ``chunked``, as only the latter have to be
+put together again.
 """
 
 from __future__ import annotations
@@ -18,14 +20,16 @@ from shelfmark.sources.file_writer import FileTreeSink
 from shelfmark.sources.files import CHUNK_BYTES, list_local_files, read_chunks, spread_by_bytes
 
 STORE_SCHEMA = (
-    "path string, label string, parent string, size bigint, part bigint, content binary, md5 string"
+    "path string, label string, parent string, size bigint, part bigint, content binary, md5 string, "
+    "chunked boolean"
 )
 STORE_COLUMNS = ["path", "label", "parent", "size", "part", "content", "md5"]
 
 
 def open_store(spark: SparkSession, store: str) -> DataFrame:
     """The content table at ``store``, created empty if there is none."""
-    spark.createDataFrame([], STORE_SCHEMA).write.mode("ignore").parquet(store)
+    nothing = spark.createDataFrame([], STORE_SCHEMA)
+    nothing.write.mode("ignore").partitionBy("chunked").parquet(store)
     return spark.read.schema(STORE_SCHEMA).parquet(store)
 
 
@@ -53,9 +57,13 @@ def append_new(listing: DataFrame, store: str, dest: str, chunk_bytes: int = CHU
     parent = normalize_path(F.lit(dest))
     there = stored_files(open_store(spark, store)).filter(F.col("parent") == parent)
     todo = skip_existing(first_wins(listing), there)
-    chunks = read_chunks(spread_by_bytes(todo), chunk_bytes)
-    rows = chunks.withColumn("parent", parent).withColumn("path", join_path(parent, F.col("label")))
-    rows.select(*STORE_COLUMNS).write.mode("append").parquet(store)
+    sets = {"false": todo.filter(F.col("size") <= chunk_bytes), "true": todo.filter(F.col("size") > chunk_bytes)}
+    for chunked, files in sets.items():
+        if files.isEmpty():
+            continue
+        chunks = read_chunks(spread_by_bytes(files), chunk_bytes if chunked == "true" else None)
+        rows = chunks.withColumn("parent", parent).withColumn("path", join_path(parent, F.col("label")))
+        rows.select(*STORE_COLUMNS).write.mode("append").parquet(f"{store}/chunked={chunked}")
 
 
 def ingest_directory(
@@ -122,9 +130,8 @@ def export_directory(
     if stored_files(content).isEmpty():
         raise ValueError(f"no files to copy at {from_path}")
     last = F.col("md5").isNotNull()
-    rows = content.select(F.col("label").alias("name"), "part", "content", last.alias("last"))
+    rows = content.select(F.col("label").alias("name"), "part", "content", last.alias("last"), "chunked")
     # Nearly all files are one chunk and are written where they are read.
-    single = rows.filter((F.col("part") == 0) & F.col("last"))
-    chunked = rows.filter((F.col("part") > 0) | ~F.col("last"))
-    export_rows(single, directory, overwrite)
-    export_rows(chunked.repartition("name").sortWithinPartitions("name", "part"), directory, overwrite)
+    export_rows(rows.filter(~F.col("chunked")), directory, overwrite)
+    chunked = rows.filter("chunked").repartition("name").sortWithinPartitions("name", "part")
+    export_rows(chunked, directory, overwrite)

@@ -86,6 +86,8 @@ def test_copy_in_and_out(spark, folder, tmp_path):
     content.append_new(tree.list_local_files(spark, folder), store, "/store/home/me", chunk_bytes=1000)
     catalog = content.stored_files(content.open_store(spark, store))
     assert rows(catalog, "label", "size", "md5") == digests(folder)
+    stored = content.open_store(spark, store)
+    assert {r[0] for r in rows(stored.filter("chunked"), "label")} == {"big.bin", "edge.bin"}
     assert "content" not in plan_of(catalog).split("ReadSchema")[1]
     content.export_directory(spark, store, "/store/home/me/", out)
     assert contents(out) == contents(folder)
