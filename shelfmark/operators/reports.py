@@ -15,17 +15,13 @@ from shelfmark.functions.text import replace_literal
 
 
 def storage_usage(objects: DataFrame, by: str = "parent", symbols: str = "customary") -> DataFrame:
-    """Files, bytes and readable size per directory.
-
-    The sum is taken in decimal: a store can hold more bytes than a long counts.
-    """
+    """Files, bytes and readable size per directory."""
     files = objects.filter(F.col("type") == "file")
     total = files.groupBy(by).agg(
         F.count(F.lit(1)).alias("n_files"),
-        F.sum(F.col("size").cast("decimal(20,0)")).cast("decimal(38,0)").alias("n_bytes"),
+        F.sum("size").alias("n_bytes"),
     )
-    text = readable_bytes(F.col("n_bytes"), symbols=symbols, wide=True)
-    return total.withColumn("readable", text)
+    return total.withColumn("readable", readable_bytes(F.col("n_bytes"), symbols=symbols))
 
 
 def rewrite_text(
