@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.patterns import FileRules
+from shelfmark.functions.patterns import FileRules, matches_any
 
-# Up to this many patterns are compared with every path directly.
-MAX_BROADCAST_PATTERNS = 256
+# Up to this many patterns become a predicate that every path is tested with.
+MAX_LISTED_PATTERNS = 128
 
 # Lengths of the text pieces that larger pattern tables are matched through: a
 # pattern uses the longest that fits it, as long pieces are rare ones.
@@ -38,21 +38,20 @@ def match_pattern_table(
     patterns: DataFrame,
     path: str = "path",
     pattern: str = "pattern",
-    max_broadcast: int = MAX_BROADCAST_PATTERNS,
+    max_listed: int = MAX_LISTED_PATTERNS,
 ) -> DataFrame:
     """Rows of ``paths`` that contain any of the patterns, ignoring case.
 
-    A counted, small pattern table is broadcast and scanned per path.  A larger
-    one is matched by equality on pieces of text, so no path meets every pattern.
+    A pattern table found to be small becomes a filter.  A larger one is matched by equality on pieces of text, so no path meets every pattern.
     """
     wanted = (
         patterns.select(F.lower(F.col(pattern)).alias("_pattern"))
         .filter(F.col("_pattern").isNotNull())
         .distinct()
     )
-    if wanted.limit(max_broadcast + 1).count() <= max_broadcast:
-        hit = F.contains(F.lower(F.col(path)), F.col("_pattern"))
-        return paths.join(F.broadcast(wanted), hit, "left_semi")
+    listed = [row[0] for row in wanted.limit(max_listed + 1).collect()]
+    if len(listed) <= max_listed:
+        return paths.filter(matches_any(F.col(path), listed))
     return _match_by_pieces(paths, wanted, path)
 
 
