@@ -399,7 +399,7 @@ def validate_permission(spark, sf_dir):
 
 
 def _info(*names) -> Column:
-    """A JSON object of the named columns, nulls left out, as the store sends it."""
+    """The named columns as one JSON object, once rendered; nulls are left out."""
     return F.struct(*[F.col(n) for n in names])
 
 

@@ -16,6 +16,7 @@ from shelfmark.functions.patterns import FileRules
 from shelfmark.functions.paths import join_path, normalize_path
 from shelfmark.operators.integrity import checksum_summary, verify_checksums
 from shelfmark.operators.transfer import first_wins, plan_actions, skip_existing, transfer_ordinals
+from shelfmark.session import durable
 from shelfmark.sources.file_writer import FileTreeSink
 from shelfmark.sources.files import CHUNK_BYTES, list_local_files, read_chunks, spread_by_bytes
 
@@ -56,7 +57,8 @@ def append_new(listing: DataFrame, store: str, dest: str, chunk_bytes: int = CHU
     spark = listing.sparkSession
     parent = normalize_path(F.lit(dest))
     there = stored_files(open_store(spark, store)).filter(F.col("parent") == parent)
-    todo = skip_existing(first_wins(listing), there)
+    # Fixed before the copy, so that a recomputed task reads the very same files.
+    todo = durable(skip_existing(first_wins(listing), there))
     sets = {"false": todo.filter(F.col("size") <= chunk_bytes), "true": todo.filter(F.col("size") > chunk_bytes)}
     for chunked, files in sets.items():
         if files.isEmpty():
