@@ -6,7 +6,9 @@ of 0.75 share none with a probability of 1e-6.  All samples are folded into an
 odd sketch: sample i toggles one of ``BITS`` parity bits, so the population count
 of the XOR of two sketches estimates how many samples differ.  Pairs that meet in
 a bucket and whose estimate is within five standard errors of the threshold are
-confirmed on the full sets of 64-bit shingle hashes.
+confirmed on the full sets of 64-bit shingle hashes.  Documents that share a
+bucket with another component get larger sketches for the second pass, so that
+of many documents with one common passage few pairs have to be confirmed.
 """
 
 from __future__ import annotations
@@ -22,49 +24,56 @@ from shelfmark.llm.common import components, matrix, sorted_groups, stored, tabl
 from shelfmark.llm.registry import query
 from shelfmark.llm.words import GOLDEN, mix, shingle_sets
 
-SAMPLES, BANDS, ROWS, BITS = 256, 36, 4, 512
+BANDS, ROWS = 36, 4
 BLOCK, PIVOTS = 256, 16
-# Standard error of an estimate at 0.75: that of the samples and that of the folding.
-ERROR = 0.034
+# Samples and bits of the sketches of the two passes, and the standard error of an
+# estimate at 0.75: that of the samples and that of the folding.
+SAMPLES, BITS, ERROR = 256, 512, 0.034
+FINE_SAMPLES, FINE_BITS, FINE_ERROR = 2048, 4096, 0.0125
 
 _SIGNATURES = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sketch binary"
 
 
-def _constants() -> tuple[np.ndarray, np.ndarray]:
-    seeds = mix(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64) * np.uint64(GOLDEN))
-    return seeds[:SAMPLES] | np.uint64(1), seeds[SAMPLES:]
+def _constants(samples: int) -> tuple[np.ndarray, np.ndarray]:
+    seeds = mix(np.arange(1, 2 * samples + 1, dtype=np.uint64) * np.uint64(GOLDEN))
+    return seeds[:samples] | np.uint64(1), seeds[samples:]
 
 
 def min_hashes(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
-    """The smallest image of the set under each of ``SAMPLES`` hash functions."""
+    """The smallest image of the set under each hash function."""
     least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 512):
-        images = shingles[at : at + 512, None] * factors[None, :]
+    step = max(1, (1 << 17) // len(factors))
+    for at in range(0, len(shingles), step):
+        images = shingles[at : at + step, None] * factors[None, :]
         images += shifts
         np.minimum(least, images.min(axis=0), out=least)
     return least
 
 
-def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """Parity bitmaps of rows of MinHash samples, as ``BITS / 64`` words each."""
-    place = mix(samples ^ (np.arange(samples.shape[1], dtype=np.uint64) * np.uint64(GOLDEN))) % np.uint64(BITS)
-    bits = np.zeros((len(samples), BITS), np.uint8)
-    np.bitwise_xor.at(bits, (np.arange(len(samples))[:, None], place.astype(np.int64)), 1)
-    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+def odd_sketches(samples: np.ndarray, bits: int) -> np.ndarray:
+    """Parity bitmaps of rows of MinHash samples, as ``bits / 64`` words each."""
+    place = mix(samples ^ (np.arange(samples.shape[1], dtype=np.uint64) * np.uint64(GOLDEN))) % np.uint64(bits)
+    odd = np.zeros((len(samples), bits), np.uint8)
+    for row, own in enumerate(place.astype(np.int64)):
+        odd[row] = np.bincount(own, minlength=bits) & 1
+    return np.packbits(odd, axis=1, bitorder="little").view(np.uint64)
 
 
-def estimated_similarity(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def estimated_similarity(left: np.ndarray, right: np.ndarray, samples: int) -> np.ndarray:
     """Similarities of all rows of ``left`` with all of ``right``, from their odd sketches."""
-    odd = np.bitwise_count(left[:, None, :] ^ right[None, :, :]).sum(axis=2, dtype=np.int64)
-    share = np.minimum(2.0 * odd / BITS, 1 - 1e-9)
-    return 1 + BITS / (4 * SAMPLES) * np.log1p(-share)
+    bits = 64 * left.shape[1]
+    odd = np.zeros((len(left), len(right)), np.int32)
+    for word in range(left.shape[1]):
+        odd += np.bitwise_count(left[:, None, word] ^ right[None, :, word])
+    share = np.minimum(2.0 * odd / bits, 1 - 1e-9)
+    return 1 + bits / (4 * samples) * np.log1p(-share)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles``, a fingerprint of the set, its band keys and its odd sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factors, shifts = _constants()
+        factors, shifts = _constants(SAMPLES)
         salt = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
         weights = mix(np.arange(101, 101 + ROWS, dtype=np.uint64)) | np.uint64(1)
         for batch in text_slices(batches):
@@ -85,7 +94,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     pa.ListArray.from_arrays(
                         pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel().view(np.int64))
                     ),
-                    pa.array([row.tobytes() for row in odd_sketches(samples)], pa.binary()),
+                    pa.array([row.tobytes() for row in odd_sketches(samples, BITS)], pa.binary()),
                 ],
                 names=["doc_id", "n_shingles", "fp1", "fp2", "bands", "sketch"],
             )
@@ -93,13 +102,29 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, _SIGNATURES)
 
 
-def _candidates(grouped: DataFrame, cut: float, crossing: bool) -> DataFrame:
-    """Pairs ``a < b`` whose estimate reaches ``cut``, from rows sorted by bucket and block.
+def fine_sketches(sets: DataFrame) -> DataFrame:
+    """``id, sketch`` of packed shingle sets, with more samples and bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors, shifts = _constants(FINE_SAMPLES)
+        for batch in text_slices(batches, "shingles"):
+            packed = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
+            samples = np.array([min_hashes(x, factors, shifts) for x in packed])
+            sketches = [row.tobytes() for row in odd_sketches(samples, FINE_BITS)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sketches, pa.binary())], names=["id", "sketch"])
+
+    return sets.select("id", "shingles").mapInArrow(run, "id long, sketch binary")
+
+
+def _candidates(grouped: DataFrame, percent: int, crossing: bool) -> DataFrame:
+    """Pairs ``a < b`` whose estimate is within five errors of ``percent``, from rows with bucket and block.
 
     ``near`` rows are compared with all rows of their group.  Without
     ``crossing`` each row gives its smallest partner only; with it, all pairs
     whose components differ.
     """
+    samples, error = (FINE_SAMPLES, FINE_ERROR) if crossing else (SAMPLES, ERROR)
+    cut = percent / 100 - 5 * error
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lows, highs, held = [], [], 0
@@ -114,11 +139,11 @@ def _candidates(grouped: DataFrame, cut: float, crossing: bool) -> DataFrame:
             if crossing:
                 comps = group.column("comp").to_numpy()[order]
                 near = np.flatnonzero(group.column("near").to_numpy(zero_copy_only=False)[order])
-                hit = estimated_similarity(sketches[near], sketches) >= cut
+                hit = estimated_similarity(sketches[near], sketches, samples) >= cut
                 left, right = np.nonzero(hit & (comps[near][:, None] != comps[None, :]))
                 one, two = ids[near[left]], ids[right]
             else:
-                hit = np.tril(estimated_similarity(sketches, sketches) >= cut, -1)
+                hit = np.tril(estimated_similarity(sketches, sketches, samples) >= cut, -1)
                 rows = np.flatnonzero(hit.any(axis=1))
                 one, two = ids[rows], ids[hit[rows].argmax(axis=1)]
             lows.append(np.minimum(one, two))
@@ -134,7 +159,7 @@ def _candidates(grouped: DataFrame, cut: float, crossing: bool) -> DataFrame:
     return placed.mapInArrow(run, "a long, b long").distinct()
 
 
-def _first_candidates(buckets: DataFrame, classes: DataFrame, cut: float) -> DataFrame:
+def _first_candidates(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Each row's smallest partner in its own block of each bucket.
 
     A bucket is dealt into blocks of about ``BLOCK`` rows by a hash of the id;
@@ -145,10 +170,10 @@ def _first_candidates(buckets: DataFrame, classes: DataFrame, cut: float) -> Dat
     every = F.when(spot < PIVOTS, F.sequence(F.lit(0).cast("long"), blocks - 1))
     own = F.array(F.pmod(F.xxhash64("bucket", "id"), blocks))
     dealt = buckets.select("bucket", "id", F.explode(F.coalesce(every, own)).alias("block"))
-    return _candidates(dealt.join(classes.select("id", "sketch"), "id"), cut, crossing=False)
+    return _candidates(dealt.join(classes.select("id", "sketch"), "id"), percent, crossing=False)
 
 
-def _crossing_candidates(buckets: DataFrame, classes: DataFrame, comps: DataFrame, cut: float) -> DataFrame:
+def _crossing_candidates(buckets: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """All pairs of a bucket that lie in different components so far.
 
     Rows outside a bucket's largest component are compared with all its rows,
@@ -163,7 +188,8 @@ def _crossing_candidates(buckets: DataFrame, classes: DataFrame, comps: DataFram
         .agg(F.sum("c").alias("n"), F.max("c").alias("most"), F.max_by("comp", F.struct("c", "comp")).alias("main"))
         .filter("most < n")
     )
-    rows = of.join(mixed, "bucket")
+    rows = stored(of.join(mixed, "bucket"), "mixed")
+    fine = fine_sketches(sets.join(rows.select("id").distinct(), "id", "left_semi"))
     near = F.col("comp") != F.col("main")
     all_blocks, near_blocks = F.ceil(F.col("n") / BLOCK), F.ceil((F.col("n") - F.col("most")) / BLOCK)
     at = F.pmod(F.xxhash64("bucket", "id"), all_blocks)
@@ -178,7 +204,7 @@ def _crossing_candidates(buckets: DataFrame, classes: DataFrame, comps: DataFram
         "bucket", "id", "comp", "at.block", "at.near"
     )
     dealt = dealt.groupBy("bucket", "block", "id", "comp").agg(F.max("near").alias("near"))
-    return _candidates(dealt.join(classes.select("id", "sketch"), "id"), cut, crossing=True)
+    return _candidates(dealt.join(fine, "id"), percent, crossing=True)
 
 
 def shingle_table(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -236,13 +262,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     banded = classes.select("id", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = stored(banded.join(shared, "bucket"), "buckets")
-    cut = percent / 100 - 5 * ERROR
-    first = stored(_first_candidates(buckets, classes, cut), "first")
+    first = stored(_first_candidates(buckets, classes, percent), "first")
     met = buckets.select("id").distinct()
     sets = stored(shingle_table(docs, met), "sets").dropDuplicates(["id"])
     links = stored(confirmed(first, sets, percent), "confirmed")
     comps = components(links)
-    rest = _crossing_candidates(buckets, classes, comps, cut).join(first, ["a", "b"], "left_anti")
+    rest = _crossing_candidates(buckets, sets, comps, percent).join(first, ["a", "b"], "left_anti")
     links = links.unionByName(stored(confirmed(rest, sets, percent), "confirmed"))
     # A document belongs to its class; repeated ids tie their classes together.
     member = named.join(classes.select("fp1", "fp2", "n_shingles", "id"), ["fp1", "fp2", "n_shingles"])
