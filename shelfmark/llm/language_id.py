@@ -22,7 +22,7 @@ from shelfmark.llm.registry import query
 # The sample: about so many documents of each language, and so many windows of each.
 TRAIN_DOCUMENTS, TRAIN_WINDOWS, TRAIN_WIDTH = 500, 12, 64
 HIDDEN, STEPS, BATCH = 8, 500, 192
-WIDTH, ROWS = 256, 4096
+WIDTH, ROWS = 256, 2048
 PAD = 256
 
 
