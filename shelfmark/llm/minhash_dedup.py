@@ -283,6 +283,17 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
 
 
+def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns; of rows with one ``doc_id`` one is kept.
+
+    Rows without an id all stay.
+    """
+    verdicts = near_duplicates(docs, percent).filter("kept").select(F.col("doc_id").alias("of")).distinct()
+    named = docs.filter("doc_id is not null")
+    chosen = named.join(stored(verdicts, "kept"), F.col("doc_id") == F.col("of"), "left_semi")
+    return chosen.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id is null"))
+
+
 _ORACLE = r"""
 with recursive words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
