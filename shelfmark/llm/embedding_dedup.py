@@ -69,9 +69,10 @@ def _hashed(classes: DataFrame, bits: int, tables: int) -> DataFrame:
 
 def _linked(dealt: DataFrame, threshold: float) -> DataFrame:
     """``cid, links, id, root``: per block the links of each vector first met there, and whom it reaches."""
+    keys = ["t", "bucket", "dims", "low", "high"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in sorted_groups(batches, ["t", "bucket", "low", "high"]):
+        for group in sorted_groups(batches, keys):
             if group.num_rows < 2:
                 continue
             where, low, high = (group.column(c).to_numpy() for c in ("own", "low", "high"))
@@ -87,8 +88,7 @@ def _linked(dealt: DataFrame, threshold: float) -> DataFrame:
                 continue
             i, j = left[i], right[j]
             same = group.column("label").to_numpy()
-            dims = group.column("dims").to_numpy()
-            ok = (same[i] == same[j]) & (dims[i] == dims[j])
+            ok = same[i] == same[j]
             i, j = i[ok], j[ok]
             # A pair counts only in the first table in which it meets.
             hashes, t = matrix(group.column("hashes"), np.int64), group.column("t")[0].as_py()
@@ -114,7 +114,6 @@ def _linked(dealt: DataFrame, threshold: float) -> DataFrame:
                 names=["cid", "links", "id", "root"],
             )
 
-    keys = ["t", "bucket", "low", "high"]
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "cid long, links long, id long, root long")
 
 
@@ -143,12 +142,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     hashed = _hashed(classes, bits, tables).withColumns({"dims": F.size("v"), "cid": F.monotonically_increasing_id()})
     numbered = stored(hashed, "hashed")
     keyed = numbered.select("cid", "label", "dims", F.posexplode("hashes").alias("t", "bucket"))
-    shared = keyed.groupBy("label", "t", "bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = keyed.join(shared, ["label", "t", "bucket"])
+    shared = keyed.groupBy("label", "dims", "t", "bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = keyed.join(shared, ["label", "dims", "t", "bucket"])
     blocks = F.ceil(F.col("n") / BLOCK)
     own = F.pmod(F.xxhash64("cid", "bucket"), blocks)
     spread = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    # Labels share no bucket: the label is part of its key.
+    # Labels share no bucket: the label is part of its key, as is the vectors' length.
     dealt = spread.select(
         "cid",
         "t",
