@@ -263,10 +263,10 @@ def apply_edits(docs: DataFrame, tokenizer: str, keep: bool = False) -> DataFram
 
 def with_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
     """``docs`` with an ``edits`` column from ``edits(doc_id, seq, start, end, text)``, in order of ``seq``."""
-    entry = F.struct("seq", "start", "end", F.col("text").alias("text"))
-    lists = edits.groupBy(F.col("doc_id").alias("of")).agg(F.sort_array(F.collect_list(entry)).alias("found"))
-    bare = F.transform("found", lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), e["text"].alias("text")))
-    return docs.join(lists, F.col("doc_id") == F.col("of"), "left").withColumn("edits", bare.cast(EDITS)).drop("of", "found")
+    entry = F.struct("seq", "start", "end", "text")
+    lists = edits.groupBy("doc_id").agg(F.sort_array(F.collect_list(entry)).alias("_found_edits"))
+    bare = F.transform("_found_edits", lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), e["text"].alias("text")))
+    return docs.join(lists, "doc_id", "left").withColumn("edits", bare.cast(EDITS)).drop("_found_edits")
 
 
 def sample_edits(text: Column) -> Column:

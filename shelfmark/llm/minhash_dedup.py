@@ -288,9 +288,8 @@ def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     Rows without an id all stay.
     """
-    verdicts = near_duplicates(docs, percent).filter("kept").select(F.col("doc_id").alias("of")).distinct()
-    named = docs.filter("doc_id is not null")
-    chosen = named.join(stored(verdicts, "kept"), F.col("doc_id") == F.col("of"), "left_semi")
+    verdicts = near_duplicates(docs, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
+    chosen = docs.join(stored(verdicts, "kept"), "doc_id", "left_semi").select(*docs.columns)
     return chosen.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id is null"))
 
 

@@ -1,0 +1,362 @@
+"""Packing, mixing, quality, personal data and token counts against brute force, with edge cases."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from shelfmark.llm import edit_counts, mixing, packing, personal_data, quality
+from shelfmark.llm.tokens import WordTokenizer
+from tests.llm.helpers import clashing, documents, sf_table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ODD_TEXTS = [
+    None,
+    "",
+    " \n\t ",
+    "word",
+    "café İstanbul é ẞ ΣΣ don't it's",
+    "x<|endoftext|>y <|EndOfText|> a\x01b \x01",
+    "a b　c   d\x1c\x1de !\x1c",
+    "[]!\"#$%&()*+,-./:;<=>?@[]^_`{|}~ a.b,c!!d",
+    "\U0001f600 " * 700,
+    "long" * 9000,
+]
+
+
+# --- packing
+
+
+def check_plan(counts, capacity):
+    steps = packing.pack(dict(counts), capacity)
+    starts = {length: [s[0] for s in own] for length, own in steps.items()}
+    sequences = collections.defaultdict(list)
+    for length, count in counts.items():
+        for rank in range(count):
+            at = 0
+            for start, part, sequence, offset in packing.places(steps, starts, length, rank):
+                assert start == at and part > 0
+                sequences[sequence].append((offset, part))
+                at += part
+            assert at == length
+    assert sorted(sequences) == list(range(len(sequences)))
+    for parts in sequences.values():
+        end = 0
+        for offset, part in sorted(parts):
+            assert offset == end
+            end += part
+        assert end == capacity or end & (end - 1) == 0 and end < capacity
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=20))
+def test_every_piece_is_placed_without_padding(counts):
+    check_plan(counts, 64)
+
+
+def test_plans_of_hard_lengths():
+    for counts in ({33: 100}, {64: 5}, {1: 1}, {63: 7, 2: 3}, {40: 1000, 25: 1}, {}):
+        check_plan(counts, 64)
+
+
+def test_best_fill_is_the_best():
+    counts = np.zeros(20, int)
+    counts[[3, 7, 11]] = 2, 1, 1
+    for space in range(1, 26):
+        taken = packing.best_fill(counts, space)
+        sums = {3 * a + 7 * b + 11 * c for a in range(3) for b in range(2) for c in range(2)}
+        assert sum(k * v for k, v in taken.items()) == max(s for s in sums if s <= space)
+        assert all(v <= counts[k] for k, v in taken.items())
+
+
+def test_word_by_word_ids_are_those_of_the_whole_text(spark):
+    path = packing.default_tokenizer()
+    encoder = WordTokenizer(path)
+    texts = [t or "" for t in ODD_TEXTS] + [r.text for r in sf_table(spark, "documents").collect()]
+    bounds, flat = encoder.texts(pa.array(texts))
+    for text, a, b in zip(texts, bounds[:-1], bounds[1:]):
+        assert flat[a:b].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def check_packed(rows, docs, capacity):
+    tokenizer = WordTokenizer(packing.default_tokenizer()).tokenizer
+    by, sequences = collections.defaultdict(list), collections.defaultdict(list)
+    for row in rows:
+        by[row.doc_id].append(row)
+        sequences[row.sequence_id].append(row)
+    for doc, text in docs:
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        at = 0
+        for row in sorted(by[doc], key=lambda r: r.start):
+            assert (row.start, row.doc_tokens) == (at, len(ids))
+            assert row.ids_crc32 == zlib.crc32(ids[at : at + row.length].tobytes())
+            at += row.length
+        assert at == len(ids)
+    for own in sequences.values():
+        at = 0
+        for row in sorted(own, key=lambda r: r.offset):
+            assert row.offset == at
+            at += row.length
+        assert at == capacity or at & (at - 1) == 0
+
+
+def test_packed_documents(spark):
+    rows = [*enumerate(ODD_TEXTS), *((r.doc_id + 100, r.text) for r in sf_table(spark, "documents").collect())]
+    df = clashing(documents(spark, *rows)).repartition(5)
+    check_packed(packing.pack_documents(df, packing.default_tokenizer(), capacity=512).collect(), rows, 512)
+
+
+def test_packed_null_and_repeated_ids(spark):
+    df = documents(spark, (None, "a b"), (1, "a b"), (1, "a b"))
+    got = packing.pack_documents(df, packing.default_tokenizer(), with_ids=True).collect()
+    assert sorted(((r.doc_id, r.start, r.doc_tokens) for r in got if r.start == 0), key=repr) == [(1, 0, 3)] * 2 + [(None, 0, 3)]
+    assert sum(r.length for r in got) == 9 and all(len(r.ids) == r.length for r in got)
+    assert packing.pack_documents(df.limit(0), packing.default_tokenizer()).count() == 0
+
+
+# --- mixing
+
+
+def brute_targets(sizes):
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    weights = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
+    left, free, target = Fraction(3, 2) * sum(sizes.values()), set(names), {}
+    while free:
+        level = left / sum(weights[s] for s in free)
+        over = [s for s in free if level * weights[s] > 2 * sizes[s]]
+        if not over:
+            return target | {s: level * weights[s] for s in free}
+        for s in over:
+            target[s] = Fraction(2 * sizes[s])
+            left -= target[s]
+            free.discard(s)
+    return target
+
+
+def test_mix(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 8)  # several levels of the tree
+    rng = random.Random(2)
+    rows = [(k, " ".join("w" * rng.choice([1, 3, 9, 30])), None, rng.choice(["b", "a", "é", "Z", None, "hot", "hot", "hot"])) for k in range(400)]
+    rows += [(1000, None, None, "hot"), (1001, " ", None, "empty"), (1002, "x " * 40, None, "one")]
+    df = clashing(documents(spark, *rows).drop("n_chars"))
+    got = mixing.mix_sources(df).collect()
+    again = mixing.mix_sources(df.repartition(7)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+    size = {r[0]: len(WORD.findall(r[1] or "")) for r in rows}
+    source = {r[0]: r[3] for r in rows}
+    sizes, taken = collections.Counter(), collections.Counter()
+    for doc, s in source.items():
+        sizes[s] += size[doc]
+    target = brute_targets(sizes)
+    for row in got:
+        assert (row.size, row.source_size) == (size[row.doc_id], sizes[source[row.doc_id]])
+        assert row.target == pytest.approx(float(target[source[row.doc_id]]))
+        assert row.taken in (0, row.size, 2 * row.size)
+        taken[source[row.doc_id]] += row.taken
+    for s, words in target.items():
+        assert abs(taken[s] - float(words)) <= max(size[d] for d in source if source[d] == s) / 2 + 1e-6
+    mixed = mixing.mixed_documents(df)
+    assert mixed.columns == df.columns
+    assert collections.Counter(r.doc_id for r in mixed.collect()) == {r.doc_id: r.taken // r.size for r in got if r.taken}
+
+
+def test_mix_of_nothing(spark):
+    df = documents(spark, (None, " ", None, "a"), (1, None, None, None))
+    assert sorted((tuple(r)[1:] for r in mixing.mix_sources(df).collect())) == [(0, 0, 0.0, 0)] * 2
+    assert mixing.mix_sources(df.limit(0)).count() == 0
+    assert mixing.mixed_documents(df).count() == 0
+
+
+def test_pivotal_rounding_keeps_words_and_expectation():
+    rng = random.Random(5)
+    sums = np.zeros(6)
+    for trial in range(4000):
+        keys = [rng.randrange(1 << 60) for _ in range(6)]
+        parts, held = mixing.pivotal(keys, [5, 1, 2, 9, 3, 4], [0.25] * 6)
+        assert sum(p * w for p, w in zip(parts, [5, 1, 2, 9, 3, 4])) == pytest.approx(6.0)
+        assert all(p in (0.0, 1.0) for k, p in enumerate(parts) if k != held)
+        sums += parts
+    assert np.abs(sums / 4000 - 0.25).max() < 0.03
+
+
+# --- quality
+
+
+def brute_base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    grams = list(zip(words, words[1:], words[2:]))
+    often = collections.Counter(grams)
+    covered = {k + j for k, g in enumerate(grams) if often[g] > 1 for j in range(3)}
+    seen, repeated = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            repeated += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), repeated, len(covered)
+
+
+def test_quality(spark):
+    rows = [(r.doc_id, r.text, r.lang) for r in sf_table(spark, "documents").collect()]
+    rows += [(9000 + k, t, "en") for k, t in enumerate(ODD_TEXTS)]
+    rows += [(9100, "a b c " * 40, None), (9101, "x\ny\nx\n\n\nx", None), (None, "one two", "fr"), (0, None, "en")]
+    got = quality.quality(clashing(documents(spark, *rows))).collect()
+    texts = collections.defaultdict(list)
+    for doc, text, _ in rows:
+        texts[doc].append(brute_base(text))
+    assert len(got) == len(rows)
+    for row in got:
+        base = tuple(row[f] for f in quality.FEATURES)
+        assert base in texts[row.doc_id]
+        assert row.base_failed == (base[0] < 50 or 100 * base[4] > 50 * base[0])
+        assert not (row.kept and row.base_failed)
+    fine = [r for r in got if not r.base_failed]
+    assert sum(r.kept for r in fine) > 0.85 * len(fine)
+    assert quality.quality(documents(spark, *rows[:1]).limit(0)).count() == 0
+
+
+def test_quality_rejects_noise_and_keeps_the_rest(spark):
+    rng = random.Random(3)
+    words = [r.text.split() for r in sf_table(spark, "documents").filter("lang = 'en' and n_chars > 2000").collect()]
+    rows = [(k, " ".join(rng.sample(w, min(len(w), 200))), "en") for k, w in enumerate(words)]
+    noise = [(5000 + k, " ".join("".join(rng.choice("qxzjkvwQXZ0123") for _ in range(7)) for _ in range(200)), "en") for k in range(3)]
+    df = documents(spark, *rows, *noise)
+    kept = {r.doc_id for r in quality.good_documents(df).collect()}
+    assert not kept & {5000, 5001, 5002} and len(kept) > 0.8 * len(rows)
+    assert quality.good_documents(df).columns == df.columns
+
+
+def test_smoothed_probabilities_sum_to_one():
+    rng = np.random.default_rng(2)
+    classes = rng.choice(64, 4000, p=np.r_[np.full(8, 0.1), np.full(56, 0.2 / 56)]).astype(np.uint8)
+    grams, counts = np.unique(quality.four_grams(classes), return_counts=True)
+    model = quality.Model(grams, counts)
+    for context in (grams[0] >> 6, grams[100] >> 6, 0x2AAAA, 63):
+        every = (np.uint32(context) << np.uint32(6)) | np.arange(64, dtype=np.uint32)
+        assert np.exp(model.score(every).astype(float)).sum() == pytest.approx(1.0, abs=1e-3)
+
+
+# --- personal data
+
+
+def brute_spans(text):
+    def luhn(digits):
+        return sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(map(int, reversed(digits)))) % 10 == 0
+
+    patterns = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 12 <= len(d := re.sub(r"[^0-9]", "", m)) <= 19 and luhn(d)),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(re.sub(r"[^0-9]", "", m)) <= 15),
+    }
+    found = [(k, *m.span()) for k, (p, ok) in patterns.items() for m in re.finditer(p, text) if ok(m.group())]
+    return sorted(found, key=lambda s: (s[1], list(patterns).index(s[0])))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab1025.@-+ ()%", max_size=40))
+def test_base_spans_equal_plain_patterns(text):
+    assert personal_data.base_spans(text) == brute_spans(text)
+
+
+def test_personal_data(spark):
+    rows = [(r.doc_id, r.text) for r in sf_table(spark, "documents").collect()]
+    rows += [(9000 + k, t) for k, t in enumerate(ODD_TEXTS)] + [(None, "a@b.cc"), (0, "x 4111 1111 1111 1111 1.2.3.4 +49 (30) 123456")]
+    df = clashing(documents(spark, *rows))
+    got = personal_data.find_spans(df, personal_data.trained_detector(df)).collect()
+    texts = collections.defaultdict(list)
+    for doc, text in rows:
+        texts[doc].append(",".join(f"{k}:{a}:{b}" for k, a, b in brute_spans(text or "")))
+    assert len(got) == len(rows)
+    for row in got:
+        base = next(t for t in texts[row.doc_id] if hashlib.sha256(t.encode()).hexdigest() == row.base_sha256)
+        every = [x for x in row.spans.split(",") if x]
+        assert set(filter(None, base.split(","))) <= set(every)
+        for kind in personal_data.KINDS:
+            assert row[f"n_{kind}"] == base.count(kind + ":")
+    assert personal_data.find_spans(df.limit(0), personal_data.trained_detector(df.limit(0))).count() == 0
+
+
+def test_trees_add_other_ways_to_write_and_leave_the_rest(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    detector = personal_data.trained_detector(df)
+    hits = {"call 583-555-6359 now": "583-555-6359", "write bob(at)mail6.example(dot)com ok": "bob(at)mail6.example(dot)com"}
+    for text, part in hits.items():
+        assert [text[a:b] for _, a, b in detector.spans(text, personal_data.base_spans(text))] == [part]
+    for text in ("version 1.2.3 of 2023-10-05 10:22", "order 4111111111111112 here", "id 1234567890", "at the dot of 12"):
+        assert detector.spans(text, personal_data.base_spans(text)) == []
+
+
+def test_redaction(spark):
+    df = documents(spark, (1, "mail a@b.cc or +49 30 1234567.", "en", "s", 3), (2, None), (3, "4111 1111 1111 1111, 1.2.3.4"))
+    out = personal_data.redact(df, personal_data.trained_detector(df))
+    assert out.columns == df.columns
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in out.filter("text is not null").collect()) == [
+        (1, "mail [EMAIL] or [PHONE].", 24),
+        (3, "[CARD], [IP]", 12),
+    ]
+
+
+# --- edit-aware counts
+
+
+def test_trees_follow_random_edits(spark):
+    rng = random.Random(7)
+    encoder = edit_counts.SegmentEncoder(edit_counts.default_tokenizer())
+    texts = [t or "" for t in ODD_TEXTS] + [r.text for r in sf_table(spark, "documents").limit(40).collect()]
+    sums = edit_counts.segment_sums(pa.array(texts), encoder)
+    for text, own in zip(texts, sums):
+        tree = edit_counts.TokenTree(text, *edit_counts.leaf_sums(*own), encoder)
+        assert tree.tokens[1] == len(encoder.ids(text))
+        for _ in range(12):
+            start = rng.randint(0, len(text))
+            end = min(len(text), start + rng.choice([0, 1, 6, 50, 2000]))
+            new = rng.choice(["", " ", "x", "foo bar", "\n\n  z ", "'s", "　", "\x1c!", "<|endoftext|>"])
+            text = text[:start] + new + text[end:]
+            tree.edit(start, end, new)
+            assert tree.text() == text
+            assert tree.tokens[1] == len(encoder.ids(text)) and tree.chars[1] == len(text)
+
+
+def test_edits_of_a_table(spark):
+    tokenizer = edit_counts.default_tokenizer()
+    encoder = edit_counts.SegmentEncoder(tokenizer)
+    docs = clashing(documents(spark, (1, "one two three"), (2, None), (None, "x"), (1, "again"), (5, "untouched text")))
+    edits = spark.createDataFrame(
+        [(1, 2, 0, 0, "B"), (1, 1, 4, 7, "2"), (2, 1, 5, 9, "new"), (7, 1, 0, 0, "no"), (None, 1, 0, 0, "no"), (1, 3, None, None, None)],
+        "doc_id long, seq int, start long, end long, text string",
+    )
+    got = edit_counts.apply_edits(edit_counts.with_edits(docs, edits), tokenizer, keep=True)
+    texts = sorted(((r.doc_id, r.text, r.n_edits) for r in got.collect()), key=repr)
+    assert texts == [(1, "Bagai2", 3), (1, "Bone 2 three", 3), (2, "new", 1), (5, "untouched text", 0), (None, "x", 0)]
+    for row in got.collect():
+        assert row.tokens_after == len(encoder.ids(row.text))
+    # The stored trees serve the next edits without another encoding of the text.
+    again = edit_counts.apply_edits(edit_counts.with_edits(got.select("doc_id", "text", "leaf_chars", "leaf_tokens"), edits), tokenizer, keep=True)
+    for row in again.collect():
+        assert row.tokens_after == len(encoder.ids(row.text)) and row.chars_after == len(row.text)
+    assert edit_counts.apply_edits(edit_counts.with_edits(docs.limit(0), edits), tokenizer).count() == 0
+
+
+def test_edit_query_equals_whole_encodings(spark):
+    from shelfmark.llm import QUERIES
+    from tests.llm.helpers import SF
+
+    encoder = edit_counts.SegmentEncoder(edit_counts.default_tokenizer())
+    texts = {r.doc_id: r.text for r in sf_table(spark, "documents").collect()}
+    for row in QUERIES["op10_edit_token_counts"](spark, SF).collect():
+        text = texts[row.doc_id]
+        n = len(text)
+        for start, end, new in ((n // 4, n // 4 + 16, text[:12]), (n // 2, n // 2, " an inserted note, "), (n // 8, n // 8 + 40, ""), (n + 64, n + 64, "\nThe end.")):
+            start, end = min(start, len(text)), min(end, len(text))
+            text = text[:start] + new + text[end:]
+        assert (row.tokens_before, row.tokens_after) == (len(encoder.ids(texts[row.doc_id])), len(encoder.ids(text)))
+        assert row.text_crc32 == zlib.crc32(text.encode())
