@@ -107,7 +107,7 @@ def fine_sketches(sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, shifts = _constants(FINE_SAMPLES)
-        for batch in text_slices(batches, "shingles"):
+        for batch in text_slices(batches, "shingles", most=1 << 19):
             packed = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
             samples = np.array([min_hashes(x, factors, shifts) for x in packed])
             sketches = [row.tobytes() for row in odd_sketches(samples, FINE_BITS)]
@@ -120,8 +120,8 @@ def _candidates(grouped: DataFrame, percent: int, crossing: bool) -> DataFrame:
     """Pairs ``a < b`` whose estimate is within five errors of ``percent``, from rows with bucket and block.
 
     ``near`` rows are compared with all rows of their group.  Without
-    ``crossing`` each row gives its smallest partner only; with it, all pairs
-    whose components differ.
+    ``crossing`` each row gives only its likeliest partner and the smallest of
+    those an error above ``percent``; with it, all pairs whose components differ.
     """
     samples, error = (FINE_SAMPLES, FINE_ERROR) if crossing else (SAMPLES, ERROR)
     cut = percent / 100 - 5 * error
@@ -143,9 +143,12 @@ def _candidates(grouped: DataFrame, percent: int, crossing: bool) -> DataFrame:
                 left, right = np.nonzero(hit & (comps[near][:, None] != comps[None, :]))
                 one, two = ids[near[left]], ids[right]
             else:
-                hit = np.tril(estimated_similarity(sketches, sketches, samples) >= cut, -1)
-                rows = np.flatnonzero(hit.any(axis=1))
-                one, two = ids[rows], ids[hit[rows].argmax(axis=1)]
+                likely = estimated_similarity(sketches, sketches, samples)
+                np.fill_diagonal(likely, -1)
+                sure = np.tril(likely >= percent / 100 + error, -1)
+                rows, best = np.flatnonzero(sure.any(axis=1)), np.flatnonzero(likely.max(axis=1) >= cut)
+                one = ids[np.concatenate([rows, best])]
+                two = ids[np.concatenate([sure[rows].argmax(axis=1), likely[best].argmax(axis=1)])]
             lows.append(np.minimum(one, two))
             highs.append(np.maximum(one, two))
             held += len(one)
@@ -160,7 +163,7 @@ def _candidates(grouped: DataFrame, percent: int, crossing: bool) -> DataFrame:
 
 
 def _first_candidates(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Each row's smallest partner in its own block of each bucket.
+    """Each row's best partners in its own block of each bucket.
 
     A bucket is dealt into blocks of about ``BLOCK`` rows by a hash of the id;
     about ``PIVOTS`` rows, also by hash, join every block and tie blocks together.
@@ -241,8 +244,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of ``docs(doc_id, text)``.
 
     Equal sets are one class, represented by its smallest ``doc_id``; only
-    classes are compared.  In the first pass each class gives its smallest
-    likely partner per bucket, which already joins most groups; the second pass
+    classes are compared.  In the first pass each class gives its best partners
+    per bucket, which already joins most groups; the second pass
     confirms every likely pair that still lies in two components, so no link
     that decides a component is left out.
 
