@@ -21,17 +21,24 @@ def _without_null_keys(value):
 
 def _strip(text):
     try:
-        parsed = json.loads(text)
-    except (TypeError, ValueError):
+        parsed = json.loads(text, parse_constant=_no_constant)
+        stripped = json.dumps(_without_null_keys(parsed), separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+        stripped.encode()
+    except (TypeError, ValueError, RecursionError):  # a lone surrogate is a ValueError too
         return None
-    return json.dumps(_without_null_keys(parsed), separators=(",", ":"), ensure_ascii=False)
+    return stripped
+
+
+def _no_constant(name: str):
+    raise ValueError(f"{name} is not JSON")
 
 
 def strip_null_keys(document: Column) -> Column:
     """Drop null-valued keys of a JSON object, through nested objects only.
 
     Lists and what they hold are left alone, emptied objects are kept, and text
-    that is not JSON gives null.  ``to_json`` cannot do this: it also drops
+    that is not JSON, nests too deeply, or holds a lone surrogate or a number beyond
+    a double gives null.  ``to_json`` cannot do this: it also drops
     nulls inside arrays and needs a schema.
     """
 

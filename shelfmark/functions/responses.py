@@ -31,6 +31,7 @@ def response_outcome(endpoint: Column, status: Column, body: Column) -> Column:
             hit = hit & (code == error)
         outcome = outcome.when(hit, F.lit(result))
     outcome = outcome.when((endpoint == "token") & (status != 200), F.lit("bad_response"))
+    outcome = outcome.when(status.isNull(), F.lit("bad_response"))
     return outcome.when(status >= 400, F.lit("http_error")).otherwise(F.lit("ok"))
 
 

@@ -26,14 +26,13 @@ def readable_bytes(
     n: Column,
     format: str = "%(value).1f %(symbol)s",
     symbols: str = "customary",
-    wide: bool = False,
     strict: bool = False,
 ) -> Column:
     """``n`` in its largest unit not above it, e.g. ``9.6 K``.
 
     Fractions are cut off first, and the shown digits round half to even.
-    Negative counts give null, or fail the job when ``strict``.  ``wide`` takes
-    decimal counts beyond what a long holds.
+    Negative counts give null, or fail the job when ``strict``.  Decimal counts
+    and doubles may go beyond what a long holds.
     """
     pieces = _PLACEHOLDER.split(format)
     values = [piece for piece in pieces if piece.startswith("%(value)")]
@@ -42,27 +41,31 @@ def readable_bytes(
     places = int(values[0][len("%(value)."):-1])
     names = SYMBOLS[symbols]
 
-    whole = _truncate(n) if wide else n.cast("long")  # this cast cuts toward zero too
-    negative = F.raise_error(F.lit("byte count below zero")) if strict else F.lit(None)
-    whole = F.when(whole >= 0, whole).when(whole < 0, negative.cast("decimal(38,0)" if wide else "long"))
-
-    def render(value: Column, symbol: Column) -> Column:
-        filled = {values[0]: value, "%(symbol)s": symbol, "%%": F.lit("%")}
-        return F.concat(*[filled.get(piece, F.lit(piece)) for piece in pieces if piece])
-
-    count = whole.try_cast("long") if wide else whole
-    long_steps = range(_EXA, 0, -1)
-    symbol = _by_step(count, long_steps, lambda step: names[step], names[0])
-    shown = _from_long(count, places) if places <= 3 else _from_double(
-        count, _by_step(count, long_steps, lambda step: float(1 << (10 * step)), 1.0), places
-    )
-    text = render(shown, symbol)
-    if not wide:
-        return text
-    huge_steps = range(len(names) - 1, _EXA, -1)
-    symbol = _by_step(whole, huge_steps, lambda step: names[step], names[_EXA])
-    unit = _by_step(whole, huge_steps, lambda step: float(1 << (10 * step)), float(1 << (10 * _EXA)))
-    return F.coalesce(text, render(_from_double(whole, unit, places), symbol))
+    def text(wide: bool) -> Column:
+        whole = _truncate(n) if wide else n.cast("long")
+        negative = F.raise_error(F.lit("byte count below zero")) if strict else F.lit(None)
+        whole = F.when(whole >= 0, whole).when(whole < 0, negative.cast("decimal(38,0)" if wide else "long"))
+
+        def render(value: Column, symbol: Column) -> Column:
+            filled = {values[0]: value, "%(symbol)s": symbol, "%%": F.lit("%")}
+            return F.concat(*[filled.get(piece, F.lit(piece)) for piece in pieces if piece])
+
+        count = whole.try_cast("long") if wide else whole
+        long_steps = range(_EXA, 0, -1)
+        symbol = _by_step(count, long_steps, lambda step: names[step], names[0])
+        shown = _from_long(count, places) if places <= 3 else _from_double(
+            count, _by_step(count, long_steps, lambda step: float(1 << (10 * step)), 1.0), places
+        )
+        short = render(shown, symbol)
+        if not wide:
+            return short
+        huge_steps = range(len(names) - 1, _EXA, -1)
+        symbol = _by_step(whole, huge_steps, lambda step: names[step], names[_EXA])
+        unit = _by_step(whole, huge_steps, lambda step: float(1 << (10 * step)), float(1 << (10 * _EXA)))
+        return F.coalesce(short, render(_from_double(whole, unit, places), symbol))
+
+    # The type is a constant of the plan, so only one of the two is left in it.
+    return F.when(F.typeof(n).rlike("^(decimal|double|float)"), text(wide=True)).otherwise(text(wide=False))
 
 
 def _truncate(n: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.paths import under_home
-from shelfmark.operators.numbering import MAX_GROUP_ROWS, page_within
+from shelfmark.operators.numbering import SLICE_ROWS, page_within
 
 GRANT_KEY = ["usr", "path"]
 
@@ -105,26 +105,26 @@ def last_action() -> Column:
 
 
 def share_payloads(
-    grants: DataFrame, page_size: int = 1000, max_group_rows: int = MAX_GROUP_ROWS
+    grants: DataFrame, page_size: int = 1000, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """The JSON body that shares a user's grants, ``page_size`` paths to a body."""
     pair = F.struct("path", "permission")
     columns = [*GRANT_KEY, "permission"]
-    return _payloads(grants.select(*columns), columns[1:], pair, "sharing", page_size, max_group_rows)
+    return _payloads(grants.select(*columns), columns[1:], pair, "sharing", page_size, slice_rows)
 
 
 def unshare_payloads(
-    revoked: DataFrame, page_size: int = 1000, max_group_rows: int = MAX_GROUP_ROWS
+    revoked: DataFrame, page_size: int = 1000, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """The JSON body that revokes a user's paths, ``page_size`` paths to a body."""
     pairs = revoked.select(*GRANT_KEY).distinct()
-    return _payloads(pairs, ["path"], F.col("path"), "unshare", page_size, max_group_rows)
+    return _payloads(pairs, ["path"], F.col("path"), "unshare", page_size, slice_rows)
 
 
 def _payloads(
-    rows: DataFrame, order: list[str], item: Column, key: str, page_size: int, max_group_rows: int
+    rows: DataFrame, order: list[str], item: Column, key: str, page_size: int, slice_rows: int
 ) -> DataFrame:
-    paged = page_within(rows, ["usr"], order, page_size, into="part", max_group_rows=max_group_rows)
+    paged = page_within(rows, ["usr"], order, page_size, into="part", slice_rows=slice_rows)
     body = paged.groupBy("usr", "part").agg(F.sort_array(F.collect_list(item)).alias("paths"))
     entry = F.struct(F.col("usr").cast("string").alias("user"), "paths")
     return body.select("usr", "part", F.to_json(F.struct(F.array(entry).alias(key))).alias("payload"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.paths import label_of, normalize_path, parent_of
-from shelfmark.operators.numbering import MAX_GROUP_ROWS, page_within
+from shelfmark.operators.numbering import SLICE_ROWS, page_within
 
 PAGE_SIZE = 1000
 
@@ -33,21 +33,26 @@ def children(objects: DataFrame, path: str) -> DataFrame:
     return objects.filter(F.col("parent") == normalize_path(F.lit(path)))
 
 
-def list_directory(objects: DataFrame, path: str, limit: int | None = PAGE_SIZE) -> DataFrame:
-    """The first ``limit`` children by label; null means all of them, unordered.
+def list_directory(
+    objects: DataFrame, path: str, limit: int | None = None, strict: bool = False
+) -> DataFrame:
+    """All children of a directory, or its first ``limit`` by label.
 
-    A path that is no directory gives one row with status ``invalid_path``.
+    A path that has neither children nor a directory's row gives one row with
+    status ``invalid_path``, or fails the job when ``strict``.
     """
     target = normalize_path(F.lit(path))
     entries = children(objects, path).withColumn("status", F.lit("ok"))
     if limit is not None:
         entries = entries.orderBy("label", "path").limit(limit)
-    # One row at most: the directory's own entry, if there is one.
-    known = objects.filter((F.col("path") == target) & (F.col("type") == "dir"))
+    known = objects.filter(((F.col("path") == target) & (F.col("type") == "dir")) | (F.col("parent") == target))
+    status = F.lit("invalid_path")
+    if strict:
+        status = F.raise_error(F.concat(F.lit("no such directory: "), target)).cast("string")
     absent = known.agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(
         target.alias("path"),
         *[F.lit(None).cast(objects.schema[c].dataType).alias(c) for c in objects.columns if c != "path"],
-        F.lit("invalid_path").alias("status"),
+        status.alias("status"),
     )
     return entries.unionByName(absent)
 
@@ -74,7 +79,8 @@ def list_many(requests: DataFrame, objects: DataFrame, ordinal: str = "ord") ->
         F.col("parent").alias("directory"), F.col("label"), F.col("type")
     )
     found = asked.join(entries, "directory").withColumn("status", F.lit("ok"))
-    parents = entries.select("directory").distinct()
+    # Only directories that are asked for, so the rest of the catalog is not made distinct.
+    parents = entries.select("directory").join(asked.select("directory").distinct(), "directory", "left_semi").distinct()
     dirs = of_type(objects, "dir").select(F.col("path").alias("directory"), F.lit(True).alias("is_dir"))
     childless = asked.join(parents, "directory", "left_anti").join(dirs, "directory", "left")
     bare = childless.select(
@@ -88,7 +94,7 @@ def list_many(requests: DataFrame, objects: DataFrame, ordinal: str = "ord") ->
 
 
 def nested_listing(
-    objects: DataFrame, page_size: int = PAGE_SIZE, max_group_rows: int = MAX_GROUP_ROWS
+    objects: DataFrame, page_size: int = PAGE_SIZE, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """``files`` and ``folders`` arrays per directory, in pages of ``page_size``.
 
@@ -100,7 +106,7 @@ def nested_listing(
         ["parent"],
         ["label", "type"],
         page_size,
-        max_group_rows=max_group_rows,
+        slice_rows=slice_rows,
     )
 
     def names(kind: str) -> Column:

@@ -7,13 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.patterns import FileRules, matches_any
+from shelfmark.functions.patterns import FileRules
 
-# Up to this many patterns become a predicate that every path is tested with.
-MAX_LISTED_PATTERNS = 128
-
-# Lengths of the text pieces that larger pattern tables are matched through: a
-# pattern uses the longest that fits it, as long pieces are rare ones.
+# Lengths of the text pieces that pattern tables are matched through: a pattern
+# uses the longest that fits it, as long pieces are rare ones.
 PIECES = (6, 3, 2, 1)
 
 
@@ -34,54 +31,42 @@ def difference(included: DataFrame, excluded: DataFrame, on: str = "path") -> Da
 
 
 def match_pattern_table(
-    paths: DataFrame,
-    patterns: DataFrame,
-    path: str = "path",
-    pattern: str = "pattern",
-    max_listed: int = MAX_LISTED_PATTERNS,
+    paths: DataFrame, patterns: DataFrame, path: str = "path", pattern: str = "pattern"
 ) -> DataFrame:
     """Rows of ``paths`` that contain any of the patterns, ignoring case.
 
-    A pattern table found to be small becomes a filter.  A larger one is matched by equality on pieces of text, so no path meets every pattern.
+    A pattern is looked up through the rarest of its pieces of text, by
+    equality, so no path meets every pattern.  Only pieces that some pattern has
+    are kept of a path.  An empty pattern is in every path that is not null.
     """
+    size = reduce(lambda case, n: case.when(F.length("_pattern") >= n, n), PIECES, F).otherwise(0)
     wanted = (
         patterns.select(F.lower(F.col(pattern)).alias("_pattern"))
         .filter(F.col("_pattern").isNotNull())
         .distinct()
+        .withColumn("_size", size)
     )
-    listed = [row[0] for row in wanted.limit(max_listed + 1).collect()]
-    if len(listed) <= max_listed:
-        return paths.filter(matches_any(F.col(path), listed))
-    return _match_by_pieces(paths, wanted, path)
-
-
-def _pieces(text: Column, size: int) -> Column:
-    """Distinct substrings of ``size`` characters; none when the text is shorter."""
-    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
-    cut = F.array_distinct(F.transform(starts, lambda at: F.substring(text, at, F.lit(size))))
-    return F.when(F.length(text) >= size, cut).otherwise(F.array().cast("array<string>"))
-
-
-def _match_by_pieces(paths: DataFrame, wanted: DataFrame, path: str) -> DataFrame:
-    size = reduce(lambda case, n: case.when(F.length("_pattern") >= n, n), PIECES, F).otherwise(0)
-    sized = wanted.withColumn("_size", size)
-    used = [row[0] for row in sized.select("_size").distinct().collect()]  # at most one per length
-    if 0 in used:
-        return paths  # the empty pattern is in every path
-    offered = paths.select(F.lower(F.col(path)).alias("_path")).select(
-        "_path", F.explode(F.concat(*[_pieces(F.col("_path"), n) for n in used])).alias("_piece")
-    )
-    own = reduce(lambda case, n: case.when(F.col("_size") == n, _pieces(F.col("_pattern"), n)), used, F)
-    # Each pattern is looked up through the rarest of its pieces: common ones,
-    # such as those of a shared path prefix, would pair it with most paths.
+    own = wanted.select("_pattern", F.explode(_pieces(F.col("_pattern"), F.col("_size"))).alias("_piece"))
+    # Paths are cut at the lengths the patterns use, one small array.
+    used = wanted.agg(F.collect_set("_size")).scalar()
+    texts = paths.select(F.lower(F.col(path)).alias("_path")).filter(F.col("_path").isNotNull()).distinct()
+    texts = texts.withColumn("_key", F.xxhash64("_path"))
+    none = F.array().cast("array<string>")
+    cut = F.concat(*[F.when(F.array_contains(used, n), _pieces(F.col("_path"), F.lit(n))).otherwise(none) for n in (*PIECES, 0)])
+    offered = texts.select("_key", F.explode(cut).alias("_piece"))
+    offered = offered.join(own.select("_piece").distinct(), "_piece", "left_semi")
+    # Common pieces, such as those of a shared path prefix, would pair a pattern with most paths.
     frequency = offered.groupBy("_piece").agg(F.count(F.lit(1)).alias("_paths"))
     rarest = F.min_by("_piece", F.struct(F.coalesce("_paths", F.lit(0)), "_piece"))
-    anchors = (
-        sized.select("_pattern", F.explode(own).alias("_piece"))
-        .join(frequency, "_piece", "left")
-        .groupBy("_pattern")
-        .agg(rarest.alias("_piece"))
-    )
-    same = (offered["_piece"] == anchors["_piece"]) & F.contains(offered["_path"], anchors["_pattern"])
-    hits = offered.join(anchors, same, "left_semi").select("_path").distinct()
+    anchors = own.join(frequency, "_piece", "left").groupBy("_pattern").agg(rarest.alias("_piece"))
+    pairs = offered.join(anchors, "_piece").select("_key", "_pattern")
+    hits = texts.join(pairs, "_key").filter(F.contains("_path", "_pattern")).select("_path").distinct()
     return paths.join(hits, F.lower(paths[path]) == hits["_path"], "left_semi")
+
+
+def _pieces(text: Column, size: Column) -> Column:
+    """Distinct substrings of ``size`` characters; none when the text is shorter, the empty one for 0."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
+    cut = F.array_distinct(F.transform(starts, lambda at: F.substring(text, at, size)))
+    none = F.array().cast("array<string>")
+    return F.when(size == 0, F.array(F.lit(""))).when(F.length(text) >= size, cut).otherwise(none)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.avus import IRODS, STANDARD, parse_avu, render_avu
-from shelfmark.operators.numbering import MAX_GROUP_ROWS, page_within
+from shelfmark.operators.numbering import SLICE_ROWS, page_within
 
 TAG_COLUMNS = ("id", "ns", "attr", "value", "unit")
 
@@ -21,6 +21,26 @@ def valid_tags(specs: DataFrame) -> DataFrame:
     return parse_tags(specs).filter(~F.col("rejected")).select(*TAG_COLUMNS)
 
 
+def rejected_posts(specs: DataFrame) -> DataFrame:
+    """``id, n_rejected`` of the posts that hold a malformed spec."""
+    counted = parse_tags(specs).groupBy("id").agg(F.count_if("rejected").alias("n_rejected"))
+    return counted.filter("n_rejected > 0")
+
+
+def post_tags(current: DataFrame, specs: DataFrame, strict: bool = False) -> DataFrame:
+    """Tags after posting the specs of each id, which replace all it had.
+
+    One malformed spec rejects the whole post of its id, which then keeps its
+    tags; ``strict`` fails the job instead.
+    """
+    parsed = parse_tags(specs)
+    if strict:
+        malformed = F.raise_error(F.concat(F.lit("malformed tag of "), F.coalesce("id", F.lit("null"))))
+        return overwrite_tags(current, parsed.filter(F.when(F.col("rejected"), malformed.cast("boolean")).otherwise(True)))
+    bad = parsed.filter("rejected").select("id").distinct()
+    return overwrite_tags(current, parsed.join(bad, "id", "left_anti").select(*TAG_COLUMNS))
+
+
 def overwrite_tags(current: DataFrame, incoming: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Tags after posting ``incoming``: a posted id loses all it had, in both namespaces.
 
@@ -38,40 +58,29 @@ def get_tags(tags: DataFrame, ids: DataFrame, irods: bool = False) -> DataFrame:
 
 
 def render_tags(
-    tags: DataFrame, page_size: int = 1000, max_group_rows: int = MAX_GROUP_ROWS
+    tags: DataFrame, page_size: int = 1000, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """``attr=value`` lines per id and namespace, ``page_size`` lines to a row."""
     lines = tags.select("id", "ns", render_avu(F.col("attr"), F.col("value")).alias("line"))
-    paged = page_within(lines, ["id", "ns"], ["line"], page_size, max_group_rows=max_group_rows)
+    paged = page_within(lines, ["id", "ns"], ["line"], page_size, slice_rows=slice_rows)
     text = F.array_join(F.sort_array(F.collect_list("line")), "\n")
     return paged.groupBy("id", "ns", "page").agg(text.alias("tags"))
 
 
-def tag_payloads(
-    tags: DataFrame, page_size: int = 1000, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def tag_payloads(tags: DataFrame) -> DataFrame:
     """The JSON body that posts the tags of an id: both namespaces, either may be empty.
 
-    ``part`` is 0 for an id of up to ``page_size`` tags; the rest of a larger one
-    follows in further parts, since one body must fit one row.
+    Posting replaces all tags of an id, so an id has exactly one body.
     """
-    paged = page_within(
-        tags.select(*TAG_COLUMNS),
-        ["id"],
-        ["ns", "attr", "value"],
-        page_size,
-        into="part",
-        max_group_rows=max_group_rows,
-    )
 
     def avus(ns: str) -> Column:
         tag = F.when(F.col("ns") == ns, F.struct("attr", "value", "unit"))
         return F.sort_array(F.collect_list(tag)).alias(ns)
 
     return (
-        paged.groupBy("id", "part")
+        tags.groupBy("id")
         .agg(avus(STANDARD), avus(IRODS))
-        .select("id", "part", F.to_json(F.struct(STANDARD, F.col(f"`{IRODS}`"))).alias("payload"))
+        .select("id", F.to_json(F.struct(STANDARD, F.col(f"`{IRODS}`"))).alias("payload"))
     )
 
 

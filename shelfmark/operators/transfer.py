@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.operators.numbering import MAX_GROUP_ROWS, number_within, page_within
+from shelfmark.functions.paths import normalize_path
+from shelfmark.operators.numbering import SLICE_ROWS, number_within, page_within
 
 
 def plan_actions(
@@ -40,10 +41,10 @@ def transfer_ordinals(
     files: DataFrame,
     directory: str = "parent",
     order: str = "path",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add the 0-based position of each file in the copy of its directory."""
-    return number_within(files, [directory], [order], "ordinal", max_group_rows)
+    return number_within(files, [directory], [order], "ordinal", slice_rows)
 
 
 def match_counts(
@@ -64,16 +65,33 @@ def match_counts(
     )
 
 
+def selected_per_request(requests: DataFrame, selected: DataFrame, strict: bool = False) -> DataFrame:
+    """``match_counts`` of ``requests(rid, path)`` over selected files ``(path, parent)``.
+
+    Files are counted once per directory and once per path, and the counts are
+    joined to the requests, so no request meets a file.
+    """
+    target = F.explode(F.array("path", "parent")).alias("_target")
+    counts = selected.select(target).groupBy("_target").agg(F.count(F.lit(1)).alias("_n"))
+    n = F.coalesce("_n", F.lit(0)).cast("long")
+    empty = F.col("n_files") == 0
+    if strict:
+        nothing = F.raise_error(F.concat(F.lit("nothing selected for "), F.coalesce("path", F.lit("null"))))
+        empty = F.when(empty, nothing.cast("boolean")).otherwise(F.lit(False))
+    joined = requests.join(counts, normalize_path(F.col("path")) == F.col("_target"), "left")
+    return joined.withColumn("n_files", n).drop("_n", "_target").withColumn("empty", empty)
+
+
 def pulled_names(
     files: DataFrame,
     target: str = "parent",
     name: str = "label",
     page_size: int = 1000,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Comma-joined file names per target, ``page_size`` names to a line."""
     paged = page_within(
-        files.select(target, name), [target], [name], page_size, max_group_rows=max_group_rows
+        files.select(target, name), [target], [name], page_size, slice_rows=slice_rows
     )
     listed = F.array_join(F.sort_array(F.collect_list(name)), ", ")
     return paged.groupBy(target, "page").agg(listed.alias("names"))

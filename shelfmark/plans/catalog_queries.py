@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.paths import join_path, label_of, normalize_path, parent_of, under_home
@@ -31,7 +33,7 @@ _INCLUDED = """(contains(lower(path), 'src1') or contains(lower(path), '/de/')
 
 
 @query(
-    "select path, label, type from objects where parent = '/store/home/src1' order by label limit 1000",
+    "select path, label, type from objects where parent = '/store/home/src1'",
     views=("objects",),
 )
 def list_directory(spark, sf_dir):
@@ -39,8 +41,28 @@ def list_directory(spark, sf_dir):
     return found.filter("status = 'ok'").select("path", "label", "type")
 
 
+# A directory, one known only from its children, a file, and a path that does not exist.
+@query(
+    """
+    select p as asked, o.path, 'ok' as status
+    from (values ('/store/home/src1'), ('/store/home')) t(p) join objects o on o.parent = p
+    union all
+    select p, p, 'invalid_path'
+    from (values ('/store/home/src1/en/doc_1.txt'), ('/store/none')) t(p)
+    """,
+    views=("objects",),
+)
+def list_directory_status(spark, sf_dir):
+    asked = [SRC1 + "/", "/store/home", SRC1 + "/en/doc_1.txt", "/store/none"]
+    found = [
+        listing.list_directory(fx.objects(spark, sf_dir), path).select(F.lit(path.rstrip("/")).alias("asked"), "path", "status")
+        for path in asked
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(
-    "select path, label, type from objects where parent = '/store/home/src1/en' order by label limit 1000",
+    "select path, label, type from objects where parent = '/store/home/src1/en'",
     views=("objects",),
 )
 def list_stored_directory(spark, sf_dir):
@@ -236,14 +258,16 @@ def select_files(spark, sf_dir):
 @query(
     """
     select path from objects where exists (
-        select 1 from (select distinct upper(source || '/' || lang) as pattern from documents where n_chars > 10000)
+        select 1 from (select distinct case when n_chars > 10000 then upper(source || '/' || lang) else 'OC_' || doc_id || '7.T' end as pattern from documents)
         where contains(lower(path), lower(pattern)))
     """,
     views=("objects",),
 )
 def pattern_semi_join(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents").filter("n_chars > 10000")
-    patterns = docs.select(F.upper(F.concat("source", F.lit("/"), "lang")).alias("pattern"))
+    folder = F.upper(F.concat("source", F.lit("/"), "lang"))
+    name = F.concat(F.lit("OC_"), "doc_id", F.lit("7.T"))
+    docs = fx.table(spark, sf_dir, "documents")
+    patterns = docs.select(F.when(F.col("n_chars") > 10000, folder).otherwise(name).alias("pattern"))
     return selection.match_pattern_table(fx.objects(spark, sf_dir), patterns).select("path")
 
 

@@ -32,6 +32,28 @@ def overwrite_tags(spark, sf_dir):
     return tags.overwrite_tags(_tags(spark, sf_dir), incoming)
 
 
+# The parts' own specs posted again: those with a malformed one keep what they had.
+@query(
+    """
+    select * from retail where id in (select id from parsed where "value" is null)
+    union all
+    select id, ns, attr, "value", unit from parsed
+    where id not in (select id from parsed where "value" is null)
+    """,
+    views=("parsed", "retail"),
+)
+def post_tags(spark, sf_dir):
+    current = tags.valid_tags(fx.retail_specs(spark, sf_dir))
+    return tags.post_tags(current, fx.tagspec(spark, sf_dir))
+
+
+@query(
+    """select id, count(*) as n_rejected from parsed where "value" is null group by id""", views=("parsed",)
+)
+def rejected_tag_posts(spark, sf_dir):
+    return tags.rejected_posts(fx.tagspec(spark, sf_dir))
+
+
 @query(
     """
     select * from tags where ns = 'irods-avus'
@@ -63,8 +85,7 @@ _AVU = """'{"attr":"' || attr || '","value":"' || "value" || '","unit":""}'"""
 
 @query(
     f"""
-    select id, cast(0 as bigint) as part,
-           '{{"avus":[' || coalesce(string_agg({_AVU}, ',' order by attr, "value") filter (ns = 'avus'), '')
+    select id, '{{"avus":[' || coalesce(string_agg({_AVU}, ',' order by attr, "value") filter (ns = 'avus'), '')
            || '],"irods-avus":[' || coalesce(string_agg({_AVU}, ',' order by attr, "value") filter (ns = 'irods-avus'), '')
            || ']}}' as payload
     from tags group by id
@@ -88,6 +109,6 @@ def has_tag(spark, sf_dir):
 
 @query("select * from tags", views=("tags",))
 def read_tag_payloads(spark, sf_dir):
-    posted = tags.tag_payloads(_tags(spark, sf_dir), page_size=2)
+    posted = tags.tag_payloads(_tags(spark, sf_dir))
     log = posted.select(F.col("id").alias("rid"), F.col("payload").alias("body"))
     return responses.tag_rows(log).select(F.col("rid").alias("id"), "ns", "attr", "value", "unit")

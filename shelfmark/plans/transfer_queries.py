@@ -104,7 +104,7 @@ def transfer_ordinal(spark, sf_dir):
 )
 def transfer_ordinal_sliced(spark, sf_dir):
     files = _files(spark, sf_dir).select("parent", "path")
-    return transfer.transfer_ordinals(files, max_group_rows=16)
+    return transfer.transfer_ordinals(files, slice_rows=16)
 
 
 _COLLIDING = "select path, regexp_extract(path, '/([a-z]+)/doc_', 1) || '_' || size || '.txt' as label from objects where type = 'file'"
@@ -131,13 +131,8 @@ def first_wins_per_name(spark, sf_dir):
     views=("objects", "asked"),
 )
 def match_count_guard(spark, sf_dir):
-    asked = fx.requests(spark, sf_dir)
-    resolved = lookup.resolve_requests(asked, fx.objects(spark, sf_dir)).filter("status = 'ok'")
-    rules = FileRules(include_patterns=["/EN/"])
-    picked = selection.select_files(
-        resolved.select("rid", F.col("file").alias("path"), F.col("file").alias("label")), rules
-    )
-    return transfer.match_counts(asked, picked)
+    picked = selection.select_files(fx.objects(spark, sf_dir), FileRules(include_patterns=["/EN/"]))
+    return transfer.selected_per_request(fx.requests(spark, sf_dir), picked)
 
 
 @query(

@@ -31,7 +31,9 @@ def incremental_copy(
     open_store(spark, store)
     # Without the recursive option, key=value folders would be taken for partitions.
     reader = spark.readStream.format("binaryFile").schema(_BINARY_FILE)
-    files = reader.option("recursiveFileLookup", "true").load(source).select("path", "length")
+    # A file's age says nothing about when it arrived, so none is too old.
+    reader = reader.option("recursiveFileLookup", "true").option("maxFileAge", "36500d")
+    files = reader.load(source).select("path", "length")
     listing = describe(files).filter(parent_of(F.col("path")) == open_filesystem(source)[1].rstrip("/"))
     if rules is not None:
         listing = listing.filter(rules.predicate(F.col("path"), F.col("label")))

@@ -1,5 +1,6 @@
 import hashlib
 import os
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -167,6 +168,12 @@ def test_incremental_copy_moves_only_what_is_new(spark, folder, tmp_path):
         file.write("Hello, 3!")
     assert run() == 8
     assert run() == 8
+    # A file that arrives late with an old time is copied too.
+    with open(folder + "/late.txt", "w") as file:
+        file.write("late")
+    month_ago = time.time() - 30 * 86400
+    os.utime(folder + "/late.txt", (month_ago, month_ago))
+    assert run() == 9
 
 
 def test_followed_grants_equal_the_batch_fold(spark, tmp_path):

@@ -29,6 +29,15 @@ def test_list_directory_takes_the_first_entries_by_label(objects):
     assert listing.list_directory(objects, DATA, limit=None).count() == 3
 
 
+def test_list_directory_has_no_limit_unless_asked(spark):
+    df = spark.range(1500).selectExpr("concat('/h/f', id) path", "concat('f', id) label", "'/h' parent", "'file' type")
+    found = listing.list_directory(df, "/h").collect()
+    assert len(found) == 1500 and {r.status for r in found} == {"ok"}  # known from its children alone
+    assert [r.status for r in listing.list_directory(df, "/h/f1").collect()] == ["invalid_path"]
+    with pytest.raises(PySparkException, match="no such directory"):
+        listing.list_directory(df, "/none", strict=True).collect()
+
+
 def test_files_and_folders(objects):
     assert rows(listing.list_files(objects, DATA), "label") == [("IMG_1.png",), ("f1.txt",), ("f2.txt",)]
     assert rows(listing.list_folders(objects, "/store/home/me"), "label") == [("data",), ("empty",)]

@@ -26,7 +26,7 @@ def brute(df):
 
 @pytest.mark.parametrize("limit", [10**6, 100, 1])
 def test_positions_do_not_depend_on_slicing(skewed, limit):
-    got = number_within(skewed, ["parent"], ["path"], max_group_rows=limit)
+    got = number_within(skewed, ["parent"], ["path"], slice_rows=limit)
     assert rows(got, "parent", "path", "ordinal") == brute(skewed)
 
 
@@ -34,17 +34,31 @@ def test_several_keys(spark):
     data = [(a, b, f"{i:03d}") for a in (1, 2) for b in ("x", "y") for i in range(40)]
     df = spark.createDataFrame(data, "a int, b string, o string")
     whole = number_within(df, ["a", "b"], ["o"])
-    sliced = number_within(df, ["a", "b"], ["o"], max_group_rows=5)
+    sliced = number_within(df, ["a", "b"], ["o"], slice_rows=5)
     assert rows(whole) == rows(sliced)
 
 
+def test_no_job_runs_while_the_plan_is_built(spark, skewed):
+    spark.sparkContext.setJobGroup("planning", "planning")
+    page_within(skewed, ["parent"], ["path"], 64, slice_rows=10)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert not jobs
+
+
+def test_a_hot_group_is_numbered_in_slices(spark):
+    df = spark.range(20_000).selectExpr("'hot' parent", "concat('f', lpad(reverse(id), 6, '0'), id) path")
+    sizes = number_within(df, ["parent"], ["path"], slice_rows=1000)
+    assert [r.ordinal for r in sizes.orderBy("path").collect()] == list(range(20_000))
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "parent string, path string")
     assert number_within(df, ["parent"], ["path"]).count() == 0
 
 
 def test_pages_are_whole_and_bounded(skewed):
-    paged = page_within(skewed, ["parent"], ["path"], 64, max_group_rows=200)
+    paged = page_within(skewed, ["parent"], ["path"], 64, slice_rows=200)
     sizes = paged.groupBy("parent", "page").count()
     assert paged.count() == skewed.count()
     assert max(r["count"] for r in sizes.collect()) == 64
@@ -55,9 +69,9 @@ def test_pages_are_whole_and_bounded(skewed):
 
 def test_hot_directory_is_listed_whole(skewed):
     files = skewed.selectExpr("parent", "path as label", "'file' as type")
-    pages = nested_listing(files, page_size=500, max_group_rows=100).filter("parent = 'hot'").orderBy("page").collect()
+    pages = nested_listing(files, page_size=500, slice_rows=100).filter("parent = 'hot'").orderBy("page").collect()
     assert [name for p in pages for name in p.files] == [f"f{i:05d}" for i in range(3000)]
-    lines = pulled_names(files, page_size=500, max_group_rows=100).filter("parent = 'hot'").orderBy("page").collect()
+    lines = pulled_names(files, page_size=500, slice_rows=100).filter("parent = 'hot'").orderBy("page").collect()
     assert ", ".join(r.names for r in lines) == ", ".join(f"f{i:05d}" for i in range(3000))
 
 

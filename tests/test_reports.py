@@ -18,6 +18,7 @@ from tests.conftest import rows
 BYTES = "%(value).1f %(symbol)s"
 
 
+# Documented examples.
 @pytest.mark.parametrize("n, format, symbols, text", [
     (0, BYTES, "customary", "0.0 B"), (0.9, BYTES, "customary", "0.0 B"), (1, BYTES, "customary", "1.0 B"),
     (1.9, BYTES, "customary", "1.0 B"), (1024, BYTES, "customary", "1.0 K"), (1048576, BYTES, "customary", "1.0 M"),
@@ -28,7 +29,7 @@ BYTES = "%(value).1f %(symbol)s"
 ])
 def test_documented_byte_examples(frame, n, format, symbols, text):
     df = frame("n decimal(38,3)", (Decimal(str(n)),))
-    assert df.select(readable_bytes(F.col("n"), format, symbols, wide=True)).first()[0] == text
+    assert df.select(readable_bytes(F.col("n"), format, symbols)).first()[0] == text
     if n < 1 << 63:
         kind = "double" if isinstance(n, float) else "bigint"
         assert frame(f"n {kind}", (n,)).select(readable_bytes(F.col("n"), format, symbols)).first()[0] == text

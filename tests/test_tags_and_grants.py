@@ -2,8 +2,11 @@ import json
 import random
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from shelfmark.operators import grants, tags
+from shelfmark.sources import responses
 from tests.conftest import HOME, plan_of, rows
 
 SPECS = "id string, ns string, spec string"
@@ -52,13 +55,24 @@ def test_rendered_lines_and_payload(posted):
     assert json.loads(only)["irods-avus"] == []
 
 
-def test_an_object_with_very_many_tags_is_paged_whole(spark):
-    many = spark.range(5000).selectExpr("'hot' id", "'avus' ns", "concat('k', id) attr", "'v' value", "'' unit")
-    parts = tags.tag_payloads(many, page_size=300, max_group_rows=500).collect()
-    sizes = [len(json.loads(r.payload)["avus"]) for r in parts]
-    assert sum(sizes) == 5000 and max(sizes) == 300
+def test_an_object_with_very_many_tags_is_posted_whole(spark):
+    many = spark.range(1500).selectExpr("'hot' id", "'avus' ns", "concat('k', id) attr", "'v' value", "'' unit")
+    posted = tags.tag_payloads(many).select(F.col("id").alias("rid"), F.col("payload").alias("body"))
+    assert posted.count() == 1
+    read = responses.tag_rows(posted).withColumnRenamed("rid", "id")
+    after = tags.overwrite_tags(many.limit(3), read)
+    assert rows(after, "attr") == rows(many, "attr")
     lines = [line for r in tags.render_tags(many, 300, 500).collect() for line in r.tags.split("\n")]
-    assert sorted(lines) == sorted(f"k{i}=v" for i in range(5000))
+    assert sorted(lines) == sorted(f"k{i}=v" for i in range(1500))
+
+
+def test_a_malformed_tag_rejects_the_whole_post(frame):
+    current = frame("id string, ns string, attr string, value string, unit string", ("1", "avus", "old", "v", ""), ("2", "avus", "old", "v", ""))
+    specs = frame("id string, ns string, spec string", ("1", "avus", "a=b"), ("1", "avus", "bad"), ("2", "avus", "c=d"))
+    assert rows(tags.post_tags(current, specs), "id", "attr") == [("1", "old"), ("2", "c")]
+    assert rows(tags.rejected_posts(specs)) == [("1", 1)]
+    with pytest.raises(PySparkException, match="malformed tag of 1"):
+        tags.post_tags(current, specs, strict=True).collect()
 
 
 GRANT = "usr string, path string, permission string"
