@@ -241,3 +241,17 @@ def copy_round_trip(spark, sf_dir):
     content.ingest_directory(spark, sf_dir, store, "/store/home/raw")
     content.export_directory(spark, store, "/store/home/raw", directory)
     return tree.file_digests(tree.list_local_files(spark, directory)).select("label", "size", "md5")
+
+
+@query(
+    f"""
+    select 'first' as run, count(*) as copied, cast(0 as bigint) as skipped from read_blob({_TREE})
+    union all
+    select 'again', 0, count(*) from read_blob({_TREE})
+    """
+)
+def export_report(spark, sf_dir):
+    store, directory = scratch_path(spark, "store"), scratch_path(spark, "export")
+    content.ingest_directory(spark, sf_dir, store, "/store/home/raw")
+    runs = [(name, *content.export_directory(spark, store, "/store/home/raw", directory)) for name in ("first", "again")]
+    return spark.createDataFrame(runs, "run string, copied long, skipped long")

@@ -1,8 +1,9 @@
 """A Spark data source that writes rows as files.
 
-``binaryFile`` only reads.  Each task writes a temporary name next to the target
-and renames it when the file is complete, so retried and speculative tasks leave
-whole files only.
+``binaryFile`` only reads.  Each task writes into a folder of its job below the
+target and moves a file out of it when it is complete, so retried and speculative
+tasks leave whole files only.  The folder goes when the job ends; listings, which
+do not descend, never show what a killed job left in it.
 """
 
 from __future__ import annotations
@@ -38,17 +39,31 @@ class _FileTreeWriter(DataSourceArrowWriter):
     def __init__(self, directory: str, overwrite: bool):
         self.directory = directory
         self.overwrite = overwrite
+        self.staging = f".writing-{uuid.uuid4().hex}"
+
+    def commit(self, messages: list) -> None:
+        self._clean()
+
+    def abort(self, messages: list) -> None:
+        self._clean()
+
+    def _clean(self) -> None:
+        filesystem, root = open_filesystem(self.directory)
+        staging = f"{root}/{self.staging}"
+        if filesystem.get_file_info(staging).type == fs.FileType.Directory:
+            filesystem.delete_dir(staging)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         filesystem, root = open_filesystem(self.directory)
-        filesystem.create_dir(root, recursive=True)
+        staging = f"{root}/{self.staging}"
+        filesystem.create_dir(staging, recursive=True)
         written, target = 0, None
         try:
             for batch in iterator:
                 columns = [batch.column(c) for c in ("name", "content", "last")]
                 for name, content, last in zip(*columns):
                     if target is None:
-                        target = _Target(filesystem, f"{root}/{name.as_py()}", self.overwrite)
+                        target = _Target(filesystem, f"{root}/{name.as_py()}", staging, self.overwrite)
                     target.add(content.as_buffer())
                     if last.as_py():
                         written += target.finish()
@@ -62,10 +77,9 @@ class _FileTreeWriter(DataSourceArrowWriter):
 class _Target:
     """One file being written; a file that exists is passed over."""
 
-    def __init__(self, filesystem: fs.FileSystem, path: str, overwrite: bool):
+    def __init__(self, filesystem: fs.FileSystem, path: str, staging: str, overwrite: bool):
         self.filesystem, self.path = filesystem, path
-        folder = path.rpartition("/")[0]
-        self.temporary = f"{folder}/.{uuid.uuid4().hex}.tmp"
+        self.temporary = f"{staging}/{uuid.uuid4().hex}"
         there = not overwrite and filesystem.get_file_info(path).type != fs.FileType.NotFound
         self.stream = None if there else filesystem.open_output_stream(self.temporary)
 

@@ -90,7 +90,11 @@ def open_filesystem(uri: str):
         return arrow_fs.LocalFileSystem(), uri
     if uri.startswith("file:"):
         return arrow_fs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    return arrow_fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    # Only the root is parsed as a URI: names may hold spaces, '%' and '#'.
+    scheme, _, rest = uri.replace("s3a://", "s3://", 1).partition("://")
+    authority, _, name = rest.partition("/")
+    filesystem, root = arrow_fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return filesystem, f"{root.rstrip('/')}/{name}"
 
 
 def describe(files: DataFrame) -> DataFrame:

@@ -9,6 +9,9 @@ put together again.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
+from pyarrow.fs import FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +21,7 @@ from shelfmark.operators.integrity import checksum_summary, verify_checksums
 from shelfmark.operators.transfer import first_wins, plan_actions, skip_existing, transfer_ordinals
 from shelfmark.session import durable
 from shelfmark.sources.file_writer import FileTreeSink
-from shelfmark.sources.files import CHUNK_BYTES, list_local_files, read_chunks, spread_by_bytes
+from shelfmark.sources.files import CHUNK_BYTES, list_local_files, open_filesystem, read_chunks, spread_by_bytes
 
 STORE_SCHEMA = (
     "path string, label string, parent string, size bigint, part bigint, content binary, md5 string, "
@@ -47,7 +50,14 @@ def stored_files(content: DataFrame) -> DataFrame:
     )
 
 
-def append_new(listing: DataFrame, store: str, dest: str, chunk_bytes: int = CHUNK_BYTES) -> None:
+class CopyReport(NamedTuple):
+    """How many names a copy wrote and how many it passed over."""
+
+    copied: int
+    skipped: int
+
+
+def append_new(listing: DataFrame, store: str, dest: str, chunk_bytes: int = CHUNK_BYTES) -> CopyReport:
     """Copy the listed files flat into ``dest``; names already there are skipped.
 
     Of several sources with one name the first by path is kept.  The skip is
@@ -58,7 +68,8 @@ def append_new(listing: DataFrame, store: str, dest: str, chunk_bytes: int = CHU
     parent = normalize_path(F.lit(dest))
     there = stored_files(open_store(spark, store)).filter(F.col("parent") == parent)
     # Fixed before the copy, so that a recomputed task reads the very same files.
-    todo = durable(skip_existing(first_wins(listing), there))
+    wanted = durable(first_wins(listing))
+    todo = durable(skip_existing(wanted, there))
     sets = {"false": todo.filter(F.col("size") <= chunk_bytes), "true": todo.filter(F.col("size") > chunk_bytes)}
     for chunked, files in sets.items():
         if files.isEmpty():
@@ -66,13 +77,15 @@ def append_new(listing: DataFrame, store: str, dest: str, chunk_bytes: int = CHU
         chunks = read_chunks(spread_by_bytes(files), chunk_bytes if chunked == "true" else None)
         rows = chunks.withColumn("parent", parent).withColumn("path", join_path(parent, F.col("label")))
         rows.select(*STORE_COLUMNS).write.mode("append").parquet(f"{store}/chunked={chunked}")
+    copied = todo.count()
+    return CopyReport(copied, wanted.count() - copied)
 
 
 def ingest_directory(
     spark: SparkSession, source: str, store: str, dest: str, rules: FileRules | None = None
-) -> None:
+) -> CopyReport:
     """Copy a file, or the files of a directory that pass the rules, into ``dest``."""
-    append_new(list_local_files(spark, source, rules), store, dest)
+    return append_new(list_local_files(spark, source, rules), store, dest)
 
 
 def plan_export(
@@ -113,12 +126,13 @@ def export_directory(
     rules: FileRules | None = None,
     manifest: DataFrame | None = None,
     overwrite: bool = False,
-) -> None:
+) -> CopyReport:
     """Copy the stored files directly under ``from_path`` that pass the rules.
 
     ``from_path`` may also be one file, to which no rules apply.  A manifest is
-    checked against the directory before anything is written, and it is an error
-    if there is nothing to copy.
+    checked against the directory before anything is written.  It is an error if
+    the path does not exist, and another if nothing there passes the rules.
+    Taken names are found from listings; where all are taken no content is read.
     """
     source = normalize_path(F.lit(from_path))
     below, itself = F.col("parent") == source, F.col("path") == source
@@ -127,13 +141,30 @@ def export_directory(
         checked = verify_checksums(stored_files(content), manifest)
         if not checksum_summary(checked).first()["passed"]:
             raise ValueError(f"checksums of {from_path} do not match the manifest")
+    if stored_files(content).isEmpty():
+        raise FileNotFoundError(f"no such path in the store: {from_path}")
     if rules is not None:
         content = content.filter(itself | rules.predicate(F.col("path"), F.col("label")))
     if stored_files(content).isEmpty():
-        raise ValueError(f"no files to copy at {from_path}")
+        raise ValueError(f"nothing selected at {from_path}")
+    wanted = stored_files(content).select("label").distinct()
+    todo = wanted if overwrite else skip_existing(wanted, _names_in(spark, directory))
+    copied, total = todo.count(), wanted.count()
+    report = CopyReport(copied, total - copied)
+    if not copied:
+        return report
     last = F.col("md5").isNotNull()
     rows = content.select(F.col("label").alias("name"), "part", "content", last.alias("last"), "chunked")
     # Nearly all files are one chunk and are written where they are read.
     export_rows(rows.filter(~F.col("chunked")), directory, overwrite)
     chunked = rows.filter("chunked").repartition("name").sortWithinPartitions("name", "part")
     export_rows(chunked, directory, overwrite)
+    return report
+
+
+def _names_in(spark: SparkSession, directory: str) -> DataFrame:
+    """``label`` of the files directly in a directory; none when there is no directory."""
+    filesystem, path = open_filesystem(directory)
+    if filesystem.get_file_info(path).type == FileType.NotFound:
+        return spark.createDataFrame([], "label string")
+    return list_local_files(spark, directory).select("label")

@@ -142,9 +142,31 @@ def test_export_of_one_file_and_of_nothing(spark, folder, tmp_path):
     content.ingest_directory(spark, folder, store, "/h")
     content.export_directory(spark, store, "/h/f1.txt/", out, FileRules(["no such pattern"]))
     assert contents(out) == {"f1.txt": b"Hello, 1!"}
-    for path, rules in (("/nope", None), ("/h", FileRules(["no such pattern"]))):
-        with pytest.raises(ValueError, match="no files to copy"):
-            content.export_directory(spark, store, path, out, rules)
+    with pytest.raises(FileNotFoundError, match="no such path"):
+        content.export_directory(spark, store, "/nope", out)
+    with pytest.raises(ValueError, match="nothing selected"):
+        content.export_directory(spark, store, "/h", out, FileRules(["no such pattern"]))
+
+
+def test_copies_report_and_a_repeat_reads_no_content(spark, folder, tmp_path):
+    store, out = str(tmp_path / "store"), str(tmp_path / "out")
+    first = content.ingest_directory(spark, folder, store, "/h")
+    assert content.ingest_directory(spark, folder, store, "/h") == (0, first.copied)
+    assert content.export_directory(spark, store, "/h", out) == (first.copied, 0)
+    before = {name: os.stat(f"{out}/{name}").st_mtime_ns for name in os.listdir(out)}
+    assert content.export_directory(spark, store, "/h", out).copied == 0
+    assert {name: os.stat(f"{out}/{name}").st_mtime_ns for name in os.listdir(out)} == before
+    assert not [name for name in before if name.startswith(".writing")]
+
+
+@pytest.mark.parametrize("name", ["a b.txt", "50%.txt", "x#y.txt", "q?.txt", "é&=.txt"])
+def test_names_with_signs_round_trip(spark, tmp_path, name):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / name).write_text("here")
+    content.ingest_directory(spark, f"file://{source}", str(tmp_path / "store"), "/h")
+    content.export_directory(spark, str(tmp_path / "store"), "/h", out)
+    assert contents(out) == {name: b"here"}
 
 
 def test_a_stored_catalog_prunes_by_directory(spark, tmp_path):
