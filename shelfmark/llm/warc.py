@@ -246,7 +246,7 @@ def archived_pages(pages: DataFrame, folder: str | None = None, least_bytes: int
     where = folder or scratch_path(pages.sparkSession, "warc")
     archives = stored(write_archives(pages, where, least_bytes), "archives")
     captures = stored(assemble(stored(read_archives(archives), "records")), "captures")
-    page = F.filter("metadata.fields", lambda f: f["key"] == "page-id")[0]["value"].cast("long")
+    page = F.get(F.filter("metadata.fields", lambda f: f["key"] == "page-id"), F.lit(0))["value"].cast("long")
     flat = captures.select("capture_id", page.alias("page_id"), "response.*")
     targets = flat.filter("record_type = 'response'").select(
         F.col("capture_id").alias("refers_to"),
