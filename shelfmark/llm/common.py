@@ -18,10 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: one fixed copy, no lineage."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    return _stored_at(df, scratch_path(df.sparkSession, name))
+
+
+def _stored_at(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of scratch data, on whatever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def ddl(df: DataFrame, columns: Sequence[str] | None = None) -> str:
@@ -93,12 +101,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternates two star steps: every node hands its larger neighbours to its
     smallest one, then its smaller neighbours.  Each step is a grouped minimum
     and an equi-join, so a hub is combined before the shuffle and its join can
-    be split.  The edges are written out after each round.  Null ends, loops
-    and repeated edges change nothing.
+    be split.  The edges are written out after each round, and those of the
+    round before are deleted.  Null ends, loops and repeated edges change nothing.
     """
     big, small = F.greatest(a, b), F.least(a, b)
     links = edges.filter(F.col(a) != F.col(b)).select(big.alias("u"), small.alias("v")).distinct()
-    links, before = stored(links, "links"), None
+    spark, before = edges.sparkSession, None
+    path = scratch_path(spark, "links")
+    links = _stored_at(links, path)
     while True:
         state = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before or not state[0]:
@@ -113,7 +123,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         )
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = stored(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        new = scratch_path(spark, "links")
+        links = _stored_at(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), new)
+        _removed(spark, path)
+        path = new
 
 
 def local_roots(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
