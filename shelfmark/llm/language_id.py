@@ -21,6 +21,8 @@ from shelfmark.llm.registry import query
 
 # The sample: about so many documents of each language, and so many windows of each.
 TRAIN_DOCUMENTS, TRAIN_WINDOWS, TRAIN_WIDTH = 500, 12, 64
+# The most common languages that are learned.
+LANGUAGES = 200
 HIDDEN, STEPS, BATCH = 8, 500, 192
 WIDTH, ROWS = 256, 2048
 PAD = 256
@@ -203,7 +205,7 @@ def in_holdout() -> Column:
 
 
 def trained_network(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, windows: int = TRAIN_WINDOWS) -> Network | None:
-    """A network fitted on about ``documents`` documents of each language, or none without any.
+    """A network fitted on about ``documents`` documents of each common language, or none without any.
 
     The documents are chosen by a hash, and from each some evenly spaced windows.
     """
@@ -221,8 +223,12 @@ def trained_network(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, windows:
             yield pa.RecordBatch.from_arrays([names, packed], names=["lang", "window"])
 
     known = docs.filter(~in_holdout() & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang", "text")
-    shares = known.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / documents).alias("share"))
-    sample = known.join(shares, "lang").filter(F.pmod(F.xxhash64("doc_id", "text"), F.col("share")) == 0)
+    common = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    if not common:
+        return None
+    # A literal, so that no text is shuffled to meet its language's share.
+    share = F.create_map(*[F.lit(x) for row in common for x in (row["lang"], -(-row["count"] // documents))])[F.col("lang")]
+    sample = known.filter(F.pmod(F.xxhash64("doc_id", "text"), share) == 0)
     rows = sample.select("lang", "text").mapInArrow(run, "lang string, window binary").toArrow()
     if not rows.num_rows:
         return None
