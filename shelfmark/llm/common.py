@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import scratch_path
 
+BATCH_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -32,6 +34,19 @@ def _removed(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with batches of at most about ``BATCH_BYTES``.
+
+    Spark's own limit of 64 MB counts for each task, on both sides of the pipe
+    and again while a batch grows, which is too much for rows of long texts.
+    The session's limit is lowered, never raised.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(key, str(BATCH_BYTES)).rstrip("b")) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def ddl(df: DataFrame, columns: Sequence[str] | None = None) -> str:
     """The DDL of some columns of ``df``, for the schema of an Arrow map."""
     names = df.columns if columns is None else columns

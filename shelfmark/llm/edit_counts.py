@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import table, text_slices
+from shelfmark.llm.common import map_arrow, table, text_slices
 from shelfmark.llm.registry import query
 
 LEAF = 32
@@ -258,7 +258,7 @@ def apply_edits(docs: DataFrame, tokenizer: str, keep: bool = False) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *columns], names=names)
 
     wanted = ["doc_id", "text", "edits", *(["leaf_chars", "leaf_tokens"] if stored_tree else [])]
-    return docs.select(*wanted).mapInArrow(run, schema)
+    return map_arrow(docs.select(*wanted), run, schema)
 
 
 def with_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:

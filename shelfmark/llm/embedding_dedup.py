@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import components, ddl, local_roots, matrix, sorted_groups, stored, table
+from shelfmark.llm.common import components, ddl, local_roots, map_arrow, matrix, sorted_groups, stored, table
 from shelfmark.llm.registry import query
 
 BLOCK = 256
@@ -64,7 +64,7 @@ def _hashed(classes: DataFrame, bits: int, tables: int) -> DataFrame:
                 column = pa.ListArray.from_arrays(bounds, pa.array(keys.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*part.schema.names, "hashes"])
 
-    return classes.mapInArrow(run, schema)
+    return map_arrow(classes, run, schema)
 
 
 def _linked(dealt: DataFrame, threshold: float) -> DataFrame:
@@ -114,7 +114,7 @@ def _linked(dealt: DataFrame, threshold: float) -> DataFrame:
                 names=["cid", "links", "id", "root"],
             )
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "cid long, links long, id long, root long")
+    return map_arrow(dealt.repartition(*keys).sortWithinPartitions(*keys), run, "cid long, links long, id long, root long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import table, text_slices
+from shelfmark.llm.common import map_arrow, table, text_slices
 from shelfmark.llm.registry import query
 
 # The sample: about so many documents of each language, and so many windows of each.
@@ -229,7 +229,7 @@ def trained_network(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, windows:
     # A literal, so that no text is shuffled to meet its language's share.
     share = F.create_map(*[F.lit(x) for row in common for x in (row["lang"], -(-row["count"] // documents))])[F.col("lang")]
     sample = known.filter(F.pmod(F.xxhash64("doc_id", "text"), share) == 0)
-    rows = sample.select("lang", "text").mapInArrow(run, "lang string, window binary").toArrow()
+    rows = map_arrow(sample.select("lang", "text"), run, "lang string, window binary").toArrow()
     if not rows.num_rows:
         return None
     rows = rows.sort_by([("lang", "ascending"), ("window", "ascending")])  # the same in every run
@@ -279,7 +279,7 @@ def predict_languages(docs: DataFrame, network: Network | None) -> DataFrame:
             )
 
     rows = docs.select("doc_id", in_holdout().alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return map_arrow(rows, run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 @query()

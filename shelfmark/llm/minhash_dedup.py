@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import components, matrix, sorted_groups, stored, table, text_slices
+from shelfmark.llm.common import components, map_arrow, matrix, sorted_groups, stored, table, text_slices
 from shelfmark.llm.registry import query
 from shelfmark.llm.words import GOLDEN, mix, shingle_sets
 
@@ -99,7 +99,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_shingles", "fp1", "fp2", "bands", "sketch"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, _SIGNATURES)
+    return map_arrow(docs.select("doc_id", "text"), run, _SIGNATURES)
 
 
 def fine_sketches(sets: DataFrame) -> DataFrame:
@@ -113,7 +113,7 @@ def fine_sketches(sets: DataFrame) -> DataFrame:
             sketches = [row.tobytes() for row in odd_sketches(samples, FINE_BITS)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sketches, pa.binary())], names=["id", "sketch"])
 
-    return sets.select("id", "shingles").mapInArrow(run, "id long, sketch binary")
+    return map_arrow(sets.select("id", "shingles"), run, "id long, sketch binary")
 
 
 def _candidates(grouped: DataFrame, percent: int, crossing: bool) -> DataFrame:
@@ -159,7 +159,7 @@ def _candidates(grouped: DataFrame, percent: int, crossing: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (lows, highs)], names=["a", "b"])
 
     placed = grouped.repartition("bucket", "block").sortWithinPartitions("bucket", "block")
-    return placed.mapInArrow(run, "a long, b long").distinct()
+    return map_arrow(placed, run, "a long, b long").distinct()
 
 
 def _first_candidates(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -219,7 +219,7 @@ def shingle_table(docs: DataFrame, ids: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(packed, pa.binary())], names=["id", "shingles"])
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return wanted.mapInArrow(run, "id long, shingles binary")
+    return map_arrow(wanted, run, "id long, shingles binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -237,7 +237,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import sorted_groups, stored, table
+from shelfmark.llm.common import map_arrow, sorted_groups, stored, table
 from shelfmark.llm.registry import query
 from shelfmark.llm.words import mix
 
@@ -115,7 +115,8 @@ def _rounded(level: DataFrame) -> DataFrame:
     # Large documents first, so that a small one stays fractional where possible.
     order = ["sid", "chunk", F.desc("size"), "key", "uid"]
     placed = level.select("sid", "chunk", "key", "uid", "size", "part").repartition("sid", "chunk")
-    return placed.sortWithinPartitions(*order).mapInArrow(
+    return map_arrow(
+        placed.sortWithinPartitions(*order),
         run, "sid long, chunk long, key long, uid long, size long, part double"
     )
 

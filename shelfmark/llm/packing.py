@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stored, table, text_slices
+from shelfmark.llm.common import map_arrow, stored, table, text_slices
 from shelfmark.llm.registry import query
 from shelfmark.llm.tokens import word_tokenizer
 
@@ -165,7 +165,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int = END, capacity: int = C
             full += int(fulls.sum())
             row += len(sizes)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_arrow(docs.select("doc_id", "text"), run, schema)
 
 
 def pack_documents(
@@ -235,7 +235,7 @@ def pack_documents(
             )
 
     joined = tokens.select("uid", "doc_id", "n_tokens", "ids").join(ranked, "uid")
-    return joined.select("doc_id", "n_tokens", "ids", "full_rank", "rest", "rest_rank").mapInArrow(run, schema)
+    return map_arrow(joined.select("doc_id", "n_tokens", "ids", "full_rank", "rest", "rest_rank"), run, schema)
 
 
 def default_tokenizer() -> str:

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stored, table, text_slices
+from shelfmark.llm.common import map_arrow, stored, table, text_slices
 from shelfmark.llm.registry import query
 from shelfmark.session import scratch_path
 from shelfmark.sources.files import open_filesystem
@@ -127,7 +127,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
         if stream is not None:
             yield finished()
 
-    return decided.mapInArrow(run, "path string, records long, size long")
+    return map_arrow(decided, run, "path string, records long, size long")
 
 
 def members(stream) -> Iterator[bytes]:
@@ -205,7 +205,7 @@ def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
                         yield pa.RecordBatch.from_pylist(rows, schema)
 
     count = archives.count()
-    return archives.select("path").repartition(max(1, min(count, 100_000))).mapInArrow(run, RECORD)
+    return map_arrow(archives.select("path").repartition(max(1, min(count, 100_000))), run, RECORD)
 
 
 def assemble(records: DataFrame) -> DataFrame:
