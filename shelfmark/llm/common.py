@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +25,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return _stored_at(df, scratch_path(df.sparkSession, name))
 
 
+# Where set, the list that gets the folder of every scratch table.
+_recorder: ContextVar[list[str] | None] = ContextVar("recorder", default=None)
+
+
+@contextmanager
+def recorded(folders: list[str]) -> Iterator[None]:
+    """Note in ``folders`` what scratch tables are written meanwhile."""
+    token = _recorder.set(folders)
+    try:
+        yield
+    finally:
+        _recorder.reset(token)
+
+
 def _stored_at(df: DataFrame, path: str) -> DataFrame:
+    if _recorder.get() is not None:
+        _recorder.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _removed(spark: SparkSession, path: str) -> None:
+def removed(spark: SparkSession, path: str) -> None:
     """Delete a folder of scratch data, on whatever file system it is."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
@@ -140,7 +158,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         moved = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = scratch_path(spark, "links")
         links = _stored_at(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), new)
-        _removed(spark, path)
+        removed(spark, path)
         path = new
 
 
