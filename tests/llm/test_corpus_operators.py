@@ -244,6 +244,52 @@ def test_smoothed_probabilities_sum_to_one():
         assert np.exp(model.score(every).astype(float)).sum() == pytest.approx(1.0, abs=1e-3)
 
 
+def fluent_texts(rng, count, words=200):
+    """Texts of a language in which each word is followed by one of three others."""
+    follow = {k: rng.sample(range(400), 3) for k in range(400)}
+    texts = []
+    for _ in range(count):
+        at, own = rng.randrange(400), []
+        for _ in range(words):
+            own.append(f"w{at}")
+            at = rng.choice(follow[at])
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_words_in_random_order_score_worse_than_fluent_texts(spark):
+    rng = random.Random(11)
+    fluent = fluent_texts(rng, 150)
+    salad = [" ".join(rng.sample(t.split(), 200)) for t in fluent[:30]]
+    df = documents(spark, *[(k, t, "en") for k, t in enumerate(fluent + salad)])
+    score = {r.doc_id: r.log_ppl for r in quality.quality(df).collect()}
+    assert min(score[150 + k] for k in range(30)) > max(score[k] for k in range(150)) + 0.5
+
+
+def test_words_of_other_scripts_are_not_mixed_up():
+    texts = pa.array(["Дом дом, том", "漢字漢", "don't x", None])
+    bounds, hashes = quality.model_words(texts)
+    assert bounds.tolist() == [0, 4, 7, 11, 11]
+    assert hashes[0] == hashes[1] and len(set(hashes[:4].tolist())) == 3
+    assert hashes[4] == hashes[6] != hashes[5]
+
+
+def test_joined_probabilities_equal_those_in_memory(spark):
+    rng = np.random.default_rng(4)
+    symbols = rng.choice(64, 3000, p=np.r_[np.full(8, 0.1), np.full(56, 0.2 / 56)]).astype(np.uint8)
+    grams, counts = np.unique(quality.four_grams(symbols), return_counts=True)
+    rows = [(*[int(g) >> 6 * k & 63 for k in (3, 2, 1, 0)], int(c), 0) for g, c in zip(grams, counts)]
+    df = spark.createDataFrame(rows, ", ".join(f"{w} long" for w in quality.WORDS) + ", n0 long, n1 long")
+    got = quality.probabilities(df, []).collect()
+    assert len(got) == len(grams)
+    packed = np.array([sum(r[w] << 6 * k for w, k in zip(quality.WORDS, (3, 2, 1, 0))) for r in got], np.uint32)
+    want = np.exp(quality.Model(grams, counts).score(packed).astype(float))
+    # The lowest order is spread over the words seen and one more here, over 64 symbols there.
+    assert np.allclose([r.p0 for r in got], want, rtol=0.02)
+    vocabulary = len({r.w3 for r in got})
+    assert all(r.p1 == pytest.approx(1 / (vocabulary + 1)) for r in got)
+
+
 # --- personal data
 
 
