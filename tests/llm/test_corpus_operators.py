@@ -341,6 +341,22 @@ def test_trees_add_other_ways_to_write_and_leave_the_rest(spark):
         assert detector.spans(text, personal_data.base_spans(text)) == []
 
 
+def test_numbers_around_a_card_or_phone_do_not_hide_it(spark):
+    card, phone = "4111 1111 1111 1111", "(555) 123-4567"
+    long = "17 " * 30
+    for kind, own in (("card", card), ("card", "4111-1111-1111-1111"), ("phone", phone)):
+        for before, after in (("", " 12/26"), ("", " 123"), ("2024 ", ""), ("2024 ", " 12/26"), (long, ""), (long, " 17 18")):
+            text = f"x {before}{own}{after} y"
+            at = text.index(own)
+            assert (kind, at, at + len(own)) in personal_data.proposals(text)
+    assert len(personal_data.proposals("12 " * 4000)) < 12 * 4000 * 2
+    detector = personal_data.trained_detector(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    for own, before, after in ((card, "", " 12/26"), (card, "", " 123"), (phone, "2024 ", ""), (card, long, " 12/26")):
+        text = f"pay with {before}{own}{after} today"
+        spans = detector.spans(text, personal_data.base_spans(text))
+        assert own in [text[a:b] for _, a, b in spans], (text, spans)
+
+
 def test_redaction(spark):
     df = documents(spark, (1, "mail a@b.cc or +49 30 1234567.", "en", "s", 3), (2, None), (3, "4111 1111 1111 1111, 1.2.3.4"))
     out = personal_data.redact(df, personal_data.trained_detector(df))
