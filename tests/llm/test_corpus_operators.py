@@ -266,6 +266,18 @@ def test_words_in_random_order_score_worse_than_fluent_texts(spark):
     assert min(score[150 + k] for k in range(30)) > max(score[k] for k in range(150)) + 0.5
 
 
+def test_a_third_of_noise_does_not_widen_the_band(spark):
+    rng = random.Random(12)
+    fluent = fluent_texts(rng, 150)
+    noise = [" ".join(rng.sample(t.split(), 200)) for t in fluent[:65]]
+    near = [t + " one more" for t in fluent[-10:]]
+    few = fluent_texts(rng, 1) * 3
+    rows = [(k, t, "en") for k, t in enumerate(fluent + noise + near)] + [(1000 + k, t, None) for k, t in enumerate(few)]
+    kept = {r.doc_id for r in quality.good_documents(documents(spark, *rows)).collect()}
+    assert not kept & set(range(150, 215))
+    assert len(kept & set(range(150))) >= 147 and set(range(215, 225)) <= kept and {1000, 1001, 1002} <= kept
+
+
 def test_words_of_other_scripts_are_not_mixed_up():
     texts = pa.array(["Дом дом, том", "漢字漢", "don't x", None])
     bounds, hashes = quality.model_words(texts)
