@@ -66,6 +66,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read again: one fixed copy without lineage."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """Delete a folder of scratch data, on whatever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` written out reliably, so that later stages see one fixed copy."""
     spark = df.sparkSession
