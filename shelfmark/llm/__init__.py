@@ -4,6 +4,9 @@ from shelfmark.llm import (  # noqa: F401  (importing registers the queries)
     edit_counts,
     embedding_dedup,
     language_id,
+    lexical_search,
+    line_dedup,
+    merkle,
     minhash_dedup,
     mixing,
     packing,
