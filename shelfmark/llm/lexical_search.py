@@ -36,7 +36,8 @@ _GUARD = " "
 
 def guarded(texts: pa.Array) -> pa.Array:
     """The terms of each text in lower case (A-Z only), with a guard before, between and after them."""
-    texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    # Lower-cased before the cast: Arrow's ascii_lower misreads what a cast makes of a slice.
+    texts = pc.fill_null(pc.ascii_lower(texts).cast(pa.large_string()), "")
     inner = pc.ascii_trim(pc.replace_substring_regex(texts, _GAPS, _GUARD), _GUARD)
     edge = pa.scalar("", pa.large_string())
     return pc.binary_join_element_wise(edge, inner, edge, pa.scalar(_GUARD, pa.large_string()))

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,6 +247,12 @@ def test_search_in_small_tables_of_sums(spark, monkeypatch):
     assert searched(spark, DOCS, ITEMS, top=3) == brute_search(DOCS, ITEMS, top=3)
 
 
+def test_guards_of_a_slice_of_texts():
+    texts = ["é" * (k % 30) + " ,X " + "ñ." * (k % 5) for k in range(900)]
+    whole = lexical_search.guarded(pa.array(texts))
+    assert lexical_search.guarded(pa.array(texts).slice(300, 400)).equals(whole.slice(300, 400))
+
+
 def test_many_equal_documents_tie_by_id(spark):
     docs = [(k, "same words here") for k in range(300, 0, -1)]
     assert searched(spark, docs, [(1, "same here"), (2, "words")]) == brute_search(docs, [(1, "same here"), (2, "words")])
