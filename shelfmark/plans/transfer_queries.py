@@ -11,6 +11,7 @@ from shelfmark.plans.registry import query
 from shelfmark.session import scratch_path
 from shelfmark.sources import files as tree
 from shelfmark.sources import store as content
+from shelfmark.sources.ranged_writer import write_ranges
 
 _VERIFY = """
     select coalesce(a.label, e.name) as name, a.md5 as actual, e.checksum as expected,
@@ -255,3 +256,50 @@ def export_report(spark, sf_dir):
     content.ingest_directory(spark, sf_dir, store, "/store/home/raw")
     runs = [(name, *content.export_directory(spark, store, "/store/home/raw", directory)) for name in ("first", "again")]
     return spark.createDataFrame(runs, "run string, copied long, skipped long")
+
+
+_DOCUMENT_FILES = "select 'doc_' || doc_id || '.txt' as label, cast(strlen(text) as bigint) as size, md5(text) as md5 from documents"
+
+
+def _document_ranges(spark, sf_dir, length=1000):
+    """The documents as files, in ranges of so many bytes that lie in any order."""
+    data = fx.table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc_"), "doc_id", F.lit(".txt")).alias("name"), F.col("text").cast("binary").alias("data")
+    )
+    size = F.length("data")
+    starts = F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0)), F.lit(length))
+    cut = data.select("name", "data", F.explode(starts).alias("offset"))
+    last = F.col("offset") + length >= size
+    content = F.substring("data", F.col("offset") + 1, F.lit(length))
+    return cut.select("name", "offset", content.alias("content"), last.alias("last")).repartition(16, "name", "offset")
+
+
+@query(f"select *, cast(greatest(1, ceil(size / 1000)) as bigint) as ranges from ({_DOCUMENT_FILES})")
+def export_ranges(spark, sf_dir):
+    directory = scratch_path(spark, "export")
+    done = write_ranges(_document_ranges(spark, sf_dir), directory).filter("published")
+    files = tree.file_digests(tree.list_local_files(spark, directory)).select("label", "size", "md5")
+    return files.join(done.select(F.col("name").alias("label"), "ranges"), "label")
+
+
+@query(_DOCUMENT_FILES.replace(", md5(text) as md5", ""))
+def scan_folder_slices(spark, sf_dir):
+    directory = scratch_path(spark, "export")
+    write_ranges(_document_ranges(spark, sf_dir, length=1 << 20), directory)
+    return tree.list_local_files(spark, directory, slice_bytes=1 << 12).select("label", "size")
+
+
+@query(
+    f"""
+    select 'all but one' as run, count(*) - 1 as copied, cast(0 as bigint) as skipped from read_blob({_TREE})
+    union all
+    select 'all', 1, count(*) - 1 from read_blob({_TREE})
+    """
+)
+def export_partial_repeat(spark, sf_dir):
+    store, directory = scratch_path(spark, "store"), scratch_path(spark, "export")
+    content.ingest_directory(spark, sf_dir, store, "/store/home/raw")
+    rules = FileRules(exclude_names=["orders.parquet"])
+    first = content.export_directory(spark, store, "/store/home/raw", directory, rules)
+    again = content.export_directory(spark, store, "/store/home/raw", directory)
+    return spark.createDataFrame([("all but one", *first), ("all", *again)], "run string, copied long, skipped long")

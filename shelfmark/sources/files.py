@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import hashlib
 import os
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,35 +27,53 @@ TASK_BYTES = 1 << 30
 
 LISTING_SCHEMA = "uri string, path string, label string, size bigint"
 _LISTING_ROWS = 10_000
+# Bytes of a folder's own directory file for each task that lists it, some 10,000 names.
+SLICE_BYTES = 1 << 19
 
 
-def list_local_files(spark: SparkSession, source: str, rules: FileRules | None = None) -> DataFrame:
+def list_local_files(
+    spark: SparkSession, source: str, rules: FileRules | None = None, slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """``uri, path, label, size`` of the files directly in ``source`` that pass the rules.
 
     ``source`` may also be one file, to which no rules apply.  No file is opened.
+    A local or mounted folder is listed by several tasks: each streams the names,
+    which is cheap, and looks up only those of its slice, by a hash of the name.
+    A file that goes meanwhile is left out.  Other file systems have no such
+    listing in Arrow, and are listed by one task.
     """
     filesystem, path = open_filesystem(source)
     kind = filesystem.get_file_info(path).type
     if kind == arrow_fs.FileType.NotFound:
         raise FileNotFoundError(source)
     single = kind == arrow_fs.FileType.File
+    slices = 1 if single else listing_slices(source, slice_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for where in batch.column(0).to_pylist():
-                yield from _listing(where, single)
+            for own in batch.column(0).to_pylist():
+                yield from _listing(source, single, own, slices)
 
-    found = spark.createDataFrame([(source,)], "source string").mapInArrow(run, LISTING_SCHEMA)
+    found = spark.range(0, slices, 1, slices).mapInArrow(run, LISTING_SCHEMA)
     if rules is None or single:
         return found
     return found.filter(rules.predicate(F.col("path"), F.col("label")))
 
 
-def _listing(source: str, single: bool) -> Iterator[pa.RecordBatch]:
+def listing_slices(folder: str, slice_bytes: int = SLICE_BYTES) -> int:
+    """How many tasks should list a folder, by the size of its directory file."""
+    filesystem, path = open_filesystem(folder)
+    if not isinstance(filesystem, arrow_fs.LocalFileSystem):
+        return 1
+    return max(1, -(-os.stat(path).st_size // slice_bytes))
+
+
+def _listing(source: str, single: bool, own: int = 0, slices: int = 1) -> Iterator[pa.RecordBatch]:
     filesystem, path = open_filesystem(source)
     prefix = source.rstrip("/")[: -len(path.rstrip("/"))]
     names, sizes = [], []
-    for name, size in _entries(filesystem, path, single):
+    entries = [(path, filesystem.get_file_info(path).size, 0)] if single else folder_entries(filesystem, path, own, slices)
+    for name, size, _ in entries:
         names.append(name)
         sizes.append(size)
         if len(names) == _LISTING_ROWS:
@@ -70,18 +90,27 @@ def _listed(prefix: str, paths: list[str], sizes: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64())], names=["uri", "path", "label", "size"])
 
 
-def _entries(filesystem, path: str, single: bool) -> Iterator[tuple[str, int]]:
-    if single:
-        yield path, filesystem.get_file_info(path).size
-    elif isinstance(filesystem, arrow_fs.LocalFileSystem):
-        with os.scandir(path) as entries:
-            for entry in entries:
-                if entry.is_file():
-                    yield f"{path.rstrip('/')}/{entry.name}", entry.stat().st_size
-    else:
+def folder_entries(filesystem, path: str, own: int = 0, slices: int = 1) -> Iterator[tuple[str, int, int]]:
+    """Path, size and time of arrival, in nanoseconds, of the files of one slice of a folder.
+
+    A local file arrives when its inode changes, which a rename does too; elsewhere
+    it is the time it was last written.
+    """
+    if not isinstance(filesystem, arrow_fs.LocalFileSystem):
         for info in filesystem.get_file_info(arrow_fs.FileSelector(path)):
             if info.type == arrow_fs.FileType.File:
-                yield info.path, info.size
+                yield info.path, info.size, info.mtime_ns or 0
+        return
+    with os.scandir(path) as entries:
+        for entry in entries:
+            if slices > 1 and zlib.crc32(os.fsencode(entry.name)) % slices != own:
+                continue
+            try:
+                if entry.is_file():
+                    found = entry.stat()
+                    yield f"{path.rstrip('/')}/{entry.name}", found.st_size, found.st_ctime_ns
+            except FileNotFoundError:
+                continue
 
 
 def open_filesystem(uri: str):
@@ -112,10 +141,25 @@ def spread_by_bytes(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame
     """Rows of ``files`` over enough tasks that each reads about ``task_bytes``.
 
     The listing itself is tiny, so without this AQE would put it in one task.
+    Files of a quarter of that and more are dealt out by themselves, as many to
+    a task as make up its share, so that no two of the largest meet in one.
     """
-    total, count = files.agg(F.sum("size"), F.count(F.lit(1))).first()
-    wanted = max(-(-(total or 0) // task_bytes), files.sparkSession.sparkContext.defaultParallelism)
-    return files.repartition(max(1, min(count, wanted)))
+    large = F.col("size") >= task_bytes // 4
+    total, count, large_count, most = files.agg(
+        F.sum(F.when(~large, F.col("size"))),
+        F.count_if(~large),
+        F.count_if(large),
+        F.max("size"),
+    ).first()
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    small = files.filter(~large | F.col("size").isNull())
+    small = small.repartition(max(1, min(count, max(-(-(total or 0) // task_bytes), cores))))
+    if not large_count:
+        return small
+    each = max(1, task_bytes // most)  # files of the largest size that one task reads
+    tasks = max(-(-large_count // each), min(large_count, cores))
+    dealt = files.filter(large).repartition(tasks)
+    return dealt if not count else small.unionByName(dealt)
 
 
 def file_digests(files: DataFrame) -> DataFrame:
@@ -125,7 +169,7 @@ def file_digests(files: DataFrame) -> DataFrame:
         for batch in batches:
             digests = []
             for uri in batch.column("uri").to_pylist():
-                for _, _, md5 in _chunks(uri, CHUNK_BYTES):
+                for _, _, md5, _ in _chunks(uri, CHUNK_BYTES):
                     pass
                 digests.append(md5)
             kept = [batch.column(name) for name in ("path", "label", "size")]
@@ -138,8 +182,10 @@ def read_chunks(files: DataFrame, chunk_bytes: int | None = CHUNK_BYTES) -> Data
     """The bytes of the listed files, one row per chunk; null means whole files.
 
     Adds ``part`` from 0 up, ``content``, and ``md5``, which is the digest of
-    the whole file on its last chunk and null before.  Only listed files are
-    opened, and a task holds about a chunk at a time.
+    the whole file on its last chunk and null before.  Where ``files`` has a
+    ``size``, the last chunk has the bytes that were read, as a file may have
+    grown since it was listed.  Only listed files are opened, and a task holds
+    about a chunk at a time.
     """
     batch_bytes = chunk_bytes or CHUNK_BYTES
     uri_at = files.columns.index("uri")
@@ -164,20 +210,26 @@ def read_chunks(files: DataFrame, chunk_bytes: int | None = CHUNK_BYTES) -> Data
 
 
 def _with_chunks(batch: pa.RecordBatch, rows: list, chunks: list, names: list) -> pa.RecordBatch:
-    parts, contents, digests = zip(*chunks)
+    parts, contents, digests, ends = zip(*chunks)
+    kept = batch.take(pa.array(rows)).columns
+    if "size" in names:
+        at = names.index("size")
+        kept[at] = pc.coalesce(pa.array(ends, kept[at].type), kept[at])
     added = [pa.array(parts, pa.int64()), pa.array(contents, pa.binary()), pa.array(digests, pa.string())]
-    return pa.RecordBatch.from_arrays([*batch.take(pa.array(rows)).columns, *added], names=names)
+    return pa.RecordBatch.from_arrays([*kept, *added], names=names)
 
 
-def _chunks(uri: str, chunk_bytes: int | None) -> Iterator[tuple[int, bytes, str | None]]:
+def _chunks(uri: str, chunk_bytes: int | None) -> Iterator[tuple[int, bytes, str | None, int | None]]:
+    """Number, bytes, and on the last chunk digest and size of the file."""
     filesystem, path = open_filesystem(uri)
     digest = hashlib.md5(usedforsecurity=False)
     with filesystem.open_input_stream(path) as stream:
-        part, content = 0, stream.read(chunk_bytes)
+        part, content, size = 0, stream.read(chunk_bytes), 0
         while True:
             digest.update(content)
+            size += len(content)
             following = stream.read(chunk_bytes) if len(content) == chunk_bytes else b""
-            yield part, content, None if following else digest.hexdigest()
+            yield part, content, *((None, None) if following else (digest.hexdigest(), size))
             if not following:
                 return
             part, content = part + 1, following

@@ -21,7 +21,15 @@ from shelfmark.operators.integrity import checksum_summary, verify_checksums
 from shelfmark.operators.transfer import first_wins, plan_actions, skip_existing, transfer_ordinals
 from shelfmark.session import durable
 from shelfmark.sources.file_writer import FileTreeSink
-from shelfmark.sources.files import CHUNK_BYTES, list_local_files, open_filesystem, read_chunks, spread_by_bytes
+from shelfmark.sources.files import (
+    CHUNK_BYTES,
+    TASK_BYTES,
+    list_local_files,
+    open_filesystem,
+    read_chunks,
+    spread_by_bytes,
+)
+from shelfmark.sources.ranged_writer import write_ranges
 
 STORE_SCHEMA = (
     "path string, label string, parent string, size bigint, part bigint, content binary, md5 string, "
@@ -50,6 +58,18 @@ def stored_files(content: DataFrame) -> DataFrame:
     )
 
 
+# So many names go to the scan itself, which then opens only row groups that may hold one.
+PUSHED_NAMES = 1000
+
+
+def only_names(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """The rows whose ``label`` is in ``names(label)``; a few names are pushed down to the files."""
+    few = names.select("label").distinct().limit(PUSHED_NAMES + 1).collect()
+    if len(few) > PUSHED_NAMES:
+        return rows.join(names.select("label").distinct(), "label", "left_semi")
+    return rows.filter(F.col("label").isin([r.label for r in few]))
+
+
 class CopyReport(NamedTuple):
     """How many names a copy wrote and how many it passed over."""
 
@@ -66,17 +86,19 @@ def append_new(listing: DataFrame, store: str, dest: str, chunk_bytes: int = CHU
     """
     spark = listing.sparkSession
     parent = normalize_path(F.lit(dest))
-    there = stored_files(open_store(spark, store)).filter(F.col("parent") == parent)
     # Fixed before the copy, so that a recomputed task reads the very same files.
     wanted = durable(first_wins(listing))
+    there = only_names(stored_files(open_store(spark, store)).filter(F.col("parent") == parent), wanted)
     todo = durable(skip_existing(wanted, there))
     sets = {"false": todo.filter(F.col("size") <= chunk_bytes), "true": todo.filter(F.col("size") > chunk_bytes)}
     for chunked, files in sets.items():
         if files.isEmpty():
             continue
-        chunks = read_chunks(spread_by_bytes(files), chunk_bytes if chunked == "true" else None)
+        # By what is read, not by what was listed: a file that has grown since is cut as well.
+        chunks = read_chunks(spread_by_bytes(files), chunk_bytes)
         rows = chunks.withColumn("parent", parent).withColumn("path", join_path(parent, F.col("label")))
-        rows.select(*STORE_COLUMNS).write.mode("append").parquet(f"{store}/chunked={chunked}")
+        rows = rows.select(*STORE_COLUMNS).write.mode("append").option("parquet.bloom.filter.enabled#label", "true")
+        rows.parquet(f"{store}/chunked={chunked}")
     copied = todo.count()
     return CopyReport(copied, wanted.count() - copied)
 
@@ -132,7 +154,8 @@ def export_directory(
     ``from_path`` may also be one file, to which no rules apply.  A manifest is
     checked against the directory before anything is written.  It is an error if
     the path does not exist, and another if nothing there passes the rules.
-    Taken names are found from listings; where all are taken no content is read.
+    Taken names are found from listings, and only content that will be written is
+    read; it may lie in any order, as each chunk is written to its own place.
     """
     source = normalize_path(F.lit(from_path))
     below, itself = F.col("parent") == source, F.col("path") == source
@@ -148,18 +171,31 @@ def export_directory(
     if stored_files(content).isEmpty():
         raise ValueError(f"nothing selected at {from_path}")
     wanted = stored_files(content).select("label").distinct()
-    todo = wanted if overwrite else skip_existing(wanted, _names_in(spark, directory))
+    todo = wanted if overwrite else durable(skip_existing(wanted, _names_in(spark, directory)))
     copied, total = todo.count(), wanted.count()
-    report = CopyReport(copied, total - copied)
-    if not copied:
-        return report
+    if copied:
+        write_ranges(ranges_of(content if copied == total else only_names(content, todo)), directory, overwrite)
+    return CopyReport(copied, total - copied)
+
+
+def ranges_of(content: DataFrame, task_bytes: int = TASK_BYTES // 16) -> DataFrame:
+    """``name, offset, content, last`` of content rows; the chunks of large files are dealt over tasks.
+
+    All chunks of a file but the last are of one length, so each knows its place.
+    Files of one chunk are written where they are read.
+    """
     last = F.col("md5").isNotNull()
-    rows = content.select(F.col("label").alias("name"), "part", "content", last.alias("last"), "chunked")
-    # Nearly all files are one chunk and are written where they are read.
-    export_rows(rows.filter(~F.col("chunked")), directory, overwrite)
-    chunked = rows.filter("chunked").repartition("name").sortWithinPartitions("name", "part")
-    export_rows(chunked, directory, overwrite)
-    return report
+    offset = F.when(last, F.col("size") - F.length("content")).otherwise(F.col("part") * F.length("content"))
+    rows = content.select(F.col("label").alias("name"), offset.alias("offset"), "content", last.alias("last"), "chunked", "part")
+    small = rows.filter(~F.col("chunked")).drop("chunked", "part")
+    chunked = content.filter("chunked")
+    chunks, total = chunked.agg(F.count("part"), F.sum(F.when(last, F.col("size")))).first()
+    if not chunks:
+        return small
+    cores = content.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(chunks, max(-(-(total or 0) // task_bytes), cores)))
+    large = rows.filter("chunked").repartition(tasks, "name", "part").drop("chunked", "part")
+    return small.unionByName(large)
 
 
 def _names_in(spark: SparkSession, directory: str) -> DataFrame:
