@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions.paths import parent_of
 from shelfmark.functions.patterns import FileRules
-from shelfmark.sources.files import describe, list_local_files, open_filesystem
+from shelfmark.sources.arrivals import OVERLAP, Arrivals
 from shelfmark.sources.store import append_new, open_store
 
-_BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
+def arrivals(spark: SparkSession, source: str, overlap: float = OVERLAP) -> DataFrame:
+    """The stream of ``uri, path, label, size`` of the files directly in ``source``, by arrival."""
+    spark.dataSource.register(Arrivals)
+    return spark.readStream.format(Arrivals.name()).option("directory", source).option("overlap", str(overlap)).load()
 
 
 def incremental_copy(
@@ -23,18 +26,12 @@ def incremental_copy(
 ) -> None:
     """Copy what arrived directly in ``source`` since the last run, then stop.
 
-    The stream carries names and sizes only; content is read after the skip.
-    A batch that is replayed after a failure finds its files in the store.  The
-    file stream never shows empty files or names with a leading dot or
-    underscore, so those are looked up once at the end.
+    The stream carries names and sizes only; content is read after the skip.  A
+    batch that is replayed after a failure, or a file that is shown again, finds
+    its name in the store.
     """
     open_store(spark, store)
-    # Without the recursive option, key=value folders would be taken for partitions.
-    reader = spark.readStream.format("binaryFile").schema(_BINARY_FILE)
-    # A file's age says nothing about when it arrived, so none is too old.
-    reader = reader.option("recursiveFileLookup", "true").option("maxFileAge", "36500d")
-    files = reader.load(source).select("path", "length")
-    listing = describe(files).filter(parent_of(F.col("path")) == open_filesystem(source)[1].rstrip("/"))
+    listing = arrivals(spark, source)
     if rules is not None:
         listing = listing.filter(rules.predicate(F.col("path"), F.col("label")))
 
@@ -48,5 +45,3 @@ def incremental_copy(
         .start()
     )
     query.awaitTermination()
-    unseen = (F.col("size") == 0) | F.substring("label", 1, 1).isin(".", "_")
-    append_new(list_local_files(spark, source, rules).filter(unseen), store, dest)
