@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.paths import under_home
-from shelfmark.operators.numbering import SLICE_ROWS, page_within
+from shelfmark.operators.ranks import RANGE_ROWS, pages_within
 
 GRANT_KEY = ["usr", "path"]
 
@@ -105,7 +105,7 @@ def last_action() -> Column:
 
 
 def share_payloads(
-    grants: DataFrame, page_size: int = 1000, slice_rows: int = SLICE_ROWS
+    grants: DataFrame, page_size: int = 1000, slice_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """The JSON body that shares a user's grants, ``page_size`` paths to a body."""
     pair = F.struct("path", "permission")
@@ -114,7 +114,7 @@ def share_payloads(
 
 
 def unshare_payloads(
-    revoked: DataFrame, page_size: int = 1000, slice_rows: int = SLICE_ROWS
+    revoked: DataFrame, page_size: int = 1000, slice_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """The JSON body that revokes a user's paths, ``page_size`` paths to a body."""
     pairs = revoked.select(*GRANT_KEY).distinct()
@@ -124,7 +124,7 @@ def unshare_payloads(
 def _payloads(
     rows: DataFrame, order: list[str], item: Column, key: str, page_size: int, slice_rows: int
 ) -> DataFrame:
-    paged = page_within(rows, ["usr"], order, page_size, into="part", slice_rows=slice_rows)
+    paged = pages_within(rows, ["usr"], order, page_size, into="part", range_rows=slice_rows)
     body = paged.groupBy("usr", "part").agg(F.sort_array(F.collect_list(item)).alias("paths"))
     entry = F.struct(F.col("usr").cast("string").alias("user"), "paths")
     return body.select("usr", "part", F.to_json(F.struct(F.array(entry).alias(key))).alias("payload"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.paths import label_of, normalize_path, parent_of
-from shelfmark.operators.numbering import SLICE_ROWS, page_within
+from shelfmark.operators.ranks import RANGE_ROWS, pages_within
 
 PAGE_SIZE = 1000
 
@@ -94,19 +94,19 @@ def list_many(requests: DataFrame, objects: DataFrame, ordinal: str = "ord") ->
 
 
 def nested_listing(
-    objects: DataFrame, page_size: int = PAGE_SIZE, slice_rows: int = SLICE_ROWS
+    objects: DataFrame, page_size: int = PAGE_SIZE, slice_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """``files`` and ``folders`` arrays per directory, in pages of ``page_size``.
 
     A directory that fits a page is one row with ``page`` 0; a larger one goes
     on in further pages, so no row ever holds more than a page.
     """
-    paged = page_within(
+    paged = pages_within(
         objects.select("parent", "label", "type"),
         ["parent"],
         ["label", "type"],
         page_size,
-        slice_rows=slice_rows,
+        range_rows=slice_rows,
     )
 
     def names(kind: str) -> Column:

@@ -20,6 +20,8 @@ from shelfmark.session import deleted, scratch_path, written
 # Rows of one range, which one task sorts; a small table is still dealt over the cores.
 RANGE_ROWS = 250_000
 _LEAST_ROWS = 5_000
+# Ranges of fewer rows than this cost more than they spread.
+_SMALLEST_RANGE = 250
 
 
 def ranked_within(
@@ -43,7 +45,7 @@ def ranked_within(
     # One range for so many rows, or for so few that another task would not pay.
     count = rows.count()
     cores = min(spark.sparkContext.defaultParallelism, -(-count // _LEAST_ROWS))
-    ranges = max(1, -(-count // range_rows), cores)
+    ranges = max(1, -(-count // max(range_rows, _SMALLEST_RANGE)), cores)
     where = [*dict.fromkeys([*keys, *order]), "_row"]
     placed = rows.repartitionByRange(ranges, *where).sortWithinPartitions(*where)
     # The number of the range in the upper bits, and the place in it in the lower 33.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.avus import IRODS, STANDARD, parse_avu, render_avu
-from shelfmark.operators.numbering import SLICE_ROWS, page_within
+from shelfmark.operators.ranks import RANGE_ROWS, pages_within
 
 TAG_COLUMNS = ("id", "ns", "attr", "value", "unit")
 
@@ -58,11 +58,11 @@ def get_tags(tags: DataFrame, ids: DataFrame, irods: bool = False) -> DataFrame:
 
 
 def render_tags(
-    tags: DataFrame, page_size: int = 1000, slice_rows: int = SLICE_ROWS
+    tags: DataFrame, page_size: int = 1000, slice_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """``attr=value`` lines per id and namespace, ``page_size`` lines to a row."""
     lines = tags.select("id", "ns", render_avu(F.col("attr"), F.col("value")).alias("line"))
-    paged = page_within(lines, ["id", "ns"], ["line"], page_size, slice_rows=slice_rows)
+    paged = pages_within(lines, ["id", "ns"], ["line"], page_size, range_rows=slice_rows)
     text = F.array_join(F.sort_array(F.collect_list("line")), "\n")
     return paged.groupBy("id", "ns", "page").agg(text.alias("tags"))
 

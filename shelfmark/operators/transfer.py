@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.paths import normalize_path
-from shelfmark.operators.numbering import SLICE_ROWS, number_within, page_within
+from shelfmark.operators.ranks import RANGE_ROWS, pages_within, ranked_within
 
 
 def plan_actions(
@@ -41,10 +41,10 @@ def transfer_ordinals(
     files: DataFrame,
     directory: str = "parent",
     order: str = "path",
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Add the 0-based position of each file in the copy of its directory."""
-    return number_within(files, [directory], [order], "ordinal", slice_rows)
+    return ranked_within(files, [directory], [order], "ordinal", range_rows=slice_rows)
 
 
 def match_counts(
@@ -87,11 +87,11 @@ def pulled_names(
     target: str = "parent",
     name: str = "label",
     page_size: int = 1000,
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Comma-joined file names per target, ``page_size`` names to a line."""
-    paged = page_within(
-        files.select(target, name), [target], [name], page_size, slice_rows=slice_rows
+    paged = pages_within(
+        files.select(target, name), [target], [name], page_size, range_rows=slice_rows
     )
     listed = F.array_join(F.sort_array(F.collect_list(name)), ", ")
     return paged.groupBy(target, "page").agg(listed.alias("names"))

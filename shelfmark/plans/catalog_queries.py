@@ -11,7 +11,7 @@ from shelfmark.functions.paths import join_path, label_of, normalize_path, paren
 from shelfmark.functions.patterns import FileRules, labelled_in, matches_any, named_in
 from shelfmark.operators import listing, lookup, selection
 from shelfmark.operators.grants import check_grants
-from shelfmark.operators.numbering import page_within
+from shelfmark.operators.ranks import pages_within
 from shelfmark.plans import fixtures as fx
 from shelfmark.plans.registry import query
 from shelfmark.session import scratch_path
@@ -430,7 +430,7 @@ def _info(*names) -> Column:
 @query("select parent, path, label, type, id, md5 from objects", views=("objects",))
 def read_listings(spark, sf_dir):
     entry = _info("id", "path", "label", "md5")
-    paged = page_within(fx.objects(spark, sf_dir), ["parent"], ["label", "type"], 25)
+    paged = pages_within(fx.objects(spark, sf_dir), ["parent"], ["label", "type"], 25)
     bodies = paged.groupBy(F.col("parent").alias("rid"), "page").agg(
         F.to_json(
             F.struct(

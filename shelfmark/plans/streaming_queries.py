@@ -30,3 +30,14 @@ def streaming_grants(spark, sf_dir):
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     follow_grants(fx.change_log(events), state, checkpoint)
     return followed_grants(spark, state)
+
+
+@query("select * from in_force", views=("in_force",))
+def streaming_grants_merged(spark, sf_dir):
+    """The same log in twelve files, one a batch, with runs merged by fours."""
+    source, state, checkpoint = (scratch_path(spark, name) for name in ("log", "grants", "grant-log"))
+    events = fx.table(spark, sf_dir, "events")
+    events.repartition(12, "event_id").write.parquet(source)
+    log = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    follow_grants(fx.change_log(log), state, checkpoint, fan=4)
+    return followed_grants(spark, state)

@@ -1,5 +1,6 @@
 import pytest
 
+from shelfmark.operators import ranks
 from shelfmark.operators.ranks import pages_within, ranked_within
 from tests.conftest import rows
 from tests.test_numbering import brute, skewed  # noqa: F401
@@ -31,6 +32,15 @@ def test_the_input_is_evaluated_once(spark):
     assert seen.value == 5000
 
 
+def test_ranges_of_a_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "_SMALLEST_RANGE", 1)
+    df = spark.createDataFrame([(k % 3, k % 5, k) for k in range(120)], "a int, o int, v int")
+    got = ranked_within(df, ["a"], ["o", "v"], total="n", range_rows=3)
+    for a in range(3):
+        own = sorted((v % 5, v) for v in range(120) if v % 3 == a)
+        assert rows(got.filter(f"a = {a}"), "ordinal", "v", "n") == sorted(((at, v, 40) for at, (_, v) in enumerate(own)), key=repr)
+
+
 def test_no_keys_several_keys_and_an_empty_table(spark):
     data = [(a, b, f"{i:03d}") for a in (1, None) for b in ("x", "y") for i in range(40)]
     df = spark.createDataFrame(data, "a int, b string, o string")
