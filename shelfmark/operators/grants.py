@@ -22,12 +22,15 @@ def check_grants(grants: DataFrame, home: str) -> DataFrame:
     )
 
 
-def share(current: DataFrame, changes: DataFrame, home: str, order: str = "seq") -> DataFrame:
+def share(
+    current: DataFrame, changes: DataFrame, home: str, order: str = "seq", strict: bool = False
+) -> DataFrame:
     """Grants after sharing: the last valid change of a user and path sets its permission.
 
-    Invalid changes are left out; ``check_grants`` shows which those are.
+    Invalid changes are left out, and ``check_grants`` shows which those are;
+    ``strict`` fails the job on one instead.
     """
-    valid = changes.filter(under_home(F.col("path"), home) & valid_permission(F.col("permission")))
+    valid = changes.filter(_or_fail(under_home(F.col("path"), home) & valid_permission(F.col("permission")), strict))
     before = F.lit(None).cast(changes.schema[order].dataType)
     # Stacked and folded rather than joined: one shuffle, combined before it.
     # Nulls order first, so any change comes after what was there.
@@ -56,9 +59,18 @@ def check_share_requests(requests: DataFrame, home: str) -> DataFrame:
     )
 
 
-def share_many(current: DataFrame, requests: DataFrame, home: str, rid: str = "rid") -> DataFrame:
-    """Grants after applying every wholly valid request, in order of ``rid``."""
-    accepted = check_share_requests(requests, home).filter("ok")
+def _or_fail(valid: Column, strict: bool) -> Column:
+    if not strict:
+        return valid
+    bad = F.raise_error(F.lit("a path is not below home, or a permission is neither read nor write"))
+    return F.when(valid, F.lit(True)).otherwise(bad.cast("boolean"))
+
+
+def share_many(
+    current: DataFrame, requests: DataFrame, home: str, rid: str = "rid", strict: bool = False
+) -> DataFrame:
+    """Grants after applying every wholly valid request, in order of ``rid``; ``strict`` fails on any other."""
+    accepted = check_share_requests(requests, home).filter(_or_fail(F.col("ok"), strict))
     pairs = accepted.select("usr", F.posexplode("paths").alias("_at", "_pair"), rid).select(
         "usr", "_pair.path", "_pair.permission", F.struct(rid, "_at").alias("_seq")
     )

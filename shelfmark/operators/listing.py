@@ -93,6 +93,24 @@ def list_many(requests: DataFrame, objects: DataFrame, ordinal: str = "ord") ->
     return found.unionByName(bare).select(ordinal, "directory", "label", "type", "status")
 
 
+def list_targets(requests: DataFrame, objects: DataFrame, ordinal: str = "ord") -> tuple[DataFrame, DataFrame]:
+    """``list_many`` without repetition: the status of each request, and the entries of each directory once.
+
+    The first table has ``ordinal, directory, n_entries, status``, the second
+    ``directory, label, type``; they join on ``directory``.
+    """
+    asked = requests.select(ordinal, normalize_path(F.col("path")).alias("directory"))
+    wanted = asked.select("directory").distinct()
+    entries = objects.select(F.col("parent").alias("directory"), "label", "type")
+    entries = entries.join(wanted, "directory", "left_semi")
+    counts = entries.groupBy("directory").agg(F.count(F.lit(1)).alias("_n"))
+    dirs = of_type(objects, "dir").select(F.col("path").alias("directory"), F.lit(True).alias("_is_dir"))
+    n = F.coalesce("_n", F.lit(0)).cast("long")
+    status = F.when(n > 0, F.lit("ok")).when(F.col("_is_dir"), F.lit("empty")).otherwise(F.lit("invalid_path"))
+    answers = asked.join(counts, "directory", "left").join(dirs, "directory", "left")
+    return answers.select(ordinal, "directory", n.alias("n_entries"), status.alias("status")), entries
+
+
 def nested_listing(
     objects: DataFrame, page_size: int = PAGE_SIZE, slice_rows: int = RANGE_ROWS
 ) -> DataFrame:

@@ -6,6 +6,8 @@ a third of all requests ask for is no single task.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,6 +76,41 @@ def lookup_users(requests: DataFrame, users: DataFrame, on: str = "username") ->
     )
 
 
+class Resolved(NamedTuple):
+    """Answers without repetition: what each request stands for, and the files of each target once.
+
+    A thousand requests for one directory of twenty thousand files are a
+    thousand targets and twenty thousand files, not twenty million rows.
+    """
+
+    targets: DataFrame
+    files: DataFrame
+
+    def expanded(self, rid: str = "rid") -> DataFrame:
+        """One row per request and file, as ``resolve_requests`` gives."""
+        ok = self.targets.filter("status = 'ok'").join(self.files, "target")
+        missing = self.targets.filter("status = 'missing'").withColumn("file", F.lit(None).cast("string"))
+        columns = [rid, "target", "file", "status"]
+        return ok.select(*columns).unionByName(missing.select(*columns))
+
+
+def resolve_targets(requests: DataFrame, objects: DataFrame, rid: str = "rid") -> Resolved:
+    """``targets(rid, target, type, status)`` and ``files(target, file)`` of the distinct targets.
+
+    The file of a file target is itself, those of a directory lie directly in it.
+    A target of a request that does not exist is ``missing`` and has no files.
+    """
+    asked = requests.select(rid, normalize_path(F.col("path")).alias("target"))
+    distinct = asked.select("target").distinct()
+    known = objects.select(F.col("path").alias("_path"), "type")
+    targets = asked.join(known, F.col("target") == F.col("_path"), "left").select(
+        rid, "target", "type", F.when(F.col("_path").isNull(), F.lit("missing")).otherwise(F.lit("ok")).alias("status")
+    )
+    files = objects.filter(F.col("type") == "file")
+    keyed = files.select(F.explode(F.array("path", "parent")).alias("target"), F.col("path").alias("file"))
+    return Resolved(targets, keyed.join(distinct, "target", "left_semi"))
+
+
 def resolve_requests(requests: DataFrame, objects: DataFrame, rid: str = "rid") -> DataFrame:
     """The files each request stands for.
 

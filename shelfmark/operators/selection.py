@@ -12,6 +12,8 @@ from shelfmark.functions.patterns import FileRules
 # Lengths of the text pieces that pattern tables are matched through: a pattern
 # uses the longest that fits it, as long pieces are rare ones.
 PIECES = (6, 3, 2, 1)
+# Rows and cells of the sketch of their frequency, and how many paths stand behind one that is counted.
+_ROWS, _WIDTH, _SKETCHED = 2, 1 << 16, 8
 
 
 def select_files(objects: DataFrame, rules: FileRules) -> DataFrame:
@@ -36,8 +38,10 @@ def match_pattern_table(
     """Rows of ``paths`` that contain any of the patterns, ignoring case.
 
     A pattern is looked up through the rarest of its pieces of text, by
-    equality, so no path meets every pattern.  Only pieces that some pattern has
-    are kept of a path.  An empty pattern is in every path that is not null.
+    equality, so no path meets every pattern.  How rare a piece is comes from a
+    count-min sketch of the pieces of one path in eight, a table of fixed size,
+    so that each path then emits only the pieces that some pattern is looked up
+    by.  An empty pattern is in every path that is not null.
     """
     size = reduce(lambda case, n: case.when(F.length("_pattern") >= n, n), PIECES, F).otherwise(0)
     wanted = (
@@ -53,17 +57,24 @@ def match_pattern_table(
     texts = texts.withColumn("_key", F.xxhash64("_path"))
     none = F.array().cast("array<string>")
     cut = F.concat(*[F.when(F.array_contains(used, n), _pieces(F.col("_path"), F.lit(n))).otherwise(none) for n in (*PIECES, 0)])
-    offered = texts.select("_key", F.explode(cut).alias("_piece"))
-    offered = offered.join(own.select("_piece").distinct(), "_piece", "left_semi")
     # Common pieces, such as those of a shared path prefix, would pair a pattern with most paths.
-    frequency = offered.groupBy("_piece").agg(F.count(F.lit(1)).alias("_paths"))
-    rarest = F.min_by("_piece", F.struct(F.coalesce("_paths", F.lit(0)), "_piece"))
-    anchors = own.join(frequency, "_piece", "left").groupBy("_pattern").agg(rarest.alias("_piece"))
+    sample = texts.filter(F.pmod("_key", F.lit(_SKETCHED)) == 0).select(F.explode(cut).alias("_piece"))
+    cells = sample.select(F.explode(_cells(F.col("_piece"))).alias("_cell")).groupBy("_cell")
+    sketch = cells.agg(F.count(F.lit(1)).alias("_paths"))
+    guess = own.select("_pattern", "_piece", F.explode(_cells(F.col("_piece"))).alias("_cell")).join(sketch, "_cell", "left")
+    guess = guess.groupBy("_pattern", "_piece").agg(F.min(F.coalesce("_paths", F.lit(0))).alias("_paths"))
+    anchors = guess.groupBy("_pattern").agg(F.min_by("_piece", F.struct("_paths", "_piece")).alias("_piece"))
+    offered = texts.select("_key", F.explode(cut).alias("_piece"))
     pairs = offered.join(anchors, "_piece").select("_key", "_pattern")
     hits = texts.join(pairs, "_key").filter(F.contains("_path", "_pattern")).select("_path").distinct()
     return paths.join(hits, F.lower(paths[path]) == hits["_path"], "left_semi")
 
 
+def _cells(piece: Column) -> Column:
+    """The cell of a piece in each row of the sketch."""
+    return F.array(*[F.pmod(F.xxhash64(F.lit(row), piece), F.lit(_WIDTH)) + row * _WIDTH for row in range(_ROWS)])
+
+
 def _pieces(text: Column, size: Column) -> Column:
     """Distinct substrings of ``size`` characters; none when the text is shorter, the empty one for 0."""
     starts = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))

@@ -16,7 +16,7 @@ from shelfmark.plans import fixtures as fx
 from shelfmark.plans.registry import query
 from shelfmark.session import scratch_path
 from shelfmark.sources import responses
-from shelfmark.sources.catalog import read_catalog, write_catalog
+from shelfmark.sources.catalog import read_catalog, write_catalog, write_lookup_catalog
 
 SRC1 = "/store/home/src1"
 
@@ -391,6 +391,65 @@ def lookup_users(spark, sf_dir):
     return lookup.lookup_users(asked, users).select("rid", "username", "nation", "segment", "found")
 
 
+@query(
+    """
+    select a.rid, a.np as target, o.type, case when o.path is null then 'missing' else 'ok' end as status
+    from asked a left join objects o on o.path = a.np
+    """,
+    views=("objects", "asked"),
+)
+def request_targets(spark, sf_dir):
+    return lookup.resolve_targets(fx.requests(spark, sf_dir), fx.objects(spark, sf_dir)).targets
+
+
+@query(
+    """
+    select np as target, path as file from (select distinct np from asked) a
+    join objects o on o.type = 'file' and (o.path = np or o.parent = np)
+    """,
+    views=("objects", "asked"),
+)
+def target_files(spark, sf_dir):
+    return lookup.resolve_targets(fx.requests(spark, sf_dir), fx.objects(spark, sf_dir)).files
+
+
+@query(
+    """
+    select rid as ord, np as directory, (select count(*) from objects where parent = np) as n_entries,
+           case when np in (select parent from objects) then 'ok'
+                when np in (select path from objects where type = 'dir') then 'empty' else 'invalid_path' end as status
+    from asked
+    """,
+    views=("objects", "asked"),
+)
+def directory_answers(spark, sf_dir):
+    asked = fx.requests(spark, sf_dir).withColumnRenamed("rid", "ord")
+    return listing.list_targets(asked, fx.objects(spark, sf_dir))[0]
+
+
+@query(
+    "select parent as directory, label, type from objects where parent in (select np from asked)",
+    views=("objects", "asked"),
+)
+def directory_entries(spark, sf_dir):
+    asked = fx.requests(spark, sf_dir).withColumnRenamed("rid", "ord")
+    return listing.list_targets(asked, fx.objects(spark, sf_dir))[1]
+
+
+@query(
+    """
+    select a.rid, a.path, o.label, o.type, o.id, o.md5, o.size, o.path is not null as found
+    from asked a left join objects o on o.path = a.np
+    """,
+    views=("objects", "asked"),
+)
+def stat_paths_bucketed(spark, sf_dir):
+    location = scratch_path(spark, "lookup")
+    table = location.rpartition("/")[2].replace("-", "_")
+    stored = write_lookup_catalog(fx.objects(spark, sf_dir), table, location, buckets=8)
+    return lookup.stat_paths(fx.requests(spark, sf_dir), stored)
+
+
 @query(
     """
     select a.rid, a.np as target, o.path as file, 'ok' as status

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from shelfmark.operators import grants
 from shelfmark.plans import fixtures as fx
 from shelfmark.plans.registry import query
+from shelfmark.session import scratch_path
 from shelfmark.sources import responses
+from shelfmark.sources.buckets import BucketedTable
 
 
 def _in_force(spark, sf_dir):
@@ -39,6 +41,16 @@ def share(spark, sf_dir):
     return grants.share(_in_force(spark, sf_dir), fx.clicks(spark, sf_dir), fx.HOME)
 
 
+@query(_upsert(f"(select * from clicks where {_VALID})", "seq desc"), views=("in_force", "clicks"))
+def share_bucketed(spark, sf_dir):
+    clicks = fx.clicks(spark, sf_dir)
+    schema = "usr bigint, path string, permission string"
+    table = BucketedTable(spark, scratch_path(spark, "grants"), grants.GRANT_KEY, schema, buckets=16)
+    table.write(_in_force(spark, sf_dir))
+    table.change(clicks.select(*grants.GRANT_KEY), lambda current: grants.share(current, clicks, fx.HOME))
+    return table.read()
+
+
 @query(
     f"select rid, usr, bool_and({_VALID}) as ok from share_pairs group by rid, usr", views=("share_pairs",)
 )

@@ -51,6 +51,30 @@ def readable_byte_counts(spark, sf_dir):
     )
 
 
+def _padded_sql(n: str, symbols: str) -> str:
+    """Whole units, and one digit after the point filled up to eight signs."""
+    whole, padded = [], []
+    for step in range(6, -1, -1):
+        unit, name = 1 << (10 * step), SYMBOLS[symbols][step]
+        number = f"split_part({_readable_sql(n, symbols)}, ' ', 1)"
+        arm = f"when {n} >= {unit} then" if step else "else"
+        whole.append(f"{arm} cast(floor(cast({n} as double) / {unit}) as bigint) || ' {name}'")
+        padded.append(f"{arm} lpad({number}, 8, '0') || rpad('{name}', 5, ' ') || '|'")
+    return f"case {' '.join(whole)} end as cut, case {' '.join(padded)} end as padded"
+
+
+@query(f"select k, ln, n, {_padded_sql('n', 'iec')} from byte_counts", views=("byte_counts",))
+def readable_formats(spark, sf_dir):
+    n = F.col("n")
+    return fx.byte_counts(spark, sf_dir).select(
+        "k",
+        "ln",
+        "n",
+        readable_bytes(n, "%(value)d %(symbol)s", "iec").alias("cut"),
+        readable_bytes(n, "%(value)08.1f%(symbol)-5s|", "iec").alias("padded"),
+    )
+
+
 @query("select doc_id, replace(text, '. ', ' $1\\E ') as text from documents")
 def rewrite_text(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from shelfmark.operators import tags
 from shelfmark.plans import fixtures as fx
 from shelfmark.plans.registry import query
+from shelfmark.session import scratch_path
 from shelfmark.sources import responses
+from shelfmark.sources.buckets import BucketedTable
 
 
 def _tags(spark, sf_dir):
@@ -32,6 +34,23 @@ def overwrite_tags(spark, sf_dir):
     return tags.overwrite_tags(_tags(spark, sf_dir), incoming)
 
 
+@query(
+    """
+    select * from tags where id not in (select id from retail)
+    union all
+    select * from retail
+    """,
+    views=("tags", "retail"),
+)
+def overwrite_tags_bucketed(spark, sf_dir):
+    incoming = tags.valid_tags(fx.retail_specs(spark, sf_dir))
+    schema = "id string, ns string, attr string, value string, unit string"
+    table = BucketedTable(spark, scratch_path(spark, "tags"), ["id"], schema, buckets=16)
+    table.write(_tags(spark, sf_dir))
+    table.change(incoming.select("id"), lambda current: tags.overwrite_tags(current, incoming))
+    return table.read()
+
+
 # The parts' own specs posted again: those with a malformed one keep what they had.
 @query(
     """

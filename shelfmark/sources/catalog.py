@@ -20,5 +20,19 @@ def write_catalog(objects: DataFrame, location: str) -> None:
     ordered.sortWithinPartitions("parent", "path").write.mode("overwrite").parquet(location)
 
 
+def write_lookup_catalog(objects: DataFrame, table: str, location: str, buckets: int) -> DataFrame:
+    """Write the catalog as the table ``table``, bucketed and sorted by path.
+
+    Joining requests to it by path moves and sorts only the requests, so a
+    catalog that is looked up again and again is shuffled once, when written.
+    """
+    rows = objects.select(*CATALOG_COLUMNS)
+    # As many tasks as buckets, and one file a bucket.
+    placed = rows.repartition(buckets, "path")
+    writer = placed.write.mode("overwrite").bucketBy(buckets, "path").sortBy("path").option("path", location)
+    writer.saveAsTable(table)
+    return objects.sparkSession.table(table)
+
+
 def read_catalog(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.schema(CATALOG_SCHEMA).parquet(location)
