@@ -7,8 +7,9 @@ odd sketch: sample i toggles one of ``BITS`` parity bits, so the population coun
 of the XOR of two sketches estimates how many samples differ.  Pairs that meet in
 a bucket and whose estimate is within five standard errors of the threshold are
 confirmed on the full sets of 64-bit shingle hashes.  Documents that share a
-bucket with another component get larger sketches for the second pass, so that
-of many documents with one common passage few pairs have to be confirmed.
+bucket with another component get larger sketches for the second pass, and their
+sets go with them: the blocks of a bucket confirm their likely pairs themselves
+and hand on only the links that join components, never the pairs.
 """
 
 from __future__ import annotations
@@ -31,7 +32,10 @@ BLOCK, PIVOTS = 256, 16
 SAMPLES, BITS, ERROR = 256, 512, 0.034
 FINE_SAMPLES, FINE_BITS, FINE_ERROR = 2048, 4096, 0.0125
 
-_SIGNATURES = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sketch binary"
+# Sets of more shingles are confirmed by joins, so that no block holds many of them.
+LARGE = 1 << 14
+
+_SIGNATURES = "doc_id long, text_hash long, n_shingles long, fp1 long, fp2 long, bands array<long>, sketch binary"
 
 
 def _constants(samples: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +74,7 @@ def estimated_similarity(left: np.ndarray, right: np.ndarray, samples: int) -> n
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles``, a fingerprint of the set, its band keys and its odd sketch."""
+    """``doc_id, text_hash, n_shingles``, a fingerprint of the set, its band keys and its odd sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, shifts = _constants(SAMPLES)
@@ -87,7 +91,8 @@ def signatures(docs: DataFrame) -> DataFrame:
             keys = mix((banded * weights).sum(axis=2, dtype=np.uint64) + salt)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").cast(pa.int64()),
+                    batch.column("doc_id"),
+                    batch.column("text_hash"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(prints[:, 0].view(np.int64)),
                     pa.array(prints[:, 1].copy().view(np.int64)),
@@ -96,10 +101,15 @@ def signatures(docs: DataFrame) -> DataFrame:
                     ),
                     pa.array([row.tobytes() for row in odd_sketches(samples, BITS)], pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "fp1", "fp2", "bands", "sketch"],
+                names=["doc_id", "text_hash", "n_shingles", "fp1", "fp2", "bands", "sketch"],
             )
 
-    return map_arrow(docs.select("doc_id", "text"), run, _SIGNATURES)
+    return map_arrow(_keyed(docs), run, _SIGNATURES)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, text``: together these tell texts apart that share an id."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
 
 def fine_sketches(sets: DataFrame) -> DataFrame:
@@ -116,52 +126,62 @@ def fine_sketches(sets: DataFrame) -> DataFrame:
     return map_arrow(sets.select("id", "shingles"), run, "id long, sketch binary")
 
 
-def _candidates(grouped: DataFrame, percent: int, crossing: bool) -> DataFrame:
-    """Pairs ``a < b`` whose estimate is within five errors of ``percent``, from rows with bucket and block.
+def _candidates(grouped: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a < b`` of rows that share bucket and block: of each row its likeliest partner.
 
-    ``near`` rows are compared with all rows of their group.  Without
-    ``crossing`` each row gives only its likeliest partner and the smallest of
-    those an error above ``percent``; with it, all pairs whose components differ.
+    Its estimate is within five errors of ``percent``; the smallest of the
+    partners an error above ``percent`` is added.
     """
-    samples, error = (FINE_SAMPLES, FINE_ERROR) if crossing else (SAMPLES, ERROR)
-    cut = percent / 100 - 5 * error
+    cut = percent / 100 - 5 * ERROR
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lows, highs, held = [], [], 0
+        found = _Pairs()
         for group in sorted_groups(batches, ["bucket", "block"]):
             if group.num_rows < 2:
                 continue
-            ids = group.column("id").to_numpy()
-            order = np.argsort(ids, kind="stable")
-            order = order[np.concatenate([[True], ids[order][1:] != ids[order][:-1]])]
-            ids = ids[order]
-            sketches = matrix(group.column("sketch"), np.uint64)[order]
-            if crossing:
-                comps = group.column("comp").to_numpy()[order]
-                near = np.flatnonzero(group.column("near").to_numpy(zero_copy_only=False)[order])
-                hit = estimated_similarity(sketches[near], sketches, samples) >= cut
-                left, right = np.nonzero(hit & (comps[near][:, None] != comps[None, :]))
-                one, two = ids[near[left]], ids[right]
-            else:
-                likely = estimated_similarity(sketches, sketches, samples)
-                np.fill_diagonal(likely, -1)
-                sure = np.tril(likely >= percent / 100 + error, -1)
-                rows, best = np.flatnonzero(sure.any(axis=1)), np.flatnonzero(likely.max(axis=1) >= cut)
-                one = ids[np.concatenate([rows, best])]
-                two = ids[np.concatenate([sure[rows].argmax(axis=1), likely[best].argmax(axis=1)])]
-            lows.append(np.minimum(one, two))
-            highs.append(np.maximum(one, two))
-            held += len(one)
-            if held > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (lows, highs)], names=["a", "b"])
-                lows, highs, held = [], [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (lows, highs)], names=["a", "b"])
+            ids, order = _distinct(group)
+            likely = matrix(group.column("sketch"), np.uint64)[order]
+            likely = estimated_similarity(likely, likely, SAMPLES)
+            np.fill_diagonal(likely, -1)
+            sure = np.tril(likely >= percent / 100 + ERROR, -1)
+            rows, best = np.flatnonzero(sure.any(axis=1)), np.flatnonzero(likely.max(axis=1) >= cut)
+            found.add(
+                ids[np.concatenate([rows, best])],
+                ids[np.concatenate([sure[rows].argmax(axis=1), likely[best].argmax(axis=1)])],
+            )
+            yield from found.batches(50_000)
+        yield from found.batches(1)
 
     placed = grouped.repartition("bucket", "block").sortWithinPartitions("bucket", "block")
     return map_arrow(placed, run, "a long, b long").distinct()
 
 
+class _Pairs:
+    """Pairs that are waiting to be handed on, smaller id first."""
+
+    def __init__(self):
+        self.lows, self.highs, self.held = [], [], 0
+
+    def add(self, one: np.ndarray, two: np.ndarray) -> None:
+        self.lows.append(np.minimum(one, two))
+        self.highs.append(np.maximum(one, two))
+        self.held += len(one)
+
+    def batches(self, least: int) -> Iterator[pa.RecordBatch]:
+        if self.held >= least:
+            columns = [pa.array(np.concatenate(x)) for x in (self.lows, self.highs)]
+            self.lows, self.highs, self.held = [], [], 0
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
+def _distinct(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a group in order, and where each stands."""
+    ids = group.column("id").to_numpy()
+    order = np.argsort(ids, kind="stable")
+    order = order[np.concatenate([[True], ids[order][1:] != ids[order][:-1]])]
+    return ids[order], order
+
+
 def _first_candidates(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Each row's best partners in its own block of each bucket.
 
@@ -173,11 +193,11 @@ def _first_candidates(buckets: DataFrame, classes: DataFrame, percent: int) -> D
     every = F.when(spot < PIVOTS, F.sequence(F.lit(0).cast("long"), blocks - 1))
     own = F.array(F.pmod(F.xxhash64("bucket", "id"), blocks))
     dealt = buckets.select("bucket", "id", F.explode(F.coalesce(every, own)).alias("block"))
-    return _candidates(dealt.join(classes.select("id", "sketch"), "id"), percent, crossing=False)
+    return _candidates(dealt.join(classes.select("id", "sketch"), "id"), percent)
 
 
-def _crossing_candidates(buckets: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket that lie in different components so far.
+def _crossing_links(buckets: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links ``a < b`` that join what lies in different components so far.
 
     Rows outside a bucket's largest component are compared with all its rows,
     in blocks, so a bucket that is one component costs nothing.
@@ -192,7 +212,9 @@ def _crossing_candidates(buckets: DataFrame, sets: DataFrame, comps: DataFrame,
         .filter("most < n")
     )
     rows = stored(of.join(mixed, "bucket"), "mixed")
-    fine = fine_sketches(sets.join(rows.select("id").distinct(), "id", "left_semi"))
+    mine = sets.join(rows.select("id").distinct(), "id", "left_semi")
+    own = F.when(F.length("shingles") <= 8 * LARGE, F.col("shingles")).alias("shingles")
+    fine = stored(fine_sketches(mine).join(mine.select("id", own, F.length("shingles").alias("bytes")), "id"), "fine")
     near = F.col("comp") != F.col("main")
     all_blocks, near_blocks = F.ceil(F.col("n") / BLOCK), F.ceil((F.col("n") - F.col("most")) / BLOCK)
     at = F.pmod(F.xxhash64("bucket", "id"), all_blocks)
@@ -207,18 +229,97 @@ def _crossing_candidates(buckets: DataFrame, sets: DataFrame, comps: DataFrame,
         "bucket", "id", "comp", "at.block", "at.near"
     )
     dealt = dealt.groupBy("bucket", "block", "id", "comp").agg(F.max("near").alias("near"))
-    return _candidates(dealt.join(fine, "id"), percent, crossing=True)
+    found = stored(_block_links(dealt.join(fine, "id"), percent), "crossing")
+    large = confirmed(found.filter("not sure").select("a", "b").distinct(), sets, percent)
+    return found.filter("sure").select("a", "b").distinct().unionByName(large)
 
 
-def shingle_table(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``id, shingles`` (packed 64-bit hashes) of the documents in ``ids``."""
+def _block_links(grouped: DataFrame, percent: int) -> DataFrame:
+    """``a, b, sure``: links between components that each block confirms, as a forest.
+
+    ``near`` rows are compared with all rows of their group, the likeliest pairs
+    first.  A pair of components that are joined already needs no other link, so
+    a block gives fewer links than it has rows.  Pairs with a set too large to be
+    carried along are handed on unconfirmed.
+    """
+    cut = percent / 100 - 5 * FINE_ERROR
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sure, open_ = _Pairs(), _Pairs()
+
+        def handed(pairs: _Pairs, value: bool, least: int) -> Iterator[pa.RecordBatch]:
+            for batch in pairs.batches(least):
+                yield batch.append_column("sure", pa.array(np.full(batch.num_rows, value)))
+
+        for group in sorted_groups(batches, ["bucket", "block"]):
+            if group.num_rows < 2:
+                continue
+            ids, order = _distinct(group)
+            comps = np.unique(group.column("comp").to_numpy()[order], return_inverse=True)[1]
+            sizes = group.column("bytes").to_numpy()[order] // 8
+            near = np.flatnonzero(group.column("near").to_numpy(zero_copy_only=False)[order])
+            sketches = matrix(group.column("sketch"), np.uint64)[order]
+            likely = estimated_similarity(sketches[near], sketches, FINE_SAMPLES)
+            smaller = np.minimum(sizes[near][:, None], sizes[None, :])
+            larger = np.maximum(sizes[near][:, None], sizes[None, :])
+            hit = (likely >= cut) & (100 * smaller >= percent * larger) & (comps[near][:, None] != comps[None, :])
+            left, right = np.nonzero(hit)
+            best = np.argsort(-likely[left, right], kind="stable")
+            column = group.column("shingles")
+            links, unsure = _forest(near[left[best]], right[best], comps, sizes, lambda k: column[int(order[k])].as_buffer(), percent)
+            for pairs, kept in ((sure, links), (open_, unsure)):
+                if kept:
+                    one, two = np.array(kept).T
+                    pairs.add(ids[one], ids[two])
+            yield from handed(sure, True, 50_000)
+            yield from handed(open_, False, 50_000)
+        yield from handed(sure, True, 1)
+        yield from handed(open_, False, 1)
+
+    placed = grouped.repartition("bucket", "block").sortWithinPartitions("bucket", "block")
+    return map_arrow(placed, run, "a long, b long, sure boolean")
+
+
+def _forest(left, right, comps, sizes, shingles, percent: int) -> tuple[list, list]:
+    """Of the pairs in turn, those that are links and join two components; and those with a large set."""
+    root = list(range(int(comps.max()) + 1))
+    links, unsure, sets = [], [], {}
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    def of(k: int) -> np.ndarray:
+        if k not in sets:
+            sets[k] = np.frombuffer(shingles(k), np.uint64)
+        return sets[k]
+
+    for one, two in zip(left.tolist(), right.tolist()):
+        a, b = find(comps[one]), find(comps[two])
+        if a == b:
+            continue
+        if sizes[one] > LARGE or sizes[two] > LARGE:
+            unsure.append((one, two))
+            continue
+        both = len(np.intersect1d(of(one), of(two), assume_unique=True))
+        if 100 * both >= percent * (sizes[one] + sizes[two] - both):
+            root[max(a, b)] = min(a, b)
+            links.append((one, two))
+    return links, unsure
+
+
+def shingle_table(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``id, shingles`` (packed 64-bit hashes) of the texts in ``chosen(id, doc_id, text_hash)``, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, most=1 << 20):
             packed = [s.tobytes() for s in shingle_sets(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(packed, pa.binary())], names=["id", "shingles"])
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
+    wanted = _keyed(docs).join(chosen, ["doc_id", "text_hash"]).select("id", "text")
+    # Rows with one id are copies of one text.
     return map_arrow(wanted, run, "id long, shingles binary")
 
 
@@ -240,44 +341,61 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs(doc_id, text)``.
-
-    Equal sets are one class, represented by its smallest ``doc_id``; only
-    classes are compared.  In the first pass each class gives its best partners
-    per bucket, which already joins most groups; the second pass
-    confirms every likely pair that still lies in two components, so no link
-    that decides a component is left out.
+def linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The signatures of all rows, ``doc_id, text_hash, id`` of those in a class, and the links between classes.
 
-    Null and blank texts have an empty set and link with nothing.  A null
-    ``doc_id`` links with nothing: its ``component_id`` is null and it is kept.
-    Rows that share a ``doc_id`` are one node.  Other columns are ignored.  An
-    empty table gives no rows.
+    Equal sets are one class with a number of its own, which stands for one of
+    their texts; only classes are compared.  In the first pass each class gives
+    its best partners per bucket, which already joins most groups; the second
+    pass confirms every likely pair that still lies in two components, so no
+    link that decides a component is left out.
     """
     signed = stored(signatures(docs), "signatures")
     named = signed.filter("n_shingles > 0 and doc_id is not null")
-    classes = stored(
-        named.groupBy("fp1", "fp2", "n_shingles").agg(
-            F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
-        ),
-        "classes",
+    prints = ["fp1", "fp2", "n_shingles"]
+    found = named.groupBy(*prints).agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("text"),
+        F.first("bands").alias("bands"),
+        F.first("sketch").alias("sketch"),
     )
+    classes = stored(found.select(F.monotonically_increasing_id().alias("id"), "*"), "classes")
     banded = classes.select("id", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = stored(banded.join(shared, "bucket"), "buckets")
     first = stored(_first_candidates(buckets, classes, percent), "first")
-    met = buckets.select("id").distinct()
+    met = classes.select("id", "text.*").join(buckets.select("id").distinct(), "id", "left_semi")
     sets = stored(shingle_table(docs, met), "sets").dropDuplicates(["id"])
     links = stored(confirmed(first, sets, percent), "confirmed")
+    crossing = stored(_crossing_links(buckets, sets, components(links), percent), "links")
+    members = named.select("doc_id", "text_hash", *prints).distinct().join(classes.select(*prints, "id"), prints)
+    return signed, stored(members.select("doc_id", "text_hash", "id"), "members"), links.unionByName(crossing)
+
+
+def _named_components(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``members`` with ``comp``, the number of the component of their class."""
     comps = components(links)
-    rest = _crossing_candidates(buckets, sets, comps, percent).join(first, ["a", "b"], "left_anti")
-    links = links.unionByName(stored(confirmed(rest, sets, percent), "confirmed"))
-    # A document belongs to its class; repeated ids tie their classes together.
-    member = named.join(classes.select("fp1", "fp2", "n_shingles", "id"), ["fp1", "fp2", "n_shingles"])
-    ties = member.filter("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    comps = components(links.unionByName(ties))
-    out = signed.join(comps, signed.doc_id == comps.node, "left")
-    component = F.coalesce("component_id", "doc_id")
+    joined = members.join(comps, F.col("id") == F.col("node"), "left")
+    return joined.select(*members.columns, F.coalesce("component_id", "id").alias("comp"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs(doc_id, text)``.
+
+    Null and blank texts have an empty set and link with nothing.  A null
+    ``doc_id`` links with nothing: its ``component_id`` is null and it is kept.
+    Rows that share a ``doc_id`` are one node, linked with all that any of their
+    texts is linked with.  Other columns are ignored.  An empty table gives no
+    rows.
+    """
+    signed, members, links = linked_classes(docs, percent)
+    # Repeated ids tie the classes of their texts together.
+    several = members.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("most")).filter("a < most")
+    ties = several.join(members, "doc_id").filter("id > a").select("a", F.col("id").alias("b"))
+    placed = stored(_named_components(members, links.unionByName(ties)), "placed")
+    smallest = placed.groupBy("comp").agg(F.min("doc_id").alias("least"))
+    found = placed.select("doc_id", "comp").distinct().join(smallest, "comp")
+    out = signed.join(found.select(F.col("doc_id").alias("node"), "least"), F.col("doc_id") == F.col("node"), "left")
+    component = F.coalesce("least", "doc_id")
     return out.select(
         "doc_id",
         "n_shingles",
@@ -287,13 +405,20 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns; of rows with one ``doc_id`` one is kept.
+    """The rows of ``docs`` with all their columns, one for each group of near-duplicates.
 
-    Rows without an id all stay.
+    It is the one with the smallest ``doc_id``.  Rows that share an id are told
+    apart by their texts, so different texts under one id all stay.  Null and
+    blank texts stay, and so do rows without an id.  An empty table gives no rows.
     """
-    verdicts = near_duplicates(docs, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
-    chosen = docs.join(stored(verdicts, "kept"), "doc_id", "left_semi").select(*docs.columns)
-    return chosen.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id is null"))
+    signed, members, links = linked_classes(docs, percent)
+    text = F.struct("doc_id", "text_hash")
+    kept = _named_components(members, links).groupBy("comp").agg(F.min(text).alias("text")).select("text.*")
+    blank = signed.filter("n_shingles = 0 and doc_id is not null").select("doc_id", "text_hash").distinct()
+    chosen = stored(kept.unionByName(blank), "kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    own = [F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash")]
+    picked = docs.select("*", *own).join(chosen, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
+    return picked.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 _ORACLE = r"""

@@ -131,7 +131,8 @@ def test_documents_with_null_and_repeated_ids(spark):
     assert got == [(4, 4, True)] * 2 + [(9, 4, False)] * 2 + [(None, None, True)]
     kept = minhash_dedup.distinct_documents(df)
     assert kept.columns == df.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [4, None]
+    # Both texts of the fourth document stay, as they are different.
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [4, 4, None]
     assert minhash_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
@@ -146,3 +147,49 @@ def test_odd_sketches_estimate_similarity():
         rows = np.array([minhash_dedup.min_hashes(x, *constants) for x in (left, right)])
         sketch = minhash_dedup.odd_sketches(rows, minhash_dedup.FINE_BITS)
         assert abs(minhash_dedup.estimated_similarity(sketch[:1], sketch[1:], minhash_dedup.FINE_SAMPLES)[0, 0] - truth) < 0.06
+
+
+def test_links_of_two_texts_under_one_id(spark):
+    draw = random.Random(8)
+    texts = [" ".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=60)) for _ in range(40)]
+    near = [t + " one two" for t in texts]
+    rows = [(k // 2, t) for k, t in enumerate(texts)] + [(100 + k, t) for k, t in enumerate(near)]
+    df = documents(spark, *rows)
+    got = {(r.doc_id, r.component_id) for r in minhash_dedup.near_duplicates(df).collect()}
+    assert got == {(k // 2, k // 2) for k in range(40)} | {(100 + k, k // 2) for k in range(40)}
+    # Different texts of one id are documents of their own, and stay.
+    kept = minhash_dedup.distinct_documents(df)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(rows[:40])
+
+
+def test_blocks_confirm_and_hand_on_a_forest(spark, monkeypatch):
+    draw = random.Random(9)
+    passage = " ".join(draw.choices("abcdefghij", k=120))
+    rows = [(k, passage + " " + " ".join(draw.choices("klmnopqrstuvwxyz", k=draw.choice([10, 30, 45, 60])))) for k in range(120)]
+    sets = {k: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for k, t in rows}
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    wanted = sorted((k, len(sets[k]), find(k), find(k) == k) for k in sets)
+    df = documents(spark, *rows)
+    assert sorted(map(tuple, minhash_dedup.near_duplicates(df).collect())) == wanted
+    # No set is carried along, and all pairs are confirmed by joins.
+    monkeypatch.setattr(minhash_dedup, "LARGE", 0)
+    assert sorted(map(tuple, minhash_dedup.near_duplicates(df).collect())) == wanted
+
+
+def test_a_forest_has_fewer_links_than_components():
+    sets = [np.arange(k % 2, 100, dtype=np.uint64) for k in range(20)]
+    left, right = np.nonzero(~np.eye(20, dtype=bool))
+    sizes = np.array([len(s) for s in sets])
+    links, unsure = minhash_dedup._forest(left, right, np.arange(20), sizes, lambda k: sets[k].tobytes(), 75)
+    assert len(links) == 19 and not unsure
