@@ -266,7 +266,10 @@ def _block_links(grouped: DataFrame, percent: int) -> DataFrame:
             left, right = np.nonzero(hit)
             best = np.argsort(-likely[left, right], kind="stable")
             column = group.column("shingles")
-            links, unsure = _forest(near[left[best]], right[best], comps, sizes, lambda k: column[int(order[k])].as_buffer(), percent)
+            carried = column.is_valid().to_numpy()[order]
+            links, unsure = _forest(
+                near[left[best]], right[best], comps, sizes, carried, lambda k: column[int(order[k])].as_buffer(), percent
+            )
             for pairs, kept in ((sure, links), (open_, unsure)):
                 if kept:
                     one, two = np.array(kept).T
@@ -280,8 +283,8 @@ def _block_links(grouped: DataFrame, percent: int) -> DataFrame:
     return map_arrow(placed, run, "a long, b long, sure boolean")
 
 
-def _forest(left, right, comps, sizes, shingles, percent: int) -> tuple[list, list]:
-    """Of the pairs in turn, those that are links and join two components; and those with a large set."""
+def _forest(left, right, comps, sizes, carried, shingles, percent: int) -> tuple[list, list]:
+    """Of the pairs in turn, those that are links and join two components; and those whose sets are not both carried."""
     root = list(range(int(comps.max()) + 1))
     links, unsure, sets = [], [], {}
 
@@ -300,7 +303,7 @@ def _forest(left, right, comps, sizes, shingles, percent: int) -> tuple[list, li
         a, b = find(comps[one]), find(comps[two])
         if a == b:
             continue
-        if sizes[one] > LARGE or sizes[two] > LARGE:
+        if not (carried[one] and carried[two]):
             unsure.append((one, two))
             continue
         both = len(np.intersect1d(of(one), of(two), assume_unique=True))

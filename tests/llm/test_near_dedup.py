@@ -191,5 +191,5 @@ def test_a_forest_has_fewer_links_than_components():
     sets = [np.arange(k % 2, 100, dtype=np.uint64) for k in range(20)]
     left, right = np.nonzero(~np.eye(20, dtype=bool))
     sizes = np.array([len(s) for s in sets])
-    links, unsure = minhash_dedup._forest(left, right, np.arange(20), sizes, lambda k: sets[k].tobytes(), 75)
+    links, unsure = minhash_dedup._forest(left, right, np.arange(20), sizes, np.ones(20, bool), lambda k: sets[k].tobytes(), 75)
     assert len(links) == 19 and not unsure
