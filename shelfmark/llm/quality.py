@@ -1,13 +1,21 @@
 """Quality rules: base counts, and perplexity under a modified Kneser-Ney model of words.
 
-The model is over four-grams of words, each a 64-bit hash.  Spark counts the
-n-grams and their continuations, and the interpolated probabilities are joined up
-order by order, so neither the driver nor a task ever holds the model, which grows
-with the corpus.  Texts are dealt into two halves by their hash and each is scored
-by the counts of the other half: scored by its own, a text of words in random
-order would look fluent, as every n-gram that occurs once follows a context that
-occurs once.  Each language has its own bound of log perplexity, from the densest
-half of its documents; documents beyond are rejected.
+The model is over four-grams of words, each a 64-bit hash.  Tasks count the
+n-grams of their texts and Spark adds them up; continuation counts and
+interpolated probabilities are joined up order by order, so neither the driver
+nor a task ever holds the model, which grows with the corpus.  What is scored by
+is an array of hashes of four-grams, sorted and cut into ranges, with the
+probabilities beside it; the hashes of a text's four-grams are merged with it.
+Texts are dealt into two halves by their hash and each is scored by the counts of
+the other half: scored by its own, a text of words in random order would look
+fluent, as every n-gram that occurs once follows a context that occurs once.
+
+Signs are words for the model, but the mean is taken over words with a letter or
+digit only: signs strewn between words raise a text's perplexity, they never
+dilute it.  Each language has a band.  Above its upper bound a text reads like no
+other of its language.  The lower bound is held against the perplexity of single
+words, without their order: texts that repeat the commonest words fall below it,
+while copies of a text in the other half, whose four-grams are all known, do not.
 """
 
 from __future__ import annotations
@@ -22,15 +30,17 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import _stored_at, ddl, map_arrow, removed, stored, table, text_slices
 from shelfmark.llm.registry import query
-from shelfmark.llm.words import split_words, word_codes, word_hashes
+from shelfmark.llm.words import GOLDEN, mix, split_words, word_codes, word_hashes
 from shelfmark.session import scratch_path
 
-ORDER, BITS = 4, 6
+ORDER = 4
 SYMBOLS = b"#*$%&|<>"
 # A document is rejected beyond so many half-widths of the shortest interval that holds half of
 # its language's scores (2.7 standard deviations if normal), and at least this; wider for short
 # texts, whose means vary more: 1.4 times at 50 words.
 SPREAD, LEAST_SPREAD, SHORT_WORDS = 4.0, 0.25, 50
+# The lower bound is at least so far below the middle, a factor of e in perplexity.
+LEAST_BELOW = 1.0
 # Languages with fewer documents take the width of all documents.
 FEW = 100
 
@@ -49,45 +59,82 @@ def model_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bounds, word_hashes(words).view(np.int64)
 
 
-def word_grams(docs: DataFrame) -> DataFrame:
-    """``t, w0, w1, w2, w3`` for each word of ``docs(t, text)`` with the three before it; 0 is before the start."""
+def _letters(texts: pa.Array) -> np.ndarray:
+    """For each word that ``model_words`` finds, whether it has a letter or a digit."""
+    texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    _, words = split_words(pc.replace_substring_regex(texts, f"({_PIECES})", r" \1 "))
+    codes, distinct = word_codes(words)
+    if not len(distinct):
+        return np.zeros(0, bool)
+    return pc.match_substring_regex(distinct, r"[\pL\pM\pN]").to_numpy(zero_copy_only=False)[codes]
+
+
+def _windows(texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Which text each word is of, and the hashes of the word with the three before it, first one first; 0 is before the start."""
+    bounds, hashes = model_words(texts)
+    sizes = np.diff(bounds)
+    place = np.arange(len(hashes)) - np.repeat(bounds[:-1], sizes)
+    columns = [hashes]
+    for back in range(1, ORDER):
+        before = np.zeros(len(hashes), np.int64)
+        before[back:] = hashes[:-back]
+        before[place < back] = 0
+        columns.insert(0, before)
+    return np.repeat(np.arange(len(texts)), sizes), columns
+
+
+def gram_hashes(words: list[np.ndarray]) -> np.ndarray:
+    """One 64-bit hash for the words of each n-gram."""
+    hashes = np.zeros(len(words[0]), np.uint64)
+    for word in words:
+        hashes = mix((hashes * np.uint64(GOLDEN)) ^ word.view(np.uint64))
+    return hashes.view(np.int64)
+
+
+def counted_grams(docs: DataFrame) -> DataFrame:
+    """``gram, w0, w1, w2, w3, n0, n1`` of ``docs(t, text)``: the four-grams of each stretch of texts, counted by half."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, most=1 << 20):
-            bounds, hashes = model_words(batch.column("text"))
-            sizes = np.diff(bounds)
-            place = np.arange(len(hashes)) - np.repeat(bounds[:-1], sizes)
-            columns = [hashes]
-            for back in range(1, ORDER):
-                before = np.zeros(len(hashes), np.int64)
-                before[back:] = hashes[:-back]
-                before[place < back] = 0
-                columns.insert(0, before)
-            keys = np.repeat(batch.column("t").to_numpy(), sizes)
-            for start in range(0, len(hashes), 1 << 16):
+        for batch in text_slices(batches):
+            of, words = _windows(batch.column("text"))
+            if not len(of):
+                continue
+            grams, first, own = np.unique(gram_hashes(words), return_index=True, return_inverse=True)
+            second = batch.column("t").to_numpy()[of] % 2 != 0
+            counts = [np.bincount(own[half], minlength=len(grams)).astype(np.int32) for half in (~second, second)]
+            columns = [grams, *[w[first] for w in words], *counts]
+            for start in range(0, len(grams), 1 << 16):
                 part = slice(start, start + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in (keys, *columns)], names=["t", *WORDS])
+                yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in columns], names=["gram", *WORDS, "n0", "n1"])
 
-    return map_arrow(docs.select("t", "text"), run, "t long, " + ", ".join(f"{w} long" for w in WORDS))
+    schema = ", ".join(["gram long", *[f"{w} long" for w in WORDS], "n0 int", "n1 int"])
+    return map_arrow(docs.select("t", "text"), run, schema)
 
 
-def _half(key: str):
-    return F.pmod(key, F.lit(2))
+def text_grams(docs: DataFrame) -> DataFrame:
+    """``gram, t, often`` of ``docs(t, text)``, and how many of these words have ``letters``: what is to be scored."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            of, words = _windows(batch.column("text"))
+            if not len(of):
+                continue
+            grams = gram_hashes(words)
+            order = np.lexsort((grams, of))
+            new = np.concatenate([[True], (np.diff(of[order]) != 0) | (np.diff(grams[order]) != 0)])
+            starts = np.flatnonzero(new)
+            often = np.diff(np.concatenate([starts, [len(order)]])).astype(np.int32)
+            letters = np.add.reduceat(_letters(batch.column("text"))[order].astype(np.int32), starts)
+            columns = [grams[order][starts], batch.column("t").to_numpy()[of[order][starts]], often, letters.astype(np.int32)]
+            for start in range(0, len(starts), 1 << 16):
+                part = slice(start, start + (1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in columns], names=["gram", "t", "often", "letters"])
 
-def four_grams(classes: np.ndarray) -> np.ndarray:
-    """The packed four-gram that starts at each place."""
-    wide = classes.astype(np.uint32)
-    count = max(0, len(wide) - ORDER + 1)
-    grams = np.zeros(count, np.uint32)
-    for k in range(ORDER):
-        grams = (grams << np.uint32(BITS)) | wide[k : k + count]
-    return grams
+    return map_arrow(docs.select("t", "text"), run, "gram long, t long, often int, letters int")
 
 
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Discounts of counts 1, 2 and more, from the counts of counts."""
-    return discounts(*(int((counts == k).sum()) for k in (1, 2, 3, 4)))
+def _half(key: str):
+    return F.pmod(key, F.lit(2))
 
 
 def discounts(*often: int) -> np.ndarray:
@@ -98,70 +145,12 @@ def discounts(*often: int) -> np.ndarray:
     return np.clip(d, [0.1, 0.2, 0.3], [0.95, 1.9, 2.85])
 
 
-class Model:
-    """The same smoothing in memory, over packed n-grams of 64 symbols: what tests compare ``probabilities`` with.
-
-    Per order the sorted n-grams with their log probabilities, and contexts with log back-off weights.
-    """
-
-    def __init__(self, grams: np.ndarray, counts: np.ndarray):
-        order = np.argsort(grams)
-        grams, counts = grams[order].astype(np.uint32), counts[order].astype(np.float64)
-        by_order = {ORDER: (grams, counts)}
-        for n in range(ORDER - 1, 0, -1):
-            # Continuation counts: in how many n+1-grams the n-gram ends.
-            by_order[n] = tuple(np.unique(by_order[n + 1][0] & np.uint32((1 << BITS * n) - 1), return_counts=True))
-        self.grams: list[np.ndarray] = []
-        self.logs: list[np.ndarray] = []
-        self.contexts: list[np.ndarray] = []
-        self.backoffs: list[np.ndarray] = []
-        lower = np.full(1 << BITS, 1.0 / (1 << BITS))
-        for n in range(1, ORDER + 1):
-            keys, values = by_order[n]
-            values = values.astype(np.float64)
-            d = _discounts(values)[np.minimum(values, 3).astype(int) - 1] if len(values) else values
-            context, where = np.unique(keys >> np.uint32(BITS), return_inverse=True)
-            total = np.bincount(where, values, len(context))
-            weight = np.bincount(where, d, len(context)) / np.maximum(total, 1)
-            if n == 1:
-                below = lower[keys]
-            else:
-                below = np.exp(self._lookup(n - 1, keys & np.uint32((1 << BITS * (n - 1)) - 1)))
-            chance = (values - d) / total[where] + weight[where] * below if len(keys) else values
-            self.grams.append(keys)
-            self.logs.append(np.log(chance).astype(np.float32))
-            self.contexts.append(context)
-            self.backoffs.append(np.log(np.maximum(weight, 1e-12)).astype(np.float32))
-
-    def _lookup(self, n: int, keys: np.ndarray) -> np.ndarray:
-        if n == 0:
-            return np.full(len(keys), -BITS * np.log(2.0), np.float32)
-        own = self.grams[n - 1]
-        if not len(own):
-            return self._lookup(n - 1, keys & np.uint32((1 << BITS * (n - 1)) - 1))
-        at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
-        logs = self.logs[n - 1][at]
-        missed = np.flatnonzero(own[at] != keys)
-        if len(missed):
-            rest = keys[missed]
-            logs[missed] = self._lookup(n - 1, rest & np.uint32((1 << BITS * (n - 1)) - 1))
-            contexts = self.contexts[n - 1]
-            before = rest >> np.uint32(BITS)
-            at = np.minimum(np.searchsorted(contexts, before), len(contexts) - 1)
-            seen = contexts[at] == before
-            logs[missed[seen]] += self.backoffs[n - 1][at[seen]]
-        return logs
-
-    def score(self, grams: np.ndarray) -> np.ndarray:
-        """Log probability of the last class of each four-gram."""
-        return self._lookup(ORDER, grams)
-
-
 def probabilities(grams: DataFrame, folders: list[str]) -> DataFrame:
-    """``w0, w1, w2, w3, p0, p1`` of ``grams(w0, w1, w2, w3, n0, n1)``, distinct four-grams with their counts in each half.
+    """``w0, w1, w2, w3, p0, p1, u0, u1`` of ``grams(w0, w1, w2, w3, n0, n1)``, distinct four-grams with their counts in each half.
 
     ``p0`` and ``p1`` are the chances of the last word after the others under the
-    model of each half, also for four-grams that this half lacks.  Scratch tables
+    model of each half, also for four-grams that this half lacks; ``u0`` and ``u1``
+    are those of the word by itself.  Scratch tables
     are noted in ``folders``; they are read until the result has been.
     """
 
@@ -191,7 +180,7 @@ def probabilities(grams: DataFrame, folders: list[str]) -> DataFrame:
             lower = {h: F.lit(1.0 / (often[0] + 1)) for h in HALVES}  # one more for a word never seen
         else:
             own = own.join(own.groupBy(*context).agg(*sums), context)
-            renamed = below.select(*rest, *[F.col(f"p{h}").alias(f"q{h}") for h in HALVES])
+            renamed = below.select(*rest, *[F.col(f"p{h}").alias(f"q{h}") for h in HALVES], *[f"u{h}" for h in HALVES])
             own = own.join(renamed, rest)
             lower = {h: F.col(f"q{h}") for h in HALVES}
         chance = [
@@ -200,22 +189,49 @@ def probabilities(grams: DataFrame, folders: list[str]) -> DataFrame:
             .alias(f"p{h}")
             for h in HALVES
         ]
-        below = own.select(*WORDS[ORDER - n :], *chance)
+        below = own.select(*WORDS[ORDER - n :], *chance, *([] if n == 1 else [f"u{h}" for h in HALVES]))
+        if n == 1:
+            below = below.withColumns({f"u{h}": F.col(f"p{h}") for h in HALVES})
     return below
 
 
-def perplexities(docs: DataFrame) -> DataFrame:
-    """``t, log_ppl`` per word of each ``t`` of ``docs(t, text)`` that has words, by the counts of the other half."""
-    grams = word_grams(docs)
-    counts = grams.groupBy(*WORDS).agg(*[F.count_if(_half("t") == h).alias(f"n{h}") for h in HALVES])
-    folders: list[str] = []
-    chances = probabilities(counts, folders)
-    # Whole millionths, so that the sum does not depend on its order.
-    one = F.round(-1e6 * F.log(F.when(_half("t") == 0, F.col("p1")).otherwise(F.col("p0")))).cast("long")
-    scores = grams.join(chances, WORDS).groupBy("t").agg((F.sum(one) / F.count(F.lit(1)) / 1e6).alias("log_ppl"))
-    out = stored(scores.select("t", F.round("log_ppl", 3).alias("log_ppl")), "perplexities")
+def trained_model(docs: DataFrame) -> DataFrame:
+    """``gram, p0, p1, u0, u1``: four-gram hashes in sorted arrays, a range in each file, with the chances by half.
+
+    The words of two four-grams with one hash would share their counts, which
+    the 64 bits make as good as impossible within a language model's tolerance.
+    """
+    grams = counted_grams(docs).groupBy(*WORDS).agg(
+        F.first("gram").alias("gram"), *[F.sum(f"n{h}").alias(f"n{h}") for h in HALVES]
+    )
+    folders: list[str] = [scratch_path(docs.sparkSession, "counts")]
+    counts = _stored_at(grams, folders[0])
+    chances = probabilities(counts.drop("gram"), folders)
+    values = [F.col(f"{c}{h}").cast("float").alias(f"{c}{h}") for c in "pu" for h in HALVES]
+    named = chances.join(counts.select(*WORDS, "gram"), WORDS).select("gram", *values)
+    model = stored(named.repartitionByRange("gram").sortWithinPartitions("gram"), "model")
     for folder in folders:
         removed(docs.sparkSession, folder)
+    return model
+
+
+def perplexities(docs: DataFrame) -> DataFrame:
+    """``t, log_ppl, log_ppl_words`` of each ``t`` of ``docs(t, text)`` that has words, by the counts of the other half.
+
+    Both are means over the words with a letter or digit: the first of all
+    four-grams, the second of these words by themselves.
+    """
+    model = trained_model(docs)
+    scored_by = lambda c: F.when(_half("t") == 0, F.col(f"{c}1")).otherwise(F.col(f"{c}0"))
+    # Whole millionths, so that the sum does not depend on its order.
+    cost = lambda c, n: F.sum(F.round(-1e6 * F.log(scored_by(c))).cast("long") * F.col(n))
+    # A text that is there several times has as many rows of each four-gram, which the means do not show.
+    sums = text_grams(docs).join(model, "gram").groupBy("t").agg(
+        cost("p", "often").alias("all"), cost("u", "letters").alias("single"), F.sum("letters").alias("words")
+    )
+    words = F.greatest("words", F.lit(1)) * 1e6
+    each = [F.round(F.col(c) / words, 3).alias(name) for c, name in (("all", "log_ppl"), ("single", "log_ppl_words"))]
+    out = stored(sums.select("t", *each), "perplexities")
     return out
 
 
@@ -298,42 +314,48 @@ def scored(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
     return map_arrow(picked, run, schema).join(scores, "t", "left").drop("t")
 
 
-def _densest_half(scores: DataFrame, *by) -> DataFrame:
+def _densest_half(scores: DataFrame, score: str, *by) -> DataFrame:
     """The middle and half-width of the shortest interval of half of the scores, and how many there are.
 
     Less than half of the rows elsewhere, on whichever side, cannot carry it off.
     """
-    q = F.percentile("log_ppl", F.array(*[F.lit(k / 200) for k in range(201)]))
-    found = scores.filter(~F.col("base_failed")).groupBy(*by).agg(q.alias("q"), F.count("log_ppl").alias("rows"))
+    q = F.percentile(score, F.array(*[F.lit(k / 200) for k in range(201)]))
+    found = scores.filter(~F.col("base_failed")).groupBy(*by).agg(q.alias("q"), F.count(score).alias("rows"))
     width = lambda k: F.get("q", k + 100) - F.get("q", k)
     halves = F.transform(F.sequence(F.lit(0), F.lit(100)), lambda k: F.struct(width(k).alias("wide"), F.get("q", k).alias("low")))
     best = found.withColumn("best", F.array_min(halves))
     return best.select(*[c for c in best.columns if c not in ("q", "best")], (F.col("best.low") + F.col("best.wide") / 2).alias("middle"), (F.col("best.wide") / 2).alias("half"))
 
 
-def bands(scores: DataFrame, spread: float = SPREAD, least: float = LEAST_SPREAD) -> DataFrame:
-    """``of, middle, above``: each language's bound of log perplexity, null being one of its own.
+def bands(scores: DataFrame, spread: float = SPREAD, least: float = LEAST_SPREAD, least_below: float = LEAST_BELOW) -> DataFrame:
+    """``of, middle, above, middle_words, below``: each language's band, null being one of its own.
 
-    There is no lower bound: a near copy of a text in the other half scores
-    low, and both would be lost, while repetitions within a text fail the base
-    rules.  Scores are rounded to thousandths, so exact quantiles hold few values.
+    The upper bound is one of four-grams, the lower bound one of single words.
+    Scores are rounded to thousandths, so exact quantiles hold few values.
     """
-    own = _densest_half(scores, F.col("carried_lang").alias("of"))
-    every = _densest_half(scores).select(F.col("half").alias("half_of_all"))
-    half = F.when(F.col("rows") < FEW, F.col("half_of_all")).otherwise(F.col("half"))
-    return own.crossJoin(every).select("of", "middle", F.greatest(F.lit(least), spread * half).alias("above"))
+    sides = []
+    for score, middle, wide, narrowest in (("log_ppl", "middle", "above", least), ("log_ppl_words", "middle_words", "below", least_below)):
+        own = _densest_half(scores, score, F.col("carried_lang").alias("of"))
+        every = _densest_half(scores, score).select(F.col("half").alias("half_of_all"))
+        half = F.when(F.col("rows") < FEW, F.col("half_of_all")).otherwise(F.col("half"))
+        side = own.crossJoin(every).select("of", F.col("middle").alias(middle), F.greatest(F.lit(narrowest), spread * half).alias(wide))
+        sides.append(side)
+    upper, lower = sides[0], sides[1].withColumnRenamed("of", "of_words")
+    return upper.join(lower, F.col("of").eqNullSafe(F.col("of_words"))).drop("of_words")
 
 
 def judged(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
     scores = stored(scored(docs, carry), "scores")
     out = scores.join(bands(scores), F.col("carried_lang").eqNullSafe(F.col("of")), "left")
     wider = F.sqrt(1 + SHORT_WORDS / F.greatest("n_words", F.lit(1)))
-    inside_band = F.coalesce(F.col("log_ppl") <= F.col("middle") + wider * F.col("above"), F.lit(False))
+    fluent = F.col("log_ppl") <= F.col("middle") + wider * F.col("above")
+    varied = F.col("log_ppl_words") >= F.col("middle_words") - wider * F.col("below")
+    inside_band = F.coalesce(fluent & varied, F.lit(False))
     return out.withColumn("kept", ~F.col("base_failed") & inside_band)
 
 
 def quality(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the base features, ``base_failed``, ``kept`` and ``log_ppl`` of ``docs(doc_id, text, lang)``.
+    """``doc_id``, the base features, ``base_failed``, ``kept`` and both perplexities of ``docs(doc_id, text, lang)``.
 
     A null text is an empty one, and texts of under 50 words fail the base
     rules.  A null language has a bound of its own.  Null and repeated ids are
@@ -341,7 +363,7 @@ def quality(docs: DataFrame) -> DataFrame:
     no rows.
     """
     out = judged(docs, ("doc_id", "lang"))
-    return out.select(F.col("carried_doc_id").cast("long").alias("doc_id"), *FEATURES, "base_failed", "kept", "log_ppl")
+    return out.select(F.col("carried_doc_id").cast("long").alias("doc_id"), *FEATURES, "base_failed", "kept", "log_ppl", "log_ppl_words")
 
 
 def good_documents(docs: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 
 from shelfmark.llm import edit_counts, mixing, packing, personal_data, quality
 from shelfmark.llm.tokens import WordTokenizer
+from tests.llm import kneser_ney
 from tests.llm.helpers import clashing, documents, sf_table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -237,8 +238,8 @@ def test_quality_rejects_noise_and_keeps_the_rest(spark):
 def test_smoothed_probabilities_sum_to_one():
     rng = np.random.default_rng(2)
     classes = rng.choice(64, 4000, p=np.r_[np.full(8, 0.1), np.full(56, 0.2 / 56)]).astype(np.uint8)
-    grams, counts = np.unique(quality.four_grams(classes), return_counts=True)
-    model = quality.Model(grams, counts)
+    grams, counts = np.unique(kneser_ney.four_grams(classes), return_counts=True)
+    model = kneser_ney.Model(grams, counts)
     for context in (grams[0] >> 6, grams[100] >> 6, 0x2AAAA, 63):
         every = (np.uint32(context) << np.uint32(6)) | np.arange(64, dtype=np.uint32)
         assert np.exp(model.score(every).astype(float)).sum() == pytest.approx(1.0, abs=1e-3)
@@ -289,13 +290,13 @@ def test_words_of_other_scripts_are_not_mixed_up():
 def test_joined_probabilities_equal_those_in_memory(spark):
     rng = np.random.default_rng(4)
     symbols = rng.choice(64, 3000, p=np.r_[np.full(8, 0.1), np.full(56, 0.2 / 56)]).astype(np.uint8)
-    grams, counts = np.unique(quality.four_grams(symbols), return_counts=True)
+    grams, counts = np.unique(kneser_ney.four_grams(symbols), return_counts=True)
     rows = [(*[int(g) >> 6 * k & 63 for k in (3, 2, 1, 0)], int(c), 0) for g, c in zip(grams, counts)]
     df = spark.createDataFrame(rows, ", ".join(f"{w} long" for w in quality.WORDS) + ", n0 long, n1 long")
     got = quality.probabilities(df, []).collect()
     assert len(got) == len(grams)
     packed = np.array([sum(r[w] << 6 * k for w, k in zip(quality.WORDS, (3, 2, 1, 0))) for r in got], np.uint32)
-    want = np.exp(quality.Model(grams, counts).score(packed).astype(float))
+    want = np.exp(kneser_ney.Model(grams, counts).score(packed).astype(float))
     # The lowest order is spread over the words seen and one more here, over 64 symbols there.
     assert np.allclose([r.p0 for r in got], want, rtol=0.02)
     vocabulary = len({r.w3 for r in got})
