@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import scratch_path
 
-BATCH_BYTES = 4 << 20
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -53,15 +51,11 @@ def removed(spark: SparkSession, path: str) -> None:
 
 
 def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with batches of at most about ``BATCH_BYTES``.
+    """``df.mapInArrow``, in batches as large as the session says.
 
-    Spark's own limit of 64 MB counts for each task, on both sides of the pipe
-    and again while a batch grows, which is too much for rows of long texts.
-    The session's limit is lowered, never raised.
+    For long texts ``spark.sql.execution.arrow.maxBytesPerBatch`` is the setting to
+    lower; operators leave the session alone.
     """
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(conf.get(key, str(BATCH_BYTES)).rstrip("b")) > BATCH_BYTES:
-        conf.set(key, str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
 
 

@@ -21,8 +21,6 @@ from shelfmark.llm.registry import query
 
 # The sample: about so many documents of each language, and so many windows of each.
 TRAIN_DOCUMENTS, TRAIN_WINDOWS, TRAIN_WIDTH = 500, 12, 64
-# The most common languages that are learned.
-LANGUAGES = 200
 HIDDEN, STEPS, BATCH = 8, 500, 192
 WIDTH, ROWS = 256, 2048
 PAD = 256
@@ -204,10 +202,14 @@ def in_holdout() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def trained_network(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, windows: int = TRAIN_WINDOWS) -> Network | None:
-    """A network fitted on about ``documents`` documents of each common language, or none without any.
+def trained_network(
+    docs: DataFrame, documents: int = TRAIN_DOCUMENTS, windows: int = TRAIN_WINDOWS, languages: int | None = None
+) -> Network | None:
+    """A network fitted on about ``documents`` documents of each language, or none without any.
 
-    The documents are chosen by a hash, and from each some evenly spaced windows.
+    The documents are chosen by a hash, and from each some evenly spaced windows;
+    equal windows count once, so a row that is repeated is learned from once.
+    ``languages`` keeps the commonest only; by default every one is learned.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,13 +225,14 @@ def trained_network(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, windows:
             yield pa.RecordBatch.from_arrays([names, packed], names=["lang", "window"])
 
     known = docs.filter(~in_holdout() & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang", "text")
-    common = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counted = known.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    common = (counted if languages is None else counted.limit(languages)).collect()
     if not common:
         return None
     # A literal, so that no text is shuffled to meet its language's share.
     share = F.create_map(*[F.lit(x) for row in common for x in (row["lang"], -(-row["count"] // documents))])[F.col("lang")]
     sample = known.filter(F.pmod(F.xxhash64("doc_id", "text"), share) == 0)
-    rows = map_arrow(sample.select("lang", "text"), run, "lang string, window binary").toArrow()
+    rows = map_arrow(sample.select("lang", "text"), run, "lang string, window binary").distinct().toArrow()
     if not rows.num_rows:
         return None
     rows = rows.sort_by([("lang", "ascending"), ("window", "ascending")])  # the same in every run

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import map_arrow, sorted_groups, stored, table
 from shelfmark.llm.registry import query
+from shelfmark.operators.ranks import ranked_within
 from shelfmark.llm.words import mix
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -121,6 +122,18 @@ def _rounded(level: DataFrame) -> DataFrame:
     )
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows(uid, key, n, ...)`` with ``chunk``: by the key, and rows of one key in turn where they are many."""
+    chunks = F.greatest(F.ceil(F.col("n") / CHUNK), F.lit(1))
+    many = rows.groupBy("key").agg(F.count(F.lit(1)).alias("alike")).filter(F.col("alike") > CHUNK // 4)
+    if many.isEmpty():
+        return rows.withColumn("chunk", F.pmod("key", chunks))
+    alike = rows.join(many.select("key"), "key", "left_semi").select("uid", "key")
+    turn = ranked_within(alike, ["key"], ["uid"], "turn").select("uid", "turn")
+    placed = rows.join(turn, "uid", "left").withColumn("turn", F.coalesce("turn", F.lit(0)))
+    return placed.withColumn("chunk", F.pmod(F.pmod("key", chunks) + F.pmod("turn", chunks), chunks)).drop("turn")
+
+
 def copies(sized: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """``sized(uid, doc_id, source, size, ...)`` with ``source_size, target, taken`` and ``n_copies``.
 
@@ -138,9 +151,8 @@ def copies(sized: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFrame
     joined = joined.withColumns({"whole": whole, "part": part, "key": key})
     counts = joined.groupBy("sid").agg(F.count(F.lit(1)).alias("n"))
     largest = counts.agg(F.max("n")).first()[0] or 0
-    chunks = F.greatest(F.ceil(F.col("n") / CHUNK), F.lit(1))
-    level = joined.filter("part > 0").join(counts, "sid").withColumn("chunk", F.pmod("key", chunks))
-    # Rows with equal keys meet in one chunk in any order: they are alike.
+    level = _dealt(joined.filter("part > 0").join(counts, "sid"))
+    # Rows with equal keys meet in a chunk in any order: they are alike.
     done = []
     while True:
         rounded = stored(_rounded(level), "rounded")
