@@ -370,6 +370,41 @@ def test_numbers_around_a_card_or_phone_do_not_hide_it(spark):
         assert own in [text[a:b] for _, a, b in spans], (text, spans)
 
 
+def test_addresses_with_spaced_bracketed_and_spelled_dots(spark):
+    ways = ("192 . 168 . 0 . 17", "192[.]168[.]0[.]17", "192(.)168(.)0(.)17", "192(dot)168(dot)0(dot)17", "192 [dot] 168 [dot] 0 [dot] 17")
+    for own in ways:
+        assert ("ip", 5, 5 + len(own)) in personal_data.proposals(f"host {own} is up")
+    assert len([s for s in personal_data.proposals("1[.]" * 4000) if s[0] == "ip"]) == 3997
+    detector = personal_data.trained_detector(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    for own in ways:
+        text = f"host {own} is up"
+        assert detector.spans(text, []) == [("ip", 5, 5 + len(own))], own
+    for own in ("448 . 168 . 0 . 17", "192[.]168[.]0[.]999", "10-20-30-40", "10 20 30 40", "1 . 2 . 3"):
+        text = f"ip {own} is up"
+        assert detector.spans(text, personal_data.base_spans(text)) == [], own
+
+
+def test_recall_of_added_spans_in_held_out_texts(spark):
+    """Base spans of held-out texts, written in other ways where they stood, are found again."""
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    detector = personal_data.trained_detector(df)
+    found, asked = collections.Counter(), collections.Counter()
+    for (text,) in df.select("text").distinct().collect():
+        if not text or zlib.crc32(text.encode()) % 4 or not any(c.isdigit() or c == "@" for c in text):
+            continue
+        for kind, start, end in personal_data.base_spans(text):
+            for form in personal_data._rewritten(kind, text[start:end])[0]:
+                left, right = text[max(0, start - 60) : start], text[end : end + 60]
+                new = left + form + right
+                spans = detector.spans(new, personal_data.base_spans(new))
+                asked[kind] += 1
+                found[kind] += any(k == kind and a <= len(left) and b >= len(left) + len(form) for k, a, b in spans)
+    assert all(asked[k] >= 20 for k in personal_data.KINDS), asked
+    recall = {k: found[k] / asked[k] for k in personal_data.KINDS}
+    print(recall, asked)
+    assert all(r >= 0.9 for r in recall.values()), (recall, asked)
+
+
 def test_redaction(spark):
     df = documents(spark, (1, "mail a@b.cc or +49 30 1234567.", "en", "s", 3), (2, None), (3, "4111 1111 1111 1111, 1.2.3.4"))
     out = personal_data.redact(df, personal_data.trained_detector(df))
