@@ -254,13 +254,17 @@ def archived_pages(pages: DataFrame, folder: str | None = None, least_bytes: int
         F.col("payload_bytes").alias("of_bytes"),
         F.col("payload_digest").alias("of_digest"),
     )
-    return flat.join(targets, "refers_to", "left").select(
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type"]
+    # Responses refer to nothing, so they stay out of the join: their nulls would all be one key.
+    own = flat.filter("record_type = 'response'").select(*columns, F.lit(None).cast("long").alias("refers_to"))
+    again = flat.filter("record_type <> 'response'").join(targets, "refers_to", "left").select(
         "page_id",
         F.coalesce("payload_bytes", "of_bytes").alias("payload_bytes"),
         F.coalesce("of_digest", "payload_digest").alias("payload_digest"),
         "record_type",
         F.col("of").alias("refers_to"),
     )
+    return own.unionByName(again)
 
 
 @query()
