@@ -2,12 +2,17 @@
 
 A text is a row of segments, each white space and the word after it: a byte-level
 tokenizer never joins across the end of a word before white space, so a
-segment's tokens do not depend on its neighbours.  Leaves hold about ``LEAF``
-segments; a complete binary tree above them holds the sums of their characters
+segment's tokens do not depend on its neighbours.  A segment of more than ``LONG``
+characters is cut on where its own tokens end: merges never crossed such a place,
+so both sides have the same tokens by themselves.  Leaves hold about ``LEAF``
+of these pieces; a complete binary tree above them holds the sums of their characters
 and tokens.  An edit finds its leaves by descending on character sums, encodes
 the segments it touches together with the one before and the one after, and
-updates the sums on the way up.  The leaves' sums can be stored with the text,
-so the next edits start from them.
+updates the sums on the way up.  Where the edited stretch meets a neighbour without
+white space between, both are encoded together and by themselves, and the stretch
+grows by a leaf until the two agree: a row of tokens is the encoding of its text if
+each pair of neighbours is that of theirs.  The leaves' sums can be stored with the
+text, so the next edits start from them.
 """
 
 from __future__ import annotations
@@ -27,6 +32,8 @@ from shelfmark.llm.common import map_arrow, table, text_slices
 from shelfmark.llm.registry import query
 
 LEAF = 32
+# Segments of more characters are cut into pieces of at least PIECE.
+LONG, PIECE = 256, 16
 CACHED_SEGMENTS = 400_000
 EDITS = "array<struct<start:bigint,end:bigint,text:string>>"
 
@@ -35,6 +42,7 @@ _WIDE_SPACE = "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPACE = f"\t-\r {_WIDE_SPACE}"
 _SEGMENT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _HAS_WIDE_SPACE = re.compile(f"[{_WIDE_SPACE}]")
+_IS_SPACE = re.compile(f"[{_SPACE}]")
 _MARK = "\x01"
 
 
@@ -60,10 +68,10 @@ class SegmentEncoder:
 
     def counts(self, wanted: list[str]) -> list[int]:
         """The number of tokens of each segment."""
-        fresh = [s for s in dict.fromkeys(wanted) if s not in self.known]
+        fresh = [s for s in dict.fromkeys(wanted) if s not in self.known and len(s) <= LONG]
         if fresh and len(self.known) + len(fresh) > CACHED_SEGMENTS:
             self.known = {}
-            fresh = list(dict.fromkeys(wanted))
+            fresh = [s for s in dict.fromkeys(wanted) if len(s) <= LONG]
         # Segments between white space go many to a string, a mark after each.
         joined = [s for s in fresh if s[0] in " \n\t\r" and not s[-1].isspace() and _MARK not in s]
         for at in range(0, len(joined), 256 * 64):
@@ -76,7 +84,35 @@ class SegmentEncoder:
         for segment in fresh:
             if segment not in self.known:
                 self.known[segment] = len(self.ids(segment))
-        return [self.known[s] for s in wanted]
+        return [self.known[s] if len(s) <= LONG else len(self.ids(s)) for s in wanted]
+
+    def pieces(self, segment: str) -> tuple[np.ndarray, np.ndarray]:
+        """Characters and tokens of the pieces of a long segment.
+
+        Cut where a token ends with a whole character, but not before an
+        apostrophe, which with the letter after it can be a word of its own.
+        """
+        found = np.array(self.tokenizer.encode(segment, add_special_tokens=False).offsets, np.int64)
+        ends, starts = found[:-1, 1], found[1:, 0]
+        chars, tokens, cut, token = [], [], 0, 0
+        for k in np.flatnonzero(ends == starts).tolist():
+            place = int(starts[k])
+            if place - cut >= PIECE and segment[place] != "'" and not _IS_SPACE.match(segment[place - 1]):
+                chars.append(place - cut)
+                tokens.append(k + 1 - token)
+                cut, token = place, k + 1
+        return np.array([*chars, len(segment) - cut], np.int64), np.array([*tokens, len(found) - token], np.int64)
+
+    def measured(self, own: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Characters and tokens of segments, those of long ones piece by piece."""
+        if all(len(s) <= LONG for s in own):
+            return np.array([len(s) for s in own], np.int64), np.array(self.counts(own), np.int64)
+        parts = [self.pieces(s) if len(s) > LONG else (np.array([len(s)]), np.array(self.counts([s]))) for s in own]
+        return tuple(np.concatenate(column).astype(np.int64) for column in zip(*parts))
+
+    def apart(self, left: str, right: str) -> bool:
+        """Whether two stretches have the same tokens together as by themselves."""
+        return np.array_equal(self.ids(left + right), np.concatenate([self.ids(left), self.ids(right)]))
 
 
 class TokenTree:
@@ -87,16 +123,14 @@ class TokenTree:
         self.starts = np.cumsum(leaf_chars) - leaf_chars
         self.sizes = leaf_chars
         self.changed: dict[int, str] = {}
-        self.encoded = 0
+        self.encoded = self.encoded_chars = 0
         self.count = max(1, len(leaf_chars))
         self.width = 1 << (self.count - 1).bit_length()
         self.chars, self.tokens = (self._heap(x) for x in (leaf_chars, leaf_tokens))
 
     @classmethod
     def build(cls, text: str, encoder: SegmentEncoder) -> TokenTree:
-        own = segments(text)
-        chars, tokens = np.array([len(s) for s in own], np.int64), np.array(encoder.counts(own), np.int64)
-        return cls(text, *leaf_sums(chars, tokens), encoder)
+        return cls(text, *leaf_sums(*encoder.measured(segments(text))), encoder)
 
     def _heap(self, leaves: np.ndarray) -> list[int]:
         level = np.zeros(self.width, np.int64)
@@ -152,10 +186,52 @@ class TokenTree:
         old = "".join(self.leaf(k) for k in range(first, last + 1))
         fresh = segments(old[low - first_at : start - first_at] + text + old[end - first_at : high - first_at])
         self.encoded += len(fresh)
-        self._put(first, "".join([*before, *fresh, *after]), sum(self.encoder.counts([*before, *fresh, *after])))
+        whole = "".join([*before, *fresh, *after])
+        wider = self._widened(first, first_at, last, last_at, whole)
+        if wider is None:
+            own = [*before, *fresh, *after]
+        else:
+            first, last, own = wider
+        new = set(fresh)
+        self.encoded_chars += sum(len(s) for s in own if s in new or len(s) > LONG or wider)
+        self._put(first, "".join(own), sum(self.encoder.counts(own)))
         for k in range(first + 1, last + 1):
             self._put(k, "", 0)
 
+    def _widened(self, first: int, first_at: int, last: int, last_at: int, new: str) -> tuple[int, int, list[str]] | None:
+        """The leaves whose text ``new`` takes the place of and its segments, grown until its ends are ends of tokens; None if they are."""
+        end = last_at + len(self.leaf(last))
+        grown = False
+        while True:
+            own, more = segments(new), False
+            if first_at:
+                k, at = self.find(first_at - 1)
+                left = self.leaf(k)
+                if self._meets(left, new) and not self._apart(left, own, 0):
+                    first, first_at, new, more = k, at, left + new, True
+            if end < self.chars[1]:
+                k, at = self.find(end)
+                right = self.leaf(k)
+                own = segments(new)
+                if self._meets(new, right) and not self._apart(right, own, -1):
+                    last, end, new, more = k, at + len(right), new + right, True
+            if not more:
+                return (first, last, own) if grown else None
+            grown = True
+
+    @staticmethod
+    def _meets(left: str, right: str) -> bool:
+        """Whether no white space parts two stretches; an empty one parts nothing."""
+        return not (left and right) or not (_IS_SPACE.match(left[-1]) or _IS_SPACE.match(right[0]))
+
+    def _apart(self, beside: str, own: list[str], side: int) -> bool:
+        if not own:
+            return False
+        near = segments(beside)[-1 if side == 0 else 0]
+        pair = (near, own[0]) if side == 0 else (own[-1], near)
+        self.encoded_chars += len(pair[0]) + len(pair[1])
+        return self.encoder.apart(*pair)
+
     def _put(self, k: int, text: str, tokens: int) -> None:
         self.changed[k] = text
         node = self.width + k
@@ -192,14 +268,22 @@ def segment_sums(texts: pa.Array, encoder: SegmentEncoder) -> list[tuple[np.ndar
     found = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data))
     coded = found.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False)
-    tokens = np.array(encoder.counts(coded.dictionary.to_pylist()), np.int64)[codes] if len(codes) else np.zeros(0, np.int64)
+    distinct = coded.dictionary.to_pylist()
+    long = {k: encoder.pieces(s) for k, s in enumerate(distinct) if len(s) > LONG}
+    counts = np.zeros(len(distinct), np.int64)
+    counts[[k for k in range(len(distinct)) if k not in long]] = encoder.counts([s for s in distinct if len(s) <= LONG])
+    tokens = counts[codes] if len(codes) else np.zeros(0, np.int64)
     leads = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
     chars = np.diff(leads[at])
     place = np.searchsorted(at, np.concatenate([starts, ends[-1:]]))
     out = [(chars[a:b], tokens[a:b]) for a, b in zip(place[:-1], place[1:])]
+    if long:
+        for row, (a, b) in enumerate(zip(place[:-1], place[1:])):
+            if any(k in long for k in codes[a:b].tolist()):
+                parts = [long.get(k, (chars[a + j : a + j + 1], tokens[a + j : a + j + 1])) for j, k in enumerate(codes[a:b].tolist())]
+                out[row] = tuple(np.concatenate(column) for column in zip(*parts))
     for row in np.flatnonzero(wide).tolist():
-        own = segments(texts[row].as_py())
-        out[row] = np.array([len(s) for s in own], np.int64), np.array(encoder.counts(own), np.int64)
+        out[row] = encoder.measured(segments(texts[row].as_py()))
     return out
 
 
@@ -229,7 +313,7 @@ def apply_edits(docs: DataFrame, tokenizer: str, keep: bool = False) -> DataFram
     gives no rows.
     """
     stored_tree = {"leaf_chars", "leaf_tokens"} <= set(docs.columns)
-    schema = "doc_id long, n_edits long, n_segments long, n_encoded long, tokens_before long, tokens_after long, chars_after long, text_crc32 long"
+    schema = "doc_id long, n_edits long, n_segments long, n_encoded long, chars_encoded long, tokens_before long, tokens_after long, chars_after long, text_crc32 long"
     schema += (", text string, " + TREE) * keep
     names = [f.split()[0] for f in schema.split(", ")]
 
@@ -251,9 +335,9 @@ def apply_edits(docs: DataFrame, tokenizer: str, keep: bool = False) -> DataFram
                 for edit in edits or []:
                     tree.edit(edit["start"] or 0, edit["end"] or 0, edit["text"] or "")
                 new = tree.text()
-                row = (len(edits or []), count, tree.encoded, before, tree.tokens[1], tree.chars[1], zlib.crc32(new.encode()))
+                row = (len(edits or []), count, tree.encoded, tree.encoded_chars, before, tree.tokens[1], tree.chars[1], zlib.crc32(new.encode()))
                 rows.append(row + ((new, *tree.leaf_sums()) if keep else ()))
-            types = [pa.int64()] * 7 + [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())] * keep
+            types = [pa.int64()] * 8 + [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())] * keep
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *columns], names=names)
 

@@ -436,6 +436,56 @@ def test_trees_follow_random_edits(spark):
             assert tree.tokens[1] == len(encoder.ids(text)) and tree.chars[1] == len(text)
 
 
+def unbroken_texts(rng):
+    """Long texts without white space: of one script, of one letter, of signs, digits and mixtures."""
+    han = "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(6000))
+    return {
+        "han": han,
+        "letters": "".join(rng.choices("etaoinshr", k=6000)),
+        "one": "a" * 5000,
+        "signs": "".join(rng.choices("!'=-.s", k=5000)),
+        "digits": "".join(rng.choices("0123456789", k=5000)),
+        "code": "".join(rng.choices("aB3'x/+\U0001f600é", k=5000)),
+        "among": "some words " + han[:900] + " and more " + han[900:2500] + "\n",
+    }
+
+
+def test_edits_of_texts_without_white_space_equal_whole_encodings():
+    rng = random.Random(11)
+    encoder = edit_counts.SegmentEncoder(edit_counts.default_tokenizer())
+    texts = unbroken_texts(rng)
+    sums = edit_counts.segment_sums(pa.array(list(texts.values())), encoder)
+    for (name, text), (chars, tokens) in zip(texts.items(), sums):
+        assert len(chars) > 10 or name == "one"
+        places = np.concatenate([[0], np.cumsum(chars)])
+        for a, b, n in list(zip(places[:-1], places[1:], tokens))[:40]:
+            assert len(encoder.ids(text[a:b])) == n
+        tree = edit_counts.TokenTree(text, *edit_counts.leaf_sums(chars, tokens), encoder)
+        assert tree.tokens[1] == len(encoder.ids(text)) == edit_counts.TokenTree.build(text, encoder).tokens[1]
+        for _ in range(25):
+            # Also where leaves meet, and at the ends.
+            at = rng.choice([0, len(text), *np.cumsum(tree.leaf_sums()[0]).tolist(), *(rng.randint(0, len(text)) for _ in range(6))])
+            start = max(0, at - rng.choice([0, 1, 3]))
+            end = min(len(text), start + rng.choice([0, 1, 2, 9, 700, 2500]))
+            new = rng.choice(["", "x", "'", "'s", " ", "漢字", "77", "!", text[:40], " b "])
+            text = text[:start] + new + text[end:]
+            tree.edit(start, end, new)
+            assert tree.text() == text
+            assert tree.tokens[1] == len(encoder.ids(text)) and tree.chars[1] == len(text), name
+
+
+def test_one_edit_of_an_unbroken_text_encodes_a_bounded_stretch():
+    rng = random.Random(12)
+    encoder = edit_counts.SegmentEncoder(edit_counts.default_tokenizer())
+    for size in (20_000, 80_000):
+        for alphabet in ([chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(3000)], "etaoinshr", "aB3x/+"):
+            text = "".join(rng.choices(alphabet, k=size))
+            tree = edit_counts.TokenTree.build(text, encoder)
+            tree.edit(size // 2, size // 2 + 1, "k")
+            assert tree.tokens[1] == len(encoder.ids(tree.text()))
+            assert tree.encoded_chars < 4000, (size, tree.encoded_chars)
+
+
 def test_edits_of_a_table(spark):
     tokenizer = edit_counts.default_tokenizer()
     encoder = edit_counts.SegmentEncoder(tokenizer)
