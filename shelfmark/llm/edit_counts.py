@@ -84,7 +84,8 @@ class SegmentEncoder:
         for segment in fresh:
             if segment not in self.known:
                 self.known[segment] = len(self.ids(segment))
-        return [self.known[s] if len(s) <= LONG else len(self.ids(s)) for s in wanted]
+        found = list(map(self.known.get, wanted))
+        return [len(self.ids(s)) if n is None else n for s, n in zip(wanted, found)] if None in found else found
 
     def pieces(self, segment: str) -> tuple[np.ndarray, np.ndarray]:
         """Characters and tokens of the pieces of a long segment.
@@ -124,6 +125,8 @@ class TokenTree:
         self.sizes = leaf_chars
         self.changed: dict[int, str] = {}
         self.encoded = self.encoded_chars = 0
+        # Whether leaves meet within a segment; an edit makes no such place.
+        self.unbroken = any(self._meets(text[k - 1], text[k]) for k in self.starts.tolist() if 0 < k < len(text))
         self.count = max(1, len(leaf_chars))
         self.width = 1 << (self.count - 1).bit_length()
         self.chars, self.tokens = (self._heap(x) for x in (leaf_chars, leaf_tokens))
@@ -186,12 +189,10 @@ class TokenTree:
         old = "".join(self.leaf(k) for k in range(first, last + 1))
         fresh = segments(old[low - first_at : start - first_at] + text + old[end - first_at : high - first_at])
         self.encoded += len(fresh)
-        whole = "".join([*before, *fresh, *after])
-        wider = self._widened(first, first_at, last, last_at, whole)
-        if wider is None:
-            own = [*before, *fresh, *after]
-        else:
-            first, last, own = wider
+        own, wider = [*before, *fresh, *after], None
+        if self.unbroken:
+            wider = self._widened(first, first_at, last, last_at, "".join(own))
+            first, last, own = wider or (first, last, own)
         new = set(fresh)
         self.encoded_chars += sum(len(s) for s in own if s in new or len(s) > LONG or wider)
         self._put(first, "".join(own), sum(self.encoder.counts(own)))
@@ -200,33 +201,31 @@ class TokenTree:
 
     def _widened(self, first: int, first_at: int, last: int, last_at: int, new: str) -> tuple[int, int, list[str]] | None:
         """The leaves whose text ``new`` takes the place of and its segments, grown until its ends are ends of tokens; None if they are."""
-        end = last_at + len(self.leaf(last))
-        grown = False
-        while True:
-            own, more = segments(new), False
+        end, grown, more = last_at + len(self.leaf(last)), False, True
+        while more:
+            more = False
             if first_at:
                 k, at = self.find(first_at - 1)
                 left = self.leaf(k)
-                if self._meets(left, new) and not self._apart(left, own, 0):
+                if self._meets(left, new) and not self._apart(left, new, 0):
                     first, first_at, new, more = k, at, left + new, True
             if end < self.chars[1]:
                 k, at = self.find(end)
                 right = self.leaf(k)
-                own = segments(new)
-                if self._meets(new, right) and not self._apart(right, own, -1):
+                if self._meets(new, right) and not self._apart(right, new, -1):
                     last, end, new, more = k, at + len(right), new + right, True
-            if not more:
-                return (first, last, own) if grown else None
-            grown = True
+            grown |= more
+        return (first, last, segments(new)) if grown else None
 
     @staticmethod
     def _meets(left: str, right: str) -> bool:
         """Whether no white space parts two stretches; an empty one parts nothing."""
         return not (left and right) or not (_IS_SPACE.match(left[-1]) or _IS_SPACE.match(right[0]))
 
-    def _apart(self, beside: str, own: list[str], side: int) -> bool:
-        if not own:
+    def _apart(self, beside: str, new: str, side: int) -> bool:
+        if not new:
             return False
+        own = segments(new)
         near = segments(beside)[-1 if side == 0 else 0]
         pair = (near, own[0]) if side == 0 else (own[-1], near)
         self.encoded_chars += len(pair[0]) + len(pair[1])
@@ -278,10 +277,11 @@ def segment_sums(texts: pa.Array, encoder: SegmentEncoder) -> list[tuple[np.ndar
     place = np.searchsorted(at, np.concatenate([starts, ends[-1:]]))
     out = [(chars[a:b], tokens[a:b]) for a, b in zip(place[:-1], place[1:])]
     if long:
-        for row, (a, b) in enumerate(zip(place[:-1], place[1:])):
-            if any(k in long for k in codes[a:b].tolist()):
-                parts = [long.get(k, (chars[a + j : a + j + 1], tokens[a + j : a + j + 1])) for j, k in enumerate(codes[a:b].tolist())]
-                out[row] = tuple(np.concatenate(column) for column in zip(*parts))
+        before = np.concatenate([[0], np.cumsum(np.isin(codes, list(long)))])
+        for row in np.flatnonzero(np.diff(before[place])).tolist():
+            a, b = place[row], place[row + 1]
+            parts = [long.get(k, (chars[j : j + 1], tokens[j : j + 1])) for j, k in enumerate(codes[a:b].tolist(), a)]
+            out[row] = tuple(np.concatenate(column) for column in zip(*parts))
     for row in np.flatnonzero(wide).tolist():
         out[row] = encoder.measured(segments(texts[row].as_py()))
     return out
