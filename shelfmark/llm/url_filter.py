@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stored, table
+from shelfmark.llm.common import recorded, removed, stored, table
 from shelfmark.llm.registry import query
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -227,16 +227,24 @@ def document_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def trained_trees(ruled: DataFrame, suffixes: DataFrame, known: DataFrame | None = None, urls: int = TRAIN_URLS) -> Trees:
-    """Trees fitted on about so many labelled URLs: those that a rule decides and those of ``known(url, bad)``."""
+    """Trees fitted on at most about so many labelled URLs: those that a rule decides and those of ``known(url, bad)``.
+
+    A URL counts once for each label it has, however many pages have it.
+    """
     labelled = ruled.filter(F.col("ruled").isNotNull()).select("url", (F.col("ruled") == "block").cast("int").alias("y"))
     if known is not None:
         labelled = labelled.unionByName(known.select("url", F.col("bad").alias("y")))
-    labelled = stored(labelled, "labels")
-    share = max(1, labelled.count() // urls)
-    sample = labelled.filter(F.pmod(F.xxhash64("url"), F.lit(share)) == 0)
-    named = sample.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-    featured, names = with_features(named, suffixes)
-    return grow(featured, names)
+    folders: list[str] = []
+    with recorded(folders):
+        labelled = stored(labelled.distinct(), "labels")
+        share = max(1, -(-labelled.count() // urls))
+        sample = labelled.filter(F.pmod(F.xxhash64("url"), F.lit(share)) == 0)
+        named = sample.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+        featured, names = with_features(named, suffixes)
+        trees = grow(featured, names)
+    for folder in folders:
+        removed(ruled.sparkSession, folder)
+    return trees
 
 
 def judge(

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from shelfmark.llm import language_id, mixing, personal_data
+from shelfmark.llm import language_id, mixing, personal_data, url_filter
 from tests.llm.helpers import documents
 
 
@@ -53,3 +53,15 @@ def test_examples_come_from_all_over_a_text():
     assert len(picked) == 500 and picked == sorted(picked) and picked == [k for k, _ in personal_data._some(found, 500, 7)]
     assert np.histogram(picked, 10, (0, 10_000))[0].min() > 25
     assert personal_data._some(found[:5], 500, 7) == found[:5]
+
+
+def test_a_hot_url_is_learned_from_once(spark, monkeypatch):
+    hot = spark.range(50_000).select(F.lit("https://example.org/es/hot").alias("url"))
+    others = spark.range(40).select(F.format_string("https://a.com/fr/%d", "id").alias("url"))
+    ruled = url_filter.with_rules(hot.unionByName(others))
+    seen = []
+    monkeypatch.setattr(url_filter, "grow", lambda rows, names: seen.append(rows.select("url", "y").collect()))
+    for urls in (1000, 10):
+        url_filter.trained_trees(ruled, url_filter.suffix_statistics(ruled), urls=urls)
+    assert Counter(r.url for r in seen[0]).most_common(1)[0][1] == 1 and len(seen[0]) == 41
+    assert len(seen[1]) < 25
