@@ -5,7 +5,7 @@ numbers.  Generators propose overlapping spans far more freely; trees over
 features of their format and context score each proposal, and a span is added
 where the score passes its kind's threshold and no base span overlaps.
 
-The trees learn from a sample of the documents: base spans, and the same spans
+The trees learn from all documents: base spans, and the same spans
 written in other ways (spelled-out, spaced or bracketed signs, other separators,
 no plus), are positive; other proposals, and base spans broken so that they no longer check,
 are negative.  Thresholds are the lowest with the wanted precision on held-out
@@ -16,8 +16,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +28,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import ddl, map_arrow, table, text_slices
+from shelfmark.llm.common import _stored_at, ddl, map_arrow, removed, table, text_slices
 from shelfmark.llm.registry import query
-from shelfmark.llm.trees import BoostedTrees
+from shelfmark.llm.trees import BoostedTrees, unpacked
+from shelfmark.session import scratch_path
 
 KINDS = ("email", "ip", "card", "phone")
-# About so many documents, chosen by a hash of the id, train the trees.
-TRAIN_DOCUMENTS = 20_000
-# At most so many examples of one document train them, chosen by a hash of the text.
-TRAIN_EXAMPLES = 500
-PRECISION = 0.99
+# So many examples of one text are counted at a time.
+PART = 1 << 16
+PRECISION, SCORES = 0.99, 10_000
 # No kind of number is longer.
 MOST_DIGITS = 19
 CONTEXT = 24
@@ -139,8 +141,8 @@ def _side(char: str) -> int:
     return 0 if not char or char.isspace() else 1 if char.isalpha() else 2 if char.isdigit() else 3
 
 
-def features(text: str, span: Span) -> list[float]:
-    """Format and context of a proposal as numbers."""
+def features(text: str, span: Span) -> list[int]:
+    """Format and context of a proposal as whole numbers."""
     kind, start, end = span
     own = text[start:end]
     groups = _DIGITS.findall(own)
@@ -176,6 +178,10 @@ def features(text: str, span: Span) -> list[float]:
     ]
 
 
+FEATURES = len(features("0", ("email", 0, 1)))
+_PACKED = f"<{FEATURES}i"
+
+
 def _rewritten(kind: str, own: str) -> tuple[list[str], list[str]]:
     """Other ways to write a base span, and broken forms of it."""
     groups = _DIGITS.findall(own)
@@ -206,7 +212,7 @@ def _rewritten(kind: str, own: str) -> tuple[list[str], list[str]]:
 _AROUND = (("", " 12/26"), ("", " 123"), ("2024 ", ""), ("17 ", " 09/27 481"), ("2023-10-05 ", " 7"))
 
 
-def examples(text: str) -> Iterator[tuple[list[float], int]]:
+def examples(text: str) -> Iterator[tuple[list[int], int]]:
     """Features and labels of one document's proposals and of rewritten base spans.
 
     Proposals that meet another span of the base rules are left out, as they are
@@ -254,24 +260,8 @@ def examples(text: str) -> Iterator[tuple[list[float], int]]:
 class Detector:
     """The trees and a threshold for each kind."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, held: np.ndarray):
-        self.thresholds = dict.fromkeys(KINDS, np.inf)
-        self.trees = None
-        if len(set(y[~held].tolist())) < 2:
-            return
-        self.trees = BoostedTrees().fit(x[~held], y[~held])
-        chance = self.trees.predict(x[held])
-        for k, kind in enumerate(KINDS):
-            own = x[held][:, 0] == k
-            score, good = chance[own], y[held][own]
-            order = np.argsort(-score, kind="stable")
-            right = np.cumsum(good[order]) / np.arange(1, len(order) + 1)
-            last = np.append(score[order][1:] != score[order][:-1], True)[: len(order)]
-            ok = np.flatnonzero((right >= PRECISION) & last)
-            if len(ok):
-                # Where all held-out proposals pass, nothing asks for more than an even chance.
-                every = ok[-1] == len(order) - 1
-                self.thresholds[kind] = 0.5 if every else max(0.5, float(score[order][ok[-1]]))
+    def __init__(self, trees: BoostedTrees | None, thresholds: dict[str, float]):
+        self.trees, self.thresholds = trees, thresholds
 
     def spans(self, text: str, base: list[Span]) -> list[Span]:
         """Base spans with those the trees add, by start, then kind."""
@@ -296,40 +286,81 @@ def _hinted(texts: pa.Array) -> np.ndarray:
 
 
 def _some(found: list, most: int, seed: int) -> list:
-    """At most so many examples from all over a text, the same in every run."""
+    """At most so many examples from all over a text, the same in every run; the trees no longer ask for it."""
     if len(found) <= most:
         return found
     return [found[k] for k in sorted(np.random.default_rng(seed).choice(len(found), most, replace=False))]
 
 
-def trained_detector(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, each: int = TRAIN_EXAMPLES) -> Detector:
-    """A detector fitted on at most ``each`` examples of about so many documents, however many there are.
+def counted_examples(docs: DataFrame) -> DataFrame:
+    """``x, y, held, n``: packed features, label and count of the examples of all documents.
 
-    Equal texts among them count once.
+    Equal texts count once.  A quarter of the texts, by a checksum, is held out.
     """
-    share = max(1, -(-docs.count() // documents))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             texts = pc.fill_null(batch.column("text"), "")
-            for text in texts.filter(pa.array(_hinted(texts))).to_pylist():
-                seed = zlib.crc32(text.encode("utf-8", "replace"))
-                found = _some(list(examples(text)), each, seed)
-                if found:
-                    held = seed % 4 == 0
+            for row in np.flatnonzero(_hinted(texts)).tolist():
+                text = texts[row].as_py()
+                held = zlib.crc32(text.encode("utf-8", "replace")) % 4 == 0
+                left, part = examples(text), 0
+                # A part of a long text at a time; equal texts have equal parts.
+                while found := Counter((struct.pack(_PACKED, *x), y) for x, y in islice(left, PART)):
+                    size = len(found)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([x for x, _ in found], pa.list_(pa.float64())), pa.array([y for _, y in found]), pa.array([held] * len(found))],
-                        names=["x", "y", "held"],
+                        [
+                            pa.array([batch.column("t")[row].as_py()] * size, pa.int64()),
+                            pa.array([part] * size, pa.int32()),
+                            pa.array([x for x, _ in found], pa.binary()),
+                            pa.array([y for _, y in found], pa.int32()),
+                            pa.array([held] * size),
+                            pa.array(found.values(), pa.int64()),
+                        ],
+                        names=["t", "part", "x", "y", "held", "n"],
                     )
+                    part += 1
+
+    texts = docs.select(F.xxhash64("text").alias("t"), "text")
+    each = map_arrow(texts, run, "t long, part int, x binary, y int, held boolean, n long")
+    once = each.groupBy("t", "part", "x", "y", "held").agg(F.max("n").alias("n"))
+    return once.groupBy("x", "y", "held").agg(F.sum("n").alias("n"))
+
+
+def precise_thresholds(trees: BoostedTrees, held: DataFrame) -> dict[str, float]:
+    """For each kind the lowest score with the wanted precision on ``held(x, y, n)``; scores are cut to ten-thousandths."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = unpacked(batch.column("x"), "<i4", FEATURES)
+            score = np.floor(trees.predict(x) * SCORES).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x[:, 0].astype(np.int32)), pa.array(score), batch.column("y"), batch.column("n")],
+                names=["kind", "score", "y", "n"],
+            )
 
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0).select("text").distinct()
-    rows = map_arrow(sample, run, "x array<double>, y long, held boolean").toArrow()
-    if not rows.num_rows:
-        return Detector(np.zeros((0, 1)), np.zeros(0), np.zeros(0, bool))
-    x = np.stack(rows.column("x").to_numpy())
-    y, held = rows.column("y").to_numpy(), rows.column("held").to_numpy()
-    order = np.lexsort((*x.T, y, held))  # the same trees whatever order the tasks end in
-    return Detector(x[order], y[order], held[order])
+    scored = map_arrow(held.select("x", "y", "n"), run, "kind int, score int, y int, n long")
+    sums = scored.groupBy("kind", "score").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("good"))
+    rows = sorted(sums.collect(), key=lambda r: -r["score"])  # at most SCORES + 1 of each kind
+    found = dict.fromkeys(KINDS, np.inf)
+    for k, kind in enumerate(KINDS):
+        own = [r for r in rows if r["kind"] == k]
+        every, good = np.cumsum([r["n"] for r in own]), np.cumsum([r["good"] for r in own])
+        ok = np.flatnonzero(good >= PRECISION * every)
+        if len(ok):
+            # Where all held-out proposals pass, nothing asks for more than an even chance.
+            found[kind] = 0.5 if ok[-1] == len(own) - 1 else max(0.5, own[ok[-1]]["score"] / SCORES)
+    return found
+
+
+def trained_detector(docs: DataFrame) -> Detector:
+    """A detector fitted on the examples of all documents, with thresholds from all that are held out."""
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "examples")
+    counted = _stored_at(counted_examples(docs), path)
+    trees = BoostedTrees(FEATURES).fit(counted.filter("not held"))
+    thresholds = precise_thresholds(trees, counted.filter("held")) if trees else {}
+    removed(spark, path)
+    return Detector(trees, thresholds)
 
 
 def _joined(spans: list[Span]) -> str:
