@@ -59,6 +59,25 @@ def test_scratch_tables_take_few_bytes_a_word(spark, monkeypatch):
     assert max(sizes) - before < 16 * 300 * 400
 
 
+def test_smaller_pieces_do_not_outgrow_their_positions(spark, monkeypatch):
+    rng = random.Random(33)
+    rows = [(k, " ".join(f"w{int(rng.paretovariate(0.8)) % 20000}" for _ in range(400))) for k in range(300)]
+    docs = spark.createDataFrame(rows, "t long, text string").coalesce(1)
+    dealt, sizes = four_grams.dealt, []
+
+    def noted(*args):
+        out = dealt(*args)
+        sizes.append(out.agg(F.count("body"), F.sum(F.length("body"))).first())
+        return out
+
+    monkeypatch.setattr(four_grams, "dealt", noted)
+    for words in (60_000, 1_000):
+        four_grams.text_costs(docs, quality.coded_words, four_grams.Sizes(passes=1, bucket_words=words))
+    (few, large, *_), (many, small, *_) = sizes[0], sizes[2]
+    assert many >= 50 * few
+    assert small < 1.15 * large
+
+
 def test_numbers_are_packed_and_ranked_whole():
     rng = np.random.default_rng(5)
     arrays = [np.zeros(0, np.int64), np.arange(300), rng.integers(0, 1 << 63, 1000).astype(np.uint64), np.array([1 << 40])]
