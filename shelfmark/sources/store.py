@@ -37,6 +37,20 @@ STORE_SCHEMA = (
 )
 STORE_COLUMNS = ["path", "label", "parent", "size", "part", "content", "md5"]
 
+# Bytes of content in a row group, which a task holds whole when it writes or reads one.  Left alone,
+# Parquet first looks at sizes after 100 rows, and keeps the least and greatest content of each row group.
+ROW_GROUP_BYTES = 4 * CHUNK_BYTES
+_WRITE_OPTIONS = {
+    "parquet.block.size": str(ROW_GROUP_BYTES),
+    "parquet.page.size.row.check.min": "1",
+    "parquet.page.size.row.check.max": "1",
+    "parquet.column.statistics.enabled#content": "false",
+    "parquet.enable.dictionary#content": "false",
+    "parquet.bloom.filter.enabled#label": "true",
+    # As large as the labels need: each row group has a filter, held until the file is done.
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
 
 def open_store(spark: SparkSession, store: str) -> DataFrame:
     """The content table at ``store``, created empty if there is none."""
@@ -97,7 +111,9 @@ def append_new(listing: DataFrame, store: str, dest: str, chunk_bytes: int = CHU
         # By what is read, not by what was listed: a file that has grown since is cut as well.
         chunks = read_chunks(spread_by_bytes(files), chunk_bytes)
         rows = chunks.withColumn("parent", parent).withColumn("path", join_path(parent, F.col("label")))
-        rows = rows.select(*STORE_COLUMNS).write.mode("append").option("parquet.bloom.filter.enabled#label", "true")
+        rows = rows.select(*STORE_COLUMNS).write.mode("append").options(**_WRITE_OPTIONS)
+        if chunked == "true":  # so that chunks that compress well are no more to a reader
+            rows = rows.option("parquet.block.row.count.limit", str(max(1, ROW_GROUP_BYTES // chunk_bytes)))
         rows.parquet(f"{store}/chunked={chunked}")
     copied = todo.count()
     return CopyReport(copied, wanted.count() - copied)

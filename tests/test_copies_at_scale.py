@@ -3,6 +3,7 @@
 import os
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyarrow import fs
 from pyspark.sql import functions as F
@@ -136,6 +137,27 @@ def test_a_file_that_grew_after_its_listing(spark, tmp_path):
     assert contents(out) == {"grown": b"z" * 5500}
 
 
+def stored_parts(store):
+    found = [os.path.join(d, n) for d, _, names in os.walk(store) for n in names if n.endswith(".parquet")]
+    return [pq.ParquetFile(n).metadata for n in found]
+
+
+def test_a_row_group_holds_few_chunks_and_no_content_statistics(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    data = os.urandom(1 << 20) * 40
+    (tmp_path / "in" / "big").write_bytes(data)
+    (tmp_path / "in" / "small").write_bytes(b"small")
+    store = str(tmp_path / "store")
+    content.append_new(tree.list_local_files(spark, str(tmp_path / "in")), store, "/h", chunk_bytes=1 << 20)
+    groups = [m.row_group(k) for m in stored_parts(store) for k in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 41 and max(g.num_rows for g in groups) <= 16
+    columns = [g.column(k) for g in groups for k in range(g.num_columns)]
+    assert not any(c.is_stats_set for c in columns if c.path_in_schema == "content")
+    assert all(c.is_stats_set for c in columns if c.path_in_schema == "label")
+    content.export_directory(spark, store, "/h", str(tmp_path / "out"))
+    assert contents(str(tmp_path / "out")) == {"big": data, "small": b"small"}
+
+
 def test_large_files_are_spread_by_bytes(spark):
     sizes = [("a", 900), ("b", 1000), ("c", 950), *[(f"s{k}", 1) for k in range(40)]]
     df = spark.createDataFrame([(n, s) for n, s in sizes], "label string, size long").coalesce(1)
