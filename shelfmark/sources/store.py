@@ -194,7 +194,7 @@ def export_directory(
     return CopyReport(copied, total - copied)
 
 
-def ranges_of(content: DataFrame, task_bytes: int = TASK_BYTES // 16) -> DataFrame:
+def ranges_of(content: DataFrame, task_bytes: int = TASK_BYTES // 64) -> DataFrame:
     """``name, offset, content, last`` of content rows; the chunks of large files are dealt over tasks.
 
     All chunks of a file but the last are of one length, so each knows its place.

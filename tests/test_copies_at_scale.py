@@ -137,6 +137,17 @@ def test_a_file_that_grew_after_its_listing(spark, tmp_path):
     assert contents(out) == {"grown": b"z" * 5500}
 
 
+def test_a_task_is_handed_little_of_a_large_file(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    with open(tmp_path / "in" / "big", "wb") as out:
+        out.truncate(128 << 20)
+    store = str(tmp_path / "store")
+    content.append_new(tree.list_local_files(spark, str(tmp_path / "in")), store, "/h", chunk_bytes=1 << 20)
+    parts = content.ranges_of(content.open_store(spark, store)).select(F.spark_partition_id().alias("task"), "offset")
+    heaviest = parts.groupBy("task").count().agg(F.max("count")).first()[0]
+    assert parts.count() == 128 and heaviest <= 24  # rows of 1 MB
+
+
 def stored_parts(store):
     found = [os.path.join(d, n) for d, _, names in os.walk(store) for n in names if n.endswith(".parquet")]
     return [pq.ParquetFile(n).metadata for n in found]
