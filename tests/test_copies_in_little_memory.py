@@ -22,6 +22,7 @@ EXPECTED = {
         ("big", BIG, "3566de3a97906edb98d004d6b947ae9b"),
         ("orders.parquet", 6, "12c500ed0b7879105fb46af0f246be87"),
     ],
+    "export_partial_repeat": [("all", 1, 1), ("all but one", 1, 0)],
 }
 
 
