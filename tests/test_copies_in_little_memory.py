@@ -23,6 +23,7 @@ EXPECTED = {
         ("orders.parquet", 6, "12c500ed0b7879105fb46af0f246be87"),
     ],
     "export_partial_repeat": [("all", 1, 1), ("all but one", 1, 0)],
+    "export_report": [("again", 0, 2), ("first", 2, 0)],
 }
 
 
