@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import stat
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import islice
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,6 +31,7 @@ LISTING_SCHEMA = "uri string, path string, label string, size bigint"
 _LISTING_ROWS = 10_000
 # Bytes of a folder's own directory file for each task that lists it, some 10,000 names.
 SLICE_BYTES = 1 << 19
+_SLICES_A_CORE = 4
 
 
 def list_local_files(
@@ -37,8 +40,10 @@ def list_local_files(
     """``uri, path, label, size`` of the files directly in ``source`` that pass the rules.
 
     ``source`` may also be one file, to which no rules apply.  No file is opened.
-    A local or mounted folder is listed by several tasks: each streams the names,
-    which is cheap, and looks up only those of its slice, by a hash of the name.
+    A local or mounted folder is listed by several tasks: one streams the names,
+    which is cheap, and deals them by hash to those that look them up, so no name
+    is read twice.  Slices of fewer than ``SLICE_BYTES`` make no more than
+    ``_SLICES_A_CORE`` tasks a core.
     A file that goes meanwhile is left out.  Other file systems have no such
     listing in Arrow, and are listed by one task.
     """
@@ -51,10 +56,20 @@ def list_local_files(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own in batch.column(0).to_pylist():
-                yield from _listing(source, single, own, slices)
+            for _ in range(batch.num_rows):
+                yield from _listing(source, single)
 
-    found = spark.range(0, slices, 1, slices).mapInArrow(run, LISTING_SCHEMA)
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _listed_in_batches(source, _looked_up(path, batch.column(0).to_pylist()))
+
+    one = spark.range(0, 1, 1, 1)
+    if slices == 1:
+        found = one.mapInArrow(run, LISTING_SCHEMA)
+    else:
+        few = max(listing_slices(source), _SLICES_A_CORE * spark.sparkContext.defaultParallelism)
+        names = one.mapInArrow(_names(source), "name binary")
+        found = names.repartition(min(slices, few), "name").mapInArrow(look_up, LISTING_SCHEMA)
     if rules is None or single:
         return found
     return found.filter(rules.predicate(F.col("path"), F.col("label")))
@@ -68,22 +83,50 @@ def listing_slices(folder: str, slice_bytes: int = SLICE_BYTES) -> int:
     return max(1, -(-os.stat(path).st_size // slice_bytes))
 
 
-def _listing(source: str, single: bool, own: int = 0, slices: int = 1) -> Iterator[pa.RecordBatch]:
+def _listing(source: str, single: bool) -> Iterator[pa.RecordBatch]:
     filesystem, path = open_filesystem(source)
+    if single:
+        entries = iter([(path, filesystem.get_file_info(path).size, 0)])
+    else:
+        entries = folder_entries(filesystem, path)
+    return _listed_in_batches(source, entries)
+
+
+def _listed_in_batches(source: str, entries: Iterator[tuple[str, int, int]]) -> Iterator[pa.RecordBatch]:
+    _, path = open_filesystem(source)
     prefix = source.rstrip("/")[: -len(path.rstrip("/"))]
-    names, sizes = [], []
-    entries = [(path, filesystem.get_file_info(path).size, 0)] if single else folder_entries(filesystem, path, own, slices)
-    for name, size, _ in entries:
-        names.append(name)
-        sizes.append(size)
-        if len(names) == _LISTING_ROWS:
-            yield _listed(prefix, names, sizes)
-            names, sizes = [], []
-    if names:
-        yield _listed(prefix, names, sizes)
-
-
-def _listed(prefix: str, paths: list[str], sizes: list[int]) -> pa.RecordBatch:
+    while some := list(islice(entries, _LISTING_ROWS)):
+        paths, sizes, _ = zip(*some)
+        yield _listed(prefix, paths, sizes)
+
+
+def _names(folder: str):
+    """The names in a local folder, of whatever they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, path = open_filesystem(folder)
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                with os.scandir(path) as entries:
+                    while some := [os.fsencode(entry.name) for entry in islice(entries, _LISTING_ROWS)]:
+                        yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary())], names=["name"])
+
+    return run
+
+
+def _looked_up(path: str, names: Iterable[bytes]) -> Iterator[tuple[str, int, int]]:
+    """Path, size and time of arrival, as ``folder_entries`` has them, of those names that are files."""
+    for name in names:
+        found_at = f"{path.rstrip('/')}/{os.fsdecode(name)}"
+        try:
+            found = os.stat(found_at)
+        except FileNotFoundError:
+            continue
+        if stat.S_ISREG(found.st_mode):
+            yield found_at, found.st_size, found.st_ctime_ns
+
+
+def _listed(prefix: str, paths: Sequence[str], sizes: Sequence[int]) -> pa.RecordBatch:
     labels = [path.rpartition("/")[2] for path in paths]
     uris = [prefix + path for path in paths]
     columns = [pa.array(values, pa.string()) for values in (uris, paths, labels)]

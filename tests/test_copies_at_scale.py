@@ -188,6 +188,22 @@ def test_a_folder_is_listed_by_several_tasks(spark, tmp_path):
     assert listed.select(F.spark_partition_id()).distinct().count() > 1
 
 
+def test_a_sliced_listing_reads_each_name_once(spark, tmp_path):
+    wanted = {f"name-{k}": k % 3 for k in range(3000)} | {".hidden": 1, "_under": 2, "sp ace%23#": 0}
+    for name, size in wanted.items():
+        (tmp_path / name).write_bytes(b"x" * size)
+    (tmp_path / "sub").mkdir()
+    os.mkdir(os.fsencode(tmp_path) + b"/no\xfftext")
+    (tmp_path / "gone").symlink_to(tmp_path / "nowhere")
+    (tmp_path / "link").symlink_to(tmp_path / "_under")
+    listed = tree.list_local_files(spark, str(tmp_path), slice_bytes=64)
+    cores = spark.sparkContext.defaultParallelism
+    # Each task would read all names, or else what one has read is dealt to the others.
+    assert 1 < listed.rdd.getNumPartitions() <= 4 * cores
+    assert "Range (0, 1, step=1, splits=1)" in plan_of(listed)
+    assert rows(listed, "label", "size") == sorted({**wanted, "link": 2}.items(), key=repr)
+
+
 def test_arrivals_show_every_kind_of_file_once(spark, tmp_path):
     source, seen, checkpoint = tmp_path / "in", str(tmp_path / "seen"), str(tmp_path / "checkpoint")
     (source / "sub").mkdir(parents=True)
