@@ -106,14 +106,16 @@ def append_new(listing: DataFrame, store: str, dest: str, chunk_bytes: int = CHU
     todo = durable(skip_existing(wanted, there))
     sets = {"false": todo.filter(F.col("size") <= chunk_bytes), "true": todo.filter(F.col("size") > chunk_bytes)}
     for chunked, files in sets.items():
-        if files.isEmpty():
+        count, total = files.agg(F.count("label"), F.sum("size")).first()
+        if not count:
             continue
         # By what is read, not by what was listed: a file that has grown since is cut as well.
         chunks = read_chunks(spread_by_bytes(files), chunk_bytes)
         rows = chunks.withColumn("parent", parent).withColumn("path", join_path(parent, F.col("label")))
-        rows = rows.select(*STORE_COLUMNS).write.mode("append").options(**_WRITE_OPTIONS)
-        if chunked == "true":  # so that chunks that compress well are no more to a reader
-            rows = rows.option("parquet.block.row.count.limit", str(max(1, ROW_GROUP_BYTES // chunk_bytes)))
+        # Content that compresses well fills a row group with rows long before it does with bytes.
+        row_bytes = max(1, min(chunk_bytes, total // count))
+        limit = {"parquet.block.row.count.limit": str(max(1, ROW_GROUP_BYTES // row_bytes))}
+        rows = rows.select(*STORE_COLUMNS).write.mode("append").options(**_WRITE_OPTIONS, **limit)
         rows.parquet(f"{store}/chunked={chunked}")
     copied = todo.count()
     return CopyReport(copied, wanted.count() - copied)

@@ -169,6 +169,17 @@ def test_a_row_group_holds_few_chunks_and_no_content_statistics(spark, tmp_path)
     assert contents(str(tmp_path / "out")) == {"big": data, "small": b"small"}
 
 
+def test_a_row_group_holds_few_files_that_compress_well(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in range(120):
+        with open(tmp_path / "in" / f"f{k}", "wb") as out:
+            out.truncate(1 << 20)
+    store = str(tmp_path / "store")
+    assert content.ingest_directory(spark, str(tmp_path / "in"), store, "/h") == (120, 0)
+    groups = [m.row_group(k).num_rows for m in stored_parts(store) for k in range(m.num_row_groups)]
+    assert sum(groups) == 120 and max(groups) <= 16
+
+
 def test_large_files_are_spread_by_bytes(spark):
     sizes = [("a", 900), ("b", 1000), ("c", 950), *[(f"s{k}", 1) for k in range(40)]]
     df = spark.createDataFrame([(n, s) for n, s in sizes], "label string, size long").coalesce(1)
