op3_min_slack_packing: shuffle the columns that places follow from, not the token ids

Symptom: packing shuffled about its whole input, 502 MB written and read on 0.51 GB of documents.
Evidence: the join of ids with ranks by row carried the ids of every text (496 of the 502 MB), although they only serve the pieces' checksums; the tallies of lengths, which grow with the tasks, were broadcast (8 MB, projected to 464 MB at 30 GB).
Fix: take the checksum of whole pieces where the ids are made, place pieces from the small columns by one sort-merge join with the tallies, and join ids only to the pieces that a window cuts; their list is stored first, so Spark's own size limit decides how it is joined.
Effect, together with 1 more commit on this code: at 0.6 GB of input CPU 376 -> 360 s, shuffle 0.59 -> 0.02 GB, spill 0.00 -> 0.00 GB, read 1.20 -> 1.21 GB, longest task 21 -> 22 s, most memory of a task 103 -> 68 MB; at 6 GB of input CPU 2389 -> 2362 s, shuffle 5.89 -> 0.15 GB, spill 0.00 -> 0.00 GB, read 11.97 -> 12.07 GB, longest task 49 -> 50 s, most memory of a task 138 -> 76 MB; with hot keys, at 0.6 GB of input CPU 211 -> 216 s, shuffle 0.18 -> 0.01 GB, spill 0.00 -> 0.00 GB, read 0.36 -> 0.37 GB, longest task 11 -> 10 s, most memory of a task 69 -> 68 MB.

@@ -6,7 +6,9 @@ remaining piece a bitset subset-sum finds the lengths that fill the rest of the
 window closest, tracked back to a count for each length, and the pattern is
 applied as often as the counts allow.  What slack is left takes the front of one
 more piece, whose rest goes back; the last window is cut at powers of two, which
-need no padding.  Pieces find their place from their length and rank alone.
+need no padding.  Pieces find their place from their length and rank alone, so only
+the few columns that give these are shuffled: a piece has its checksum before, and
+only pieces that a window cuts meet their ids again.
 """
 
 from __future__ import annotations
@@ -131,9 +133,13 @@ def places(steps: dict[int, list[Step]], starts: dict[int, list[int]], length: i
         at, length, rank = at + cut, length - cut, rest + window
 
 
+def _checksum(ids: np.ndarray) -> int:
+    return zlib.crc32(ids.astype("<u4"))
+
+
 def tokenized(docs: DataFrame, tokenizer: str, end: int = END, capacity: int = CAPACITY) -> DataFrame:
-    """``doc_id`` and packed ids of each row, with the ranks of its pieces among those of its task."""
-    schema = "uid long, part int, doc_id long, n_tokens long, ids binary, full_rank long, rest int, rest_rank long"
+    """``doc_id`` and packed ids of each row, with the checksums of its pieces and their ranks among those of its task."""
+    schema = "uid long, part int, doc_id long, n_tokens long, ids binary, crcs array<long>, full_rank long, rest int, rest_rank long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokenizer(tokenizer)
@@ -148,19 +154,21 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int = END, capacity: int = C
                 ranks[k] = seen[rest]
                 seen[rest] += 1
             last = np.array([end], flat.dtype)
-            packed = [np.concatenate([flat[a:b], last]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+            texts = [np.concatenate([flat[a:b], last]) for a, b in zip(bounds[:-1], bounds[1:])]
+            crcs = [[_checksum(ids[k : k + capacity]) for k in range(0, len(ids), capacity)] for ids in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array((part << 40) + row + np.arange(len(sizes), dtype=np.int64)),
                     pa.array(np.full(len(sizes), part, np.int32)),
                     batch.column("doc_id").cast(pa.int64()),
                     pa.array(sizes),
-                    pa.array(packed, pa.binary()),
+                    pa.array([ids.tobytes() for ids in texts], pa.binary()),
+                    pa.array(crcs, pa.list_(pa.int64())),
                     pa.array(full + np.cumsum(fulls) - fulls),
                     pa.array(rests.astype(np.int32)),
                     pa.array(ranks),
                 ],
-                names=["uid", "part", "doc_id", "n_tokens", "ids", "full_rank", "rest", "rest_rank"],
+                names=["uid", "part", "doc_id", "n_tokens", "ids", "crcs", "full_rank", "rest", "rest_rank"],
             )
             full += int(fulls.sum())
             row += len(sizes)
@@ -185,57 +193,73 @@ def pack_documents(
         raise ValueError("capacity must be a power of two")
     spark = docs.sparkSession
     tokens = stored(tokenized(docs, tokenizer, end, capacity), "tokens")
-    rests = tokens.filter("rest > 0").groupBy("part", F.col("rest").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+    rests = tokens.groupBy("part", F.col("rest").alias("size")).agg(F.count(F.lit(1)).alias("n"))
     fulls = tokens.groupBy("part").agg(F.sum(F.floor(F.col("n_tokens") / capacity)).alias("n"))
-    fulls = fulls.filter("n > 0").select("part", F.lit(capacity).alias("size"), "n")
+    fulls = fulls.select("part", F.lit(capacity).alias("size"), "n")
     before = Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # A row for each task and length: how many such pieces earlier tasks have.
     tallies = stored(
         rests.unionByName(fulls).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))), "tallies"
     )
-    counts = {r["size"]: r["n"] for r in tallies.groupBy("size").agg(F.sum("n").alias("n")).collect()}
-    steps = spark.sparkContext.broadcast(pack(counts, capacity))  # at most ``capacity`` lengths
-    rest_base = tallies.select("part", F.col("size").alias("rest"), F.col("base").alias("rest_base"))
+    counted = tallies.filter("size > 0").groupBy("size").agg(F.sum("n").alias("n")).filter("n > 0").collect()
+    plan = pack({r["size"]: r["n"] for r in counted}, capacity)
+    steps = spark.sparkContext.broadcast(plan)  # at most ``capacity`` lengths
     full_base = tallies.filter(F.col("size") == capacity).select("part", F.col("base").alias("full_base"))
+    bases = tallies.filter(F.col("size") < capacity).join(full_base, "part")
+    bases = bases.select("part", F.col("size").alias("rest"), F.col("base").alias("rest_base"), "full_base")
+    # The tallies grow with the tasks, so they are not broadcast.
     ranked = (
-        tokens.select("uid", "part", "full_rank", "rest", "rest_rank")
-        .join(rest_base, ["part", "rest"], "left")
-        .join(full_base, "part", "left")
-        .select(
-            "uid",
-            "rest",
-            (F.col("rest_rank") + F.coalesce("rest_base", F.lit(0))).alias("rest_rank"),
-            (F.col("full_rank") + F.coalesce("full_base", F.lit(0))).alias("full_rank"),
-        )
+        tokens.drop("ids")
+        .join(bases.hint("merge"), ["part", "rest"])
+        .withColumn("rest_rank", F.col("rest_rank") + F.col("rest_base"))
+        .withColumn("full_rank", F.col("full_rank") + F.col("full_base"))
     )
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    schema += ", ids array<int>" * with_ids
+    out = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = steps.value
         starts = {length: [s[0] for s in own] for length, own in plan.items()}
-        for batch in text_slices(batches, "ids"):
-            out: list[tuple] = []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "full_rank", "rest", "rest_rank")))
-            for packed, (doc, size, full_rank, rest, rest_rank) in zip(batch.column("ids"), rows):
-                raw = packed.as_buffer()
-                ids = np.frombuffer(raw, np.uint16 if len(raw) == 2 * size else np.uint32).astype("<u4")
+        columns = ("uid", "doc_id", "n_tokens", "crcs", "full_rank", "rest", "rest_rank")
+        for batch in batches:
+            found: list[tuple] = []
+            for uid, doc, size, crcs, full_rank, rest, rest_rank in zip(*(batch.column(c).to_pylist() for c in columns)):
                 pieces = [(k * capacity, capacity, full_rank + k) for k in range(size // capacity)]
                 if rest:
                     pieces.append((size - rest, rest, rest_rank))
-                for first, length, rank in pieces:
+                for (first, length, rank), crc in zip(pieces, crcs):
                     for at, part, sequence, offset in places(plan, starts, length, rank):
-                        own = ids[first + at : first + at + part]
-                        found = (doc, first + at, part, zlib.crc32(own), size, sequence, offset)
-                        out.append(found + ((own.astype(np.int32),) if with_ids else ()))
-            names = [f.split()[0] for f in schema.split(", ")]
-            types = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(zip(*out), types)], names=names
-            )
+                        found.append((doc, first + at, part, crc if part == length else None, size, sequence, offset, uid))
+            names = [*(f.split()[0] for f in out.split(", ")), "uid"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=names)
+
+    small = ranked.select("uid", "doc_id", "n_tokens", "crcs", "full_rank", "rest", "rest_rank")
+    placed = stored(map_arrow(small, place, out + ", uid long"), "placed")
+    ids = tokens.select("uid", "rest", "ids")
+    if with_ids:
+        return _with_ids(placed, ids, out)
+    # Only what is left over of windows is cut: stored by itself, Spark knows how little it is before it joins.
+    cut = stored(placed.filter("ids_crc32 is null"), "cut")
+    cut_lengths = [length for length, own in plan.items() if any(step[5] for step in own)]
+    checked = _with_ids(cut, ids.filter(F.col("rest").isin(cut_lengths)), out).drop("ids")
+    return placed.filter("ids_crc32 is not null").drop("uid").unionByName(checked)
+
+
+def _with_ids(placed: DataFrame, ids: DataFrame, out: str) -> DataFrame:
+    """``placed`` with the ids of each row, and their checksum, from ``ids(uid, ids)`` of whole texts."""
+    names = [f.split()[0] for f in out.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "ids"):
+            own = []
+            for packed, size, start, length in zip(*(batch.column(c) for c in ("ids", "doc_tokens", "start", "length"))):
+                raw, size, start, length = packed.as_buffer(), size.as_py(), start.as_py(), length.as_py()
+                whole = np.frombuffer(raw, np.uint16 if len(raw) == 2 * size else np.uint32)
+                own.append(whole[start : start + length].astype(np.int32))
+            crcs = pa.array([_checksum(x) for x in own], pa.int64())
+            columns = [crcs if n == "ids_crc32" else batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(own, pa.list_(pa.int32()))], names=[*names, "ids"])
 
-    joined = tokens.select("uid", "doc_id", "n_tokens", "ids").join(ranked, "uid")
-    return map_arrow(joined.select("doc_id", "n_tokens", "ids", "full_rank", "rest", "rest_rank"), run, schema)
+    return map_arrow(placed.join(ids.select("uid", "ids"), "uid").select(*names, "ids"), run, out + ", ids array<int>")
 
 
 def default_tokenizer() -> str:

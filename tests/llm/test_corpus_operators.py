@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 
 from shelfmark.llm import edit_counts, mixing, packing, personal_data, quality
 from shelfmark.llm.tokens import WordTokenizer
+from tests.conftest import plan_of
 from tests.llm import kneser_ney
 from tests.llm.helpers import clashing, documents, sf_table
 
@@ -123,6 +124,37 @@ def test_packed_null_and_repeated_ids(spark):
     assert packing.pack_documents(df.limit(0), packing.default_tokenizer()).count() == 0
 
 
+@pytest.fixture
+def broadcasts_up_to(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    yield lambda size: spark.conf.set(name, size)
+    spark.conf.set(name, before)
+
+
+def test_packing_leaves_ids_where_they_are(spark, broadcasts_up_to):
+    rows = [(r.doc_id, r.text) for r in sf_table(spark, "documents").collect()]
+    broadcasts_up_to("50k")  # less than the ids of all texts
+    packed = packing.pack_documents(documents(spark, *rows).repartition(5), packing.default_tokenizer(), capacity=512)
+    assert "Exchange hashpartitioning(uid" not in plan_of(packed)
+    check_packed(packed.collect(), rows, 512)
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_packed_pieces_that_are_all_cut(spark, broadcasts_up_to, threshold):
+    # No two pieces fit a window, so each window cuts one; without broadcasts too.
+    rows = [(k, "a b c " * (60 + k % 3) + "b") for k in range(40)] + [(50, None), (51, ""), (52, "a " * 900)]
+    broadcasts_up_to(threshold)
+    got = packing.pack_documents(documents(spark, *rows).repartition(4), packing.default_tokenizer(), capacity=256).collect()
+    assert sum(r.start > 0 for r in got) > 20
+    check_packed(got, rows, 256)
+    twice = documents(spark, *rows[:9], *rows[:9], (None, rows[0][1])).coalesce(1)
+    got = packing.pack_documents(twice, packing.default_tokenizer(), capacity=256).collect()
+    whole = packing.pack_documents(twice, packing.default_tokenizer(), capacity=256, with_ids=True).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted((tuple(r)[:7] for r in whole), key=repr)
+    assert all(r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4")) for r in whole)
+
+
 # --- mixing
 
 
