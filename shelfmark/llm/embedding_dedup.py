@@ -22,6 +22,8 @@ from shelfmark.llm.registry import query
 
 BLOCK = 256
 MISS = 1e-6
+# So many rows of buckets at least are worked on at once, about two pairs of blocks.
+TOGETHER = 1024
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,52 +69,72 @@ def _hashed(classes: DataFrame, bits: int, tables: int) -> DataFrame:
     return map_arrow(classes, run, schema)
 
 
+def _near_pairs(rows: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the pairs at the threshold or nearer, of whole blocks or pairs of blocks of vectors of one length."""
+    t, bucket, own, low, high = (rows.column(c).to_numpy() for c in ("t", "bucket", "own", "low", "high"))
+    new = np.ones(len(own), bool)
+    new[1:] = np.any([x[1:] != x[:-1] for x in (t, bucket, low, high)], axis=0)
+    starts = np.flatnonzero(new)
+    sizes = np.diff(starts, append=len(own))
+    vectors = matrix(rows.column("v"), np.float64)
+    unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+    one_block = low[starts] == high[starts]
+    none = np.zeros(0, np.int64)
+    left, right = [none], [none]
+    # Blocks of as many vectors make one product of stacked matrices.
+    for size in np.unique(sizes[one_block & (sizes > 1)]):
+        first = starts[one_block & (sizes == size)]
+        stacked = unit[first[:, None] + np.arange(size)]
+        k, i, j = np.nonzero(np.triu(stacked @ stacked.transpose(0, 2, 1) >= threshold, 1))
+        left.append(first[k] + i)
+        right.append(first[k] + j)
+    for start, size in zip(starts[~one_block], sizes[~one_block]):
+        at = np.arange(start, start + size)
+        a, b = at[own[at] == low[start]], at[own[at] == high[start]]
+        i, j = np.nonzero(unit[a] @ unit[b].T >= threshold)
+        left.append(a[i])
+        right.append(b[j])
+    return np.concatenate(left), np.concatenate(right)
+
+
 def _linked(dealt: DataFrame, threshold: float) -> DataFrame:
     """``cid, links, id, root``: per block the links of each vector first met there, and whom it reaches."""
     keys = ["t", "bucket", "dims", "low", "high"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in sorted_groups(batches, keys):
-            if group.num_rows < 2:
-                continue
-            where, low, high = (group.column(c).to_numpy() for c in ("own", "low", "high"))
-            left, right = np.flatnonzero(where == low), np.flatnonzero(where == high)
-            vectors = matrix(group.column("v"), np.float64)
-            unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-            unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
-            near = unit[left] @ unit[right].T >= threshold
-            if low[0] == high[0]:
-                near = np.triu(near, 1)
-            i, j = np.nonzero(near)
-            if not len(i):
-                continue
-            i, j = left[i], right[j]
-            same = group.column("label").to_numpy()
-            ok = same[i] == same[j]
-            i, j = i[ok], j[ok]
-            # A pair counts only in the first table in which it meets.
-            hashes, t = matrix(group.column("hashes"), np.int64), group.column("t")[0].as_py()
-            new = np.ones(len(i), bool)
-            for earlier in range(t):
-                new &= hashes[i, earlier] != hashes[j, earlier]
-            i, j = i[new], j[new]
-            if not len(i):
-                continue
-            copies, ids = group.column("copies").to_numpy(), group.column("id").to_numpy()
-            links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
-            by_id = np.argsort(ids)
-            rank = np.argsort(by_id)
-            root = local_roots(len(ids), rank[i], rank[j])
-            hit = np.flatnonzero(links)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    group.column("cid").combine_chunks().take(pa.array(hit)),
-                    pa.array(links[hit].astype(np.int64)),
-                    pa.array(ids[hit]),
-                    pa.array(ids[by_id][root[rank[hit]]]),
-                ],
-                names=["cid", "links", "id", "root"],
-            )
+        # Most buckets hold a few vectors, so many are worked on together.
+        for groups in sorted_groups(batches, keys, TOGETHER):
+            dims = groups.column("dims").to_numpy()
+            for size in np.unique(dims):
+                rows = groups.filter(pa.array(dims == size))
+                i, j = _near_pairs(rows, threshold)
+                same = rows.column("label").to_numpy()
+                ok = same[i] == same[j]
+                i, j = i[ok], j[ok]
+                # A pair counts only in the first table in which it meets.
+                hashes, t = matrix(rows.column("hashes"), np.int64), rows.column("t").to_numpy()[i]
+                new = np.ones(len(i), bool)
+                for earlier in range(hashes.shape[1]):
+                    new &= (hashes[i, earlier] != hashes[j, earlier]) | (earlier >= t)
+                i, j = i[new], j[new]
+                if not len(i):
+                    continue
+                copies, ids = rows.column("copies").to_numpy(), rows.column("id").to_numpy()
+                links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
+                by_id = np.argsort(ids)
+                rank = np.argsort(by_id)
+                root = local_roots(len(ids), rank[i], rank[j])
+                hit = np.flatnonzero(links)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column("cid").combine_chunks().take(pa.array(hit)),
+                        pa.array(links[hit].astype(np.int64)),
+                        pa.array(ids[hit]),
+                        pa.array(ids[by_id][root[rank[hit]]]),
+                    ],
+                    names=["cid", "links", "id", "root"],
+                )
 
     return map_arrow(dealt.repartition(*keys).sortWithinPartitions(*keys), run, "cid long, links long, id long, root long")
 

@@ -4,10 +4,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shelfmark.llm import embedding_dedup, minhash_dedup
-from shelfmark.llm.common import components, local_roots
+from shelfmark.llm.common import components, local_roots, sorted_groups
 from tests.llm.helpers import clashing, documents
 
 
@@ -193,3 +194,44 @@ def test_a_forest_has_fewer_links_than_components():
     sizes = np.array([len(s) for s in sets])
     links, unsure = minhash_dedup._forest(left, right, np.arange(20), sizes, np.ones(20, bool), lambda k: sets[k].tobytes(), 75)
     assert len(links) == 19 and not unsure
+
+
+def test_short_buckets_are_worked_on_together(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    rows = []
+    for k in range(900):
+        base = rng.standard_normal(8 + 4 * (k % 3 == 0))
+        near = [base, base + 0.01 * rng.standard_normal(len(base)), base][: 1 + k % 3]
+        rows += [(len(rows) + n, [float(np.float32(x)) for x in v], k % 2 or None if k % 50 == 0 else k % 2) for n, v in enumerate(near)]
+    rows += [(len(rows) + k, None, 1) for k in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1)
+    local_roots, products = embedding_dedup.local_roots, spark.sparkContext.accumulator(0)
+
+    def noted(*args):
+        products.add(1)
+        return local_roots(*args)
+
+    monkeypatch.setattr(embedding_dedup, "local_roots", noted)
+    wanted = brute_vectors(rows)
+    assert sorted(map(tuple, embedding_dedup.near_duplicates(df).collect())) == wanted
+    # Some 600 pairs meet in most of the tables: not each bucket is a step of its own.
+    assert 0 < products.value < 600
+    monkeypatch.setattr(embedding_dedup, "TOGETHER", 1)
+    assert sorted(map(tuple, embedding_dedup.near_duplicates(df).collect())) == wanted
+    monkeypatch.setattr(embedding_dedup, "TOGETHER", 7)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 2)
+    assert sorted(map(tuple, embedding_dedup.near_duplicates(df).collect())) == wanted
+
+
+def test_groups_come_together_whole():
+    rng = np.random.default_rng(3)
+    k = np.sort(rng.integers(0, 300, 2000))
+    table = pa.table({"k": k, "n": np.arange(2000)})
+    for least in (1, 2, 50, 5000):
+        for size in (1, 7, 400, 2000):
+            runs = list(sorted_groups(iter(table.to_batches(max_chunksize=size)), ["k"], least))
+            assert pa.concat_tables(runs).equals(table)
+            ends = [(r["k"][0].as_py(), r["k"][-1].as_py()) for r in runs]
+            assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+            assert least > 1 or all(a == b for a, b in ends)
+            assert size < 2000 or all(r.num_rows >= least for r in runs[:-1])
