@@ -9,6 +9,7 @@ import pytest
 
 from shelfmark.llm import embedding_dedup, minhash_dedup
 from shelfmark.llm.common import components, local_roots, sorted_groups
+from tests.conftest import plan_of
 from tests.llm.helpers import clashing, documents
 
 
@@ -235,3 +236,24 @@ def test_groups_come_together_whole():
             assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
             assert least > 1 or all(a == b for a, b in ends)
             assert size < 2000 or all(r.num_rows >= least for r in runs[:-1])
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_only_copies_are_looked_up_by_vector(spark, threshold):
+    rng = np.random.default_rng(14)
+    rows = [(k, [float(np.float32(x)) for x in rng.standard_normal(6)], k % 2) for k in range(60)]
+    rows += [(100 + k, rows[k % 5][1], k % 2) for k in range(40)] + [(200, [-0.0, 1.0], 0), (201, [0.0, 1.0], 0), (202, None, 0)]
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, threshold)
+    try:
+        found = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+        assert not [x for x in plan_of(found).splitlines() if "Join" in x and "label" in x]
+        assert sorted(map(tuple, found.collect())) == brute_vectors(rows)
+        # One id for a vector that is there once and for one that has copies, and none for another.
+        odd = [(1, rows[0][1], 0), (1, rows[7][1], 0), (2, rows[7][1], 0), (3, rows[7][1], 0), (None, rows[7][1], 0)]
+        found = embedding_dedup.near_duplicates(spark.createDataFrame(odd, "vec_id long, embedding array<float>, label int"))
+        got = sorted(map(tuple, found.collect()), key=repr)
+        assert got == [(1, 2, 1, True)] * 2 + [(2, 2, 1, False), (3, 2, 1, False), (None, 0, None, True)]
+    finally:
+        spark.conf.set(name, before)
